@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # ---- Fixed values: published naming and date formats -------------------------------------
-# A European name holds the year at characters 8 to 11 and the week at 16 and 17.
-EP_ARCHIVE = r"^.{7}(\d{4}).{4}(\d{2}).*\.(?i:zip|tar)$"
+# A European name holds the year at characters 8 to 11, four zeros, and the week at 16 and 17.
+EP_ARCHIVE = r"^.{7}(\d{4})0000(\d{2}).*\.(?i:zip|tar)$"
 EP_PREFIX, EP_MIDDLE, EP_SUFFIX = "EPRTBJV", "0000", "001001"
 EP_EXTENSIONS = (".zip", ".tar")  # in order of preference
 US_ARCHIVE = r"(?i)ipg(\d{6}).*?\.zip"

@@ -17,11 +17,13 @@ from patloom.sinks.tables import insert_if_absent, write_weekly
 from patloom.sources.archives import read_nested
 
 EP_ORDER = ("archive", "member", "entry")
+FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def archive_stream(spark: SparkSession, folder: str, glob: str = "*.{zip,tar}", per_batch: int | None = None) -> DataFrame:
     """Files as they appear: path, modificationTime, length."""
-    reader = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    reader = spark.readStream.format("binaryFile").schema(FILES).option("pathGlobFilter", glob)
+    reader = reader.option("recursiveFileLookup", "true")
     if per_batch:
         reader = reader.option("maxFilesPerTrigger", per_batch)
     return reader.load(folder).drop("content")
