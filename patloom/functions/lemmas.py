@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from patloom.operators.rows import explode_once
+
 # ---- Fixed values: noun endings and what replaces them -----------------------------------
 NOUN_ENDINGS = (
     ("s", ""),
@@ -28,8 +30,7 @@ BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
 
 
-def _lookup(df: DataFrame, tokens: str, out: str, lemmas: DataFrame) -> DataFrame:
-    table = lemmas.toArrow()
+def _lookup(df: DataFrame, tokens: str, out: str, table: pa.Table) -> DataFrame:
     known = df.sparkSession.sparkContext.broadcast((table["word"].combine_chunks(), table["lemma"].combine_chunks()))
 
     @F.arrow_udf("array<string>")
@@ -45,7 +46,7 @@ def _lookup(df: DataFrame, tokens: str, out: str, lemmas: DataFrame) -> DataFram
 
 
 def _join(df: DataFrame, tokens: str, out: str, lemmas: DataFrame, keys: Sequence[str]) -> DataFrame:
-    long = df.select(*keys, F.posexplode(tokens).alias("__pos", "word"))
+    long = explode_once(df, keys, tokens, "__pos", "word")
     swapped = long.join(lemmas, "word", "left").withColumn("__token", F.coalesce("lemma", "word"))
     # One group is one document, which was one row before.
     lists = swapped.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__pos", "__token"))).alias("__list"))
@@ -69,14 +70,18 @@ def lemmatise(
     per Arrow batch, with no shuffle. A larger one is joined on the word, and the tokens are put
     together again by `keys`, which must identify a row; Spark splits hot words (AQE skew join).
     """
-    changing = lemmas.select("word", "lemma").filter(F.col("word") != F.col("lemma"))
-    size = changing.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(F.octet_length("word") + F.octet_length("lemma")), F.lit(0)).alias("bytes"),
-    ).first()
-    if size["rows"] <= broadcast_rows and size["bytes"] <= broadcast_bytes:
-        return _lookup(df, tokens, out or tokens, changing)
-    return _join(df, tokens, out or tokens, changing, keys)
+    changing = lemmas.select("word", "lemma").filter(F.col("word") != F.col("lemma")).persist()
+    try:
+        size = changing.agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.sum(F.octet_length("word") + F.octet_length("lemma")), F.lit(0)).alias("bytes"),
+        ).first()
+        small = size["rows"] <= broadcast_rows and size["bytes"] <= broadcast_bytes
+        table = changing.toArrow() if small else None
+    finally:
+        changing.unpersist()
+    out = out or tokens
+    return _join(df, tokens, out, changing, keys) if table is None else _lookup(df, tokens, out, table)
 
 
 def _shorter(form: Column) -> Column:
@@ -107,8 +112,9 @@ def noun_lemmas(words: DataFrame, nouns: DataFrame, exceptions: DataFrame | None
         return F.struct(F.concat(state["found"], ranked).alias("found"), made.alias("last"))
 
     rounds = F.sequence(F.lit(1), F.greatest(F.length("word"), F.lit(1)))
-    formed = words.select("word", F.explode(F.aggregate(rounds, start, again, lambda state: state["found"])).alias("f"))
-    formed = formed.select("word", "f.*")
+    found = F.when(F.size(_shorter(F.col("word"))) > 0, F.aggregate(rounds, start, again, lambda state: state["found"]))
+    found = found.otherwise(start["found"])
+    formed = explode_once(words, ["word"], found, "__pos", "f").select("word", "f.*")
     if exceptions is not None:
         irregular = words.join(exceptions.select("word", F.col("lemma").alias("form")), "word")
         asis = irregular.select("word").distinct().withColumn("form", F.col("word"))

@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from patloom.operators.rows import explode_once
+
 # ---- Fixed values: results depend on each of them ----------------------------------------
 NO_TEXT = "No text provided"
 CHUNK_TOKENS = 2000
@@ -63,7 +65,17 @@ def drop_stopwords(tokens: Column, stopwords: Sequence[str] = ENGLISH_STOPWORDS)
 
 def normalise(text: Column, stopwords: Sequence[str] = ENGLISH_STOPWORDS) -> Column:
     """Words without stopwords, joined by a blank. A null text gives `NO_TEXT` as it stands."""
-    return F.coalesce(F.array_join(drop_stopwords(words(text), stopwords), " "), F.lit(NO_TEXT))
+    return joined(drop_stopwords(words(text), stopwords))
+
+
+def joined(tokens: Column) -> Column:
+    """Normalised tokens as a text."""
+    return F.coalesce(F.array_join(tokens, " "), F.lit(NO_TEXT))
+
+
+def token_list(tokens: Column) -> Column:
+    """The words of `joined`, without going through the text."""
+    return F.coalesce(tokens, F.array(*(F.lit(word) for word in NO_TEXT.split(" "))))
 
 
 def compose(fields: Sequence[tuple[str, str]] = COMPOSED) -> Column:
@@ -74,7 +86,7 @@ def compose(fields: Sequence[tuple[str, str]] = COMPOSED) -> Column:
 def chunk_tokens(tokens: Column, size: int = CHUNK_TOKENS, overlap: int = OVERLAP_TOKENS) -> Column:
     """Overlapping slices: `size` long, starting every `size - overlap`, none for no tokens.
 
-    Give a plain column: the tokens are read once per slice.
+    Give a stored column, not an expression: it is read once per slice.
     """
     if not 0 <= overlap < size:
         raise ValueError("the overlap must be shorter than the chunk")
@@ -83,17 +95,18 @@ def chunk_tokens(tokens: Column, size: int = CHUNK_TOKENS, overlap: int = OVERLA
     return F.when(F.size(tokens) > 0, slices).otherwise(F.array().cast("array<array<string>>"))
 
 
-def with_word_chunks(
-    df: DataFrame, text: str, out: str = "chunks", size: int = CHUNK_TOKENS, overlap: int = OVERLAP_TOKENS
+def with_chunks(
+    df: DataFrame, tokens: Column, out: str = "chunks", size: int = CHUNK_TOKENS, overlap: int = OVERLAP_TOKENS
 ) -> DataFrame:
-    """Add the chunk texts of a blank-separated text, counted in words."""
-    tokens = "__tokens"
-    split = F.filter(F.split(F.col(text), " "), lambda token: token != "")
-    return (
-        df.withColumn(tokens, split)
-        .withColumn(out, F.transform(chunk_tokens(F.col(tokens), size, overlap), lambda part: F.array_join(part, " ")))
-        .drop(tokens)
-    )
+    """Add the chunk texts of a list of words. The list is computed once per row."""
+    stored = df.withColumn("__tokens", tokens)
+    texts = F.transform(chunk_tokens(F.col("__tokens"), size, overlap), lambda part: F.array_join(part, " "))
+    return stored.withColumn(out, texts).drop("__tokens")
+
+
+def blank_separated(text: Column) -> Column:
+    """The words of a text between single blanks."""
+    return F.filter(F.split(text, " "), lambda token: token != "")
 
 
 def bpe_chunks(
@@ -122,5 +135,4 @@ def bpe_chunks(
 
 def explode_chunks(df: DataFrame, chunks: str = "chunks", pos: str = "chunk_pos", text: str = "chunk_text") -> DataFrame:
     """One row per chunk, with its position."""
-    keep = [name for name in df.columns if name != chunks]
-    return df.select(*keep, F.posexplode(chunks).alias(pos, text))
+    return explode_once(df, [name for name in df.columns if name != chunks], chunks, pos, text)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patloom.functions.text import strip
+from patloom.operators.rows import explode_once
 from patloom.functions.xmlparse import Pick, xml_struct
 from patloom.schemas import US_RECORD
 
@@ -55,7 +56,7 @@ def split_documents(files: DataFrame, text: str = "text", out: str = "xml") -> D
     """One row per patent document of a text that holds many, with its position."""
     kept = [name for name in files.columns if name != text]
     found = F.regexp_extract_all(F.col(text), F.lit(DOCUMENT), F.lit(1))
-    return files.select(*kept, F.posexplode(found).alias("doc_pos", out))
+    return explode_once(files, kept, found, "doc_pos", out)
 
 
 def full_cpc(entries: Column) -> Column:

@@ -49,30 +49,60 @@ class Pick:
             return T.ArrayType(T.StructType([T.StructField(name, inner) for name, _ in self.parts]))
         return T.ArrayType(T.StringType())
 
-    def of(self, root: ET.Element) -> object:
-        if self.take == "attribute":
-            return self._clean(root.get(self.path))
-        at = root if self.within is None else root.find(self.within)
-        if at is None:
+    @property
+    def anchor(self) -> str | None:
+        """The tag that the path starts from anywhere in the document, if it does."""
+        return self.path[3:].split("/", 1)[0] if self.path.startswith(".//") and self.within is None else None
+
+
+Index = dict[str, list[ET.Element]]
+
+
+def _reader(pick: Pick) -> Callable[[ET.Element, Index], object]:
+    """The function that takes a pick from a root and the index of its anchor elements."""
+    clean = (lambda text: None if text is None else text.strip()) if pick.strip else (lambda text: text)
+    anchor, within, path, parts = pick.anchor, pick.within, pick.path, pick.parts
+    below = path[3 + len(anchor) :].removeprefix("/") if anchor else path
+    below = f"./{below}" if below.startswith("/") else below  # `a//b`: any depth below an anchor
+
+    def starts(root: ET.Element, index: Index) -> Sequence[ET.Element] | None:
+        if anchor:
+            return index.get(anchor, ())
+        scope = root if within is None else root.find(within)
+        return None if scope is None else (scope,)
+
+    def elements(root: ET.Element, index: Index) -> list[ET.Element] | None:
+        found = starts(root, index)
+        if found is None or not below:
+            return found
+        return [el for start in found for el in start.findall(below)]
+
+    def of_each(value: Callable[[ET.Element], object], kept: Callable[[ET.Element], object] = lambda el: True):
+        def read(root: ET.Element, index: Index) -> list | None:
+            found = elements(root, index)
+            return None if found is None else [value(el) for el in found if kept(el)]
+
+        return read
+
+    def first(root: ET.Element, index: Index) -> str | None:
+        texts = (start.findtext(below) if below else start.text or "" for start in starts(root, index) or ())
+        return clean(next((text for text in texts if text is not None), None))
+
+    def blocks(root: ET.Element, index: Index) -> list[str] | None:
+        names, found = set(path.split()), starts(root, index)
+        if found is None:
             return None
-        if self.take == "first":
-            return self._clean(at.findtext(self.path))
-        if self.take == "texts":
-            return [self._clean(el.text) for el in at.findall(self.path) if el.text]
-        if self.take == "pieces":
-            return [" ".join(el.itertext()) for el in at.findall(self.path)]
-        if self.take == "blocks":
-            wanted = set(self.path.split())
-            return [self._clean("".join(el.itertext())) for el in at.iter() if el.tag.rpartition("}")[2] in wanted]
-        if self.take == "rows":
-            return [{name: self._clean(el.findtext(path)) for name, path in self.parts} for el in at.findall(self.path)]
-        return [
-            {name: [self._clean(sub.text or "") for sub in el.findall(path)] for name, path in self.parts}
-            for el in at.findall(self.path)
-        ]
-
-    def _clean(self, text: str | None) -> str | None:
-        return text.strip() if self.strip and text is not None else text
+        return [clean("".join(el.itertext())) for el in found[0].iter() if el.tag.rpartition("}")[2] in names]
+
+    return {
+        "attribute": lambda root, index: clean(root.get(path)),
+        "first": first,
+        "texts": of_each(lambda el: clean(el.text), kept=lambda el: el.text),
+        "pieces": of_each(lambda el: " ".join(el.itertext())),
+        "blocks": blocks,
+        "rows": of_each(lambda el: {name: clean(el.findtext(sub)) for name, sub in parts}),
+        "lists": of_each(lambda el: {name: [clean(e.text or "") for e in el.findall(sub)] for name, sub in parts}),
+    }[pick.take]
 
 
 def xml_struct(picks: Sequence[Pick]) -> Callable[[Column], Column]:
@@ -85,11 +115,17 @@ def xml_struct(picks: Sequence[Pick]) -> Callable[[Column], Column]:
 
     @F.arrow_udf(result)
     def parse(documents: pa.Array) -> pa.Array:
+        readers = [(pick.name, _reader(pick)) for pick in picks]
+        anchors = {pick.anchor for pick in picks if pick.anchor}
         records = []
         for document in documents:
             try:
                 root = ET.fromstring(document.as_py())
-                records.append({pick.name: pick.of(root) for pick in picks})
+                index: Index = {}
+                for el in root.iter():  # one walk finds the anchors of all picks, in document order
+                    if el.tag in anchors and el is not root:
+                        index.setdefault(el.tag, []).append(el)
+                records.append({name: read(root, index) for name, read in readers})
             except Exception as problem:  # any bad document is set aside, with the reason
                 records.append({"error": f"{type(problem).__name__}: {problem}"})
         return pa.array(records, to_arrow_type(result))

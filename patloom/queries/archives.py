@@ -10,8 +10,8 @@ from patloom.plans import us
 from patloom.plans.ep import GOOD, write_records
 from patloom.plans.ingest import ingest_archives
 from patloom.queries.build import ep_archive_blobs, write_archives
-from patloom.queries.records import EP_TEXTS, TEXTS, US_TEXTS, ep_document_xml, us_document_xml
-from patloom.queries.registry import query, table
+from patloom.queries.records import EP_TEXTS, TEXT_COLUMNS, TEXTS, US_TEXTS, ep_document_xml, us_document_xml
+from patloom.queries.registry import heavy, query, table
 from patloom.session import shared_folder
 from patloom.sources.archives import explode_nested, list_files, read_flat, read_flat_documents, read_nested
 from patloom.sources.files import read_documents, read_weekly
@@ -21,31 +21,26 @@ US_FIELDS = ("pub_ref_doc_number", "pub_ref_kind", "abstract_text", "description
 
 
 def _documents(spark, sf_dir, xml):
-    return table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), "doc_id").alias("name"), xml.alias("xml"))
+    return heavy(spark, sf_dir, "documents", *TEXT_COLUMNS).select(F.concat(F.lit("d"), "doc_id").alias("name"), xml.alias("xml"))
 
 
-def _ep_archives(spark, sf_dir):
-    return write_archives(_documents(spark, sf_dir, ep_document_xml()), shared_folder(spark, "ep-archives"), "ep")
-
-
-def _us_archives(spark, sf_dir):
-    return write_archives(_documents(spark, sf_dir, us_document_xml()), shared_folder(spark, "us-archives"), "us")
-
-
-def _us_files(spark, sf_dir):
-    return write_archives(_documents(spark, sf_dir, us_document_xml()), shared_folder(spark, "us-files"), "file")
+def _archives(spark, sf_dir, kind):
+    xml = ep_document_xml() if kind == "ep" else us_document_xml()
+    splits = table(spark, sf_dir, "documents").rdd.getNumPartitions()
+    tasks = max(splits, spark.sparkContext.defaultParallelism)  # what `heavy` makes of the splits
+    return write_archives(_documents(spark, sf_dir, xml), shared_folder(spark, f"{kind}-archives"), kind, tasks)
 
 
 @query("S1_S5_S6_xml_files", US_TEXTS)
 def xml_files(spark, sf_dir):
-    files = read_documents(spark, _us_files(spark, sf_dir))
+    files = read_documents(spark, _archives(spark, sf_dir, "file"))
     documents = split_documents(files.select("entry", decode_text(F.col("content")).alias("text")))
     return parse_us(documents, keep_bad_xml=False).select(*US_FIELDS)
 
 
 @query("S2_S3_nested_archives", EP_TEXTS)
 def nested_archives(spark, sf_dir):
-    entries = read_nested(list_files(spark, _ep_archives(spark, sf_dir)))
+    entries = read_nested(list_files(spark, _archives(spark, sf_dir, "ep")))
     return parse_ep(entries, keep_bad_xml=False).select("doc_id", *TEXTS)
 
 
@@ -57,20 +52,20 @@ def nested_archives_as_rows(spark, sf_dir):
 
 @query("S4_flat_archives", US_TEXTS)
 def flat_archives(spark, sf_dir):
-    entries = read_flat(list_files(spark, _us_archives(spark, sf_dir)))
+    entries = read_flat(list_files(spark, _archives(spark, sf_dir, "us")))
     documents = split_documents(entries.select("archive", "entry", decode_text(F.col("content")).alias("text")))
     return parse_us(documents, keep_bad_xml=False).select(*US_FIELDS)
 
 
 @query("S4_flat_archives_streamed", US_TEXTS)
 def flat_archives_streamed(spark, sf_dir):
-    documents = read_flat_documents(list_files(spark, _us_archives(spark, sf_dir)))
+    documents = read_flat_documents(list_files(spark, _archives(spark, sf_dir, "us")))
     return parse_us(documents, keep_bad_xml=False).select(*US_FIELDS)
 
 
 @query("K3_K5_ingest_twice", EP_TEXTS)
 def ingest_twice(spark, sf_dir):
-    source, out, manifest = _ep_archives(spark, sf_dir), shared_folder(spark, "raw"), shared_folder(spark, "manifest")
+    source, out, manifest = _archives(spark, sf_dir, "ep"), shared_folder(spark, "raw"), shared_folder(spark, "manifest")
     ingest_archives(spark, source, out, manifest)
     ingest_archives(spark, source, out, manifest)
     return parse_ep(read_weekly(spark, out), keep_bad_xml=False).select("doc_id", *TEXTS)
@@ -79,7 +74,7 @@ def ingest_twice(spark, sf_dir):
 @query("K1_F3_weekly_records", EP_TEXTS)
 def weekly_records(spark, sf_dir):
     raw, manifest, out = (shared_folder(spark, name) for name in ("raw", "manifest", "records"))
-    ingest_archives(spark, _ep_archives(spark, sf_dir), raw, manifest)
+    ingest_archives(spark, _archives(spark, sf_dir, "ep"), raw, manifest)
     documents = read_weekly(spark, raw)
     write_records(documents, out)
     write_records(documents, out)  # a rerun replaces the weeks it holds
@@ -89,13 +84,13 @@ def weekly_records(spark, sf_dir):
 @query("K1_A1_us_records", US_TEXTS)
 def us_records(spark, sf_dir):
     out = shared_folder(spark, "us-records")
-    us.write_archives(list_files(spark, _us_archives(spark, sf_dir)), out)
+    us.write_archives(list_files(spark, _archives(spark, sf_dir, "us")), out)
     return spark.read.parquet(out).filter(F.col("status") == GOOD).select(*US_FIELDS)
 
 
 @query("K4_ep_stream", EP_TEXTS)
 def ep_stream(spark, sf_dir):
-    source = _ep_archives(spark, sf_dir)
+    source = _archives(spark, sf_dir, "ep")
     out, bad = shared_folder(spark, "ep-inserted"), shared_folder(spark, "ep-bad")
     for _ in range(2):  # the second stream starts from nothing and must add no row
         stream = archive_stream(spark, source)
@@ -105,7 +100,7 @@ def ep_stream(spark, sf_dir):
 
 @query("K5_us_stream", US_TEXTS)
 def us_stream(spark, sf_dir):
-    source, out, checkpoint = _us_archives(spark, sf_dir), shared_folder(spark, "us-stream"), shared_folder(spark, "checkpoint")
+    source, out, checkpoint = _archives(spark, sf_dir, "us"), shared_folder(spark, "us-stream"), shared_folder(spark, "checkpoint")
     for _ in range(2):  # the second run finds no new archive
         write_us_stream(archive_stream(spark, source), out, checkpoint).awaitTermination()
     return spark.read.parquet(out).filter(F.col("status") == GOOD).select(*US_FIELDS)

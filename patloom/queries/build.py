@@ -29,10 +29,11 @@ NOT_XML = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
 
 def escaped(value: Column) -> Column:
     """Text as XML character data."""
-    text = F.regexp_replace(value.cast("string"), NOT_XML, "")
+    text = value.cast("string")
+    clean = F.regexp_replace(text, NOT_XML, "")
     for plain, reference in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("\r", "&#13;")):
-        text = F.replace(text, F.lit(plain), F.lit(reference))
-    return text
+        clean = F.replace(clean, F.lit(plain), F.lit(reference))
+    return F.when(text.rlike(r"[&<>\x00-\x08\x0b-\x1f]"), clean).otherwise(text)
 
 
 def tag(name: str, *content: Column | str, **attributes: Column | str) -> Column:
@@ -142,11 +143,11 @@ def _writer(folder: str, make):
     return run
 
 
-def write_archives(documents: DataFrame, folder: str, kind: str) -> str:
-    """Write (name, xml) rows as archives of a kind: ep, us, or loose US files."""
+def write_archives(documents: DataFrame, folder: str, kind: str, tasks: int) -> str:
+    """Write (name, xml) rows, which lie in so many tasks, as archives of a kind: ep, us, or loose US files."""
     make = {"ep": _ep_archive, "us": _us_archive, "file": _us_file}[kind]
     context = documents.sparkSession.sparkContext
-    context.setLocalProperty("patloom.tasks", str(documents.rdd.getNumPartitions()))
+    context.setLocalProperty("patloom.tasks", str(tasks))
     documents.select("name", "xml").mapInArrow(_writer(folder, make), "archives bigint").agg(F.sum("archives")).collect()
     return folder
 

@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 from patloom.functions.ep import parse_ep
 from patloom.functions.us import parse_us, split_documents
 from patloom.queries.build import US_HEAD, day, each, escaped, leaf, lines, tag
-from patloom.queries.registry import query, table
+from patloom.queries.registry import heavy, query, table
 from patloom.schemas import EP_RECORD, US_RECORD
 
+TEXT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TEXTS = ("abstract", "description", "claims")
 
 
 def _orders(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    orders = heavy(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     return orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
 
@@ -133,7 +134,7 @@ EP_TEXTS = f"""
 
 @query("X_texts", EP_TEXTS)
 def ep_texts(spark, sf_dir):
-    raw = table(spark, sf_dir, "documents").select(ep_document_xml().cast("binary").alias("content"))
+    raw = heavy(spark, sf_dir, "documents", *TEXT_COLUMNS).select(ep_document_xml().cast("binary").alias("content"))
     return parse_ep(raw, keep_bad_xml=False).select("doc_id", *TEXTS)
 
 
@@ -149,7 +150,7 @@ def quarantine(spark, sf_dir):
     number = F.when(F.col("lang") == "fr", F.concat(F.lit("n"), "key")).otherwise(F.col("key").cast("string"))
     closing = F.when(F.col("lang") == "de", "</x>").otherwise("</d>")
     xml = F.concat(F.lit('<d id="1" doc-number="'), number, F.lit('"><p>'), escaped(F.col("text")), F.lit("</p>"), closing)
-    documents = table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "key")
+    documents = heavy(spark, sf_dir, "documents", *TEXT_COLUMNS).withColumnRenamed("doc_id", "key")
     parsed = parse_ep(documents.select("key", xml.alias("content")), keep_bad_xml=False)
     error = F.col("error")
     return parsed.select(
@@ -278,7 +279,7 @@ US_TEXTS = f"""
 @query("Y_texts", US_TEXTS)
 def us_texts(spark, sf_dir):
     text = F.concat(F.lit(US_HEAD), us_document_xml())
-    documents = split_documents(table(spark, sf_dir, "documents").select(text.alias("text")))
+    documents = split_documents(heavy(spark, sf_dir, "documents", *TEXT_COLUMNS).select(text.alias("text")))
     return parse_us(documents, keep_bad_xml=False).select(
         "pub_ref_doc_number", "pub_ref_kind", "abstract_text", "description_text"
     )

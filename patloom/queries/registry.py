@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from patloom.operators.rows import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -25,3 +27,8 @@ def query(name: str, sql: str) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def heavy(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Some columns of a table, spread over the cores if it is small: for costly row-wise work."""
+    return spread(table(spark, sf_dir, name).select(*columns))

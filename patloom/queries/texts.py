@@ -14,16 +14,19 @@ from patloom.functions.text import (
     NO_TEXT,
     compose,
     drop_stopwords,
+    blank_separated,
     explode_chunks,
     normalise,
     strip,
-    with_word_chunks,
+    token_list,
+    with_chunks,
     words,
 )
 from patloom.functions.us import decode_text
 from patloom.operators.pooling import or_zero
 from patloom.plans.ep import embedded
-from patloom.queries.registry import query, table
+from patloom.operators.rows import explode_once
+from patloom.queries.registry import heavy, query, table
 
 # Fragments of the SQL.
 CLEAN = r"regexp_replace(lower({0}), '[^\p{{L}}\p{{N}}_\s\p{{Z}}\x1c-\x1f\x{{85}}]', '', 'g')"
@@ -43,7 +46,7 @@ def chunk_sql(tokens: str, source: str, size: int, step: int) -> str:
 @query("T1_words", f"SELECT doc_id, array_to_string({WORDS.format('text')}, ' ') AS words FROM documents")
 def all_words(spark, sf_dir):
     joined = F.array_join(words(F.col("text")), " ")
-    return table(spark, sf_dir, "documents").select("doc_id", joined.alias("words"))
+    return heavy(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", joined.alias("words"))
 
 
 @query(
@@ -55,7 +58,8 @@ def all_words(spark, sf_dir):
 )
 def normalised(spark, sf_dir):
     given = F.when(F.col("source") != "src0", F.col("text"))
-    return table(spark, sf_dir, "documents").select("doc_id", normalise(given).alias("normal"))
+    documents = heavy(spark, sf_dir, "documents", "doc_id", "source", "text")
+    return documents.select("doc_id", normalise(given).alias("normal"))
 
 
 @query(
@@ -90,7 +94,8 @@ def _lemmas(spark, sf_dir):
     """Lemmas of all words of the documents, the words of the benchmark being the known nouns."""
 
     def distinct(name):
-        return table(spark, sf_dir, name).select(F.explode(words(F.col("text"))).alias("word")).distinct()
+        texts = heavy(spark, sf_dir, name, "text")
+        return explode_once(texts, [], words(F.col("text")), "pos", "word").select("word").distinct()
 
     return noun_lemmas(distinct("documents"), distinct("benchmark"))
 
@@ -110,7 +115,7 @@ LEMMATISED = f"""WITH RECURSIVE {LEMMAS},
 
 def _lemmatised(spark, sf_dir, **bounds):
     kept = drop_stopwords(words(F.col("text")))
-    tokens = table(spark, sf_dir, "documents").select("doc_id", kept.alias("tokens"))
+    tokens = heavy(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", kept.alias("tokens"))
     swapped = lemmatise(tokens, "tokens", _lemmas(spark, sf_dir), ["doc_id"], **bounds)
     return swapped.select("doc_id", F.array_join("tokens", " ").alias("normal"))
 
@@ -149,9 +154,14 @@ def composed(spark, sf_dir):
 BLANKS = "list_filter(string_split(text, ' '), lambda x: x <> '')"
 
 
+def normal_words(text):
+    return token_list(drop_stopwords(words(text)))
+
+
 def _chunked(spark, sf_dir, size, overlap):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return explode_chunks(with_word_chunks(documents, "text", size=size, overlap=overlap)).drop("text")
+    documents = heavy(spark, sf_dir, "documents", "doc_id", "text")
+    chunked = with_chunks(documents, blank_separated(F.col("text")), size=size, overlap=overlap)
+    return explode_chunks(chunked.drop("text"))
 
 
 @query("T5_chunks", chunk_sql("w", f"SELECT doc_id, {BLANKS} AS w FROM documents", 2000, 1800))
@@ -166,8 +176,8 @@ def small_chunks(spark, sf_dir):
 
 @query("T1_T5_normalised_chunks", chunk_sql("w", f"SELECT doc_id, {KEPT.format('text')} AS w FROM documents", 2000, 1800))
 def normalised_chunks(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", normalise(F.col("text")).alias("normal"))
-    return explode_chunks(with_word_chunks(documents, "normal")).drop("normal")
+    documents = heavy(spark, sf_dir, "documents", "doc_id", "text")
+    return explode_chunks(with_chunks(documents, normal_words(F.col("text"))).drop("text"))
 
 
 def letter_model():
@@ -183,7 +193,7 @@ def letters_sql(chunks_sql: str, documents: str = "documents") -> str:
 
 
 def by_position(df, vector="embedding"):
-    return df.select("doc_id", F.posexplode(vector).alias("pos", "mean")).withColumn("mean", F.round("mean", 6))
+    return explode_once(df, ["doc_id"], vector, "pos", "mean").withColumn("mean", F.round("mean", 6))
 
 
 @query(
@@ -191,8 +201,8 @@ def by_position(df, vector="embedding"):
     letters_sql(chunk_sql("w", f"SELECT doc_id, {KEPT.format('text')} AS w FROM documents", 200, 180)),
 )
 def embed_and_pool(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", normalise(F.col("text")).alias("normal"))
-    chunked = with_word_chunks(documents, "normal", size=200, overlap=20)
+    documents = heavy(spark, sf_dir, "documents", "doc_id", "text")
+    chunked = with_chunks(documents, normal_words(F.col("text")), size=200, overlap=20)
     return by_position(with_embedding(chunked, "chunks", letter_model, width=len(LETTERS)))
 
 
@@ -211,7 +221,7 @@ def embed_and_pool(spark, sf_dir):
 )
 def embed_records(spark, sf_dir):
     nothing = F.lit(None).cast("string")
-    records = table(spark, sf_dir, "documents").select(
+    records = heavy(spark, sf_dir, "documents", "doc_id", "source", "lang", "text").select(
         "doc_id",
         F.col("source").alias("title_en"),
         F.col("lang").alias("abstract"),
