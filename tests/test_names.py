@@ -1,0 +1,73 @@
+"""Names, dates, listings."""
+
+import datetime
+
+from pyspark.sql import functions as F
+
+from patloom.functions import names as n
+from patloom.sources.listing import candidate_names, first_existing, latest_entry
+
+
+def column(spark, values, make, kind="string"):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"n int, v {kind}")
+    return [row[0] for row in df.orderBy("n").select(make(F.col("v"))).collect()]
+
+
+def test_ep_names(spark):
+    values = ["EPRTBJV2025000003001001.zip", "EPRTBJV2025000053001001.TAR", "EPRTBJV2025.zip", "EPRTBJV0000001001001.zip", "x", None]
+    assert column(spark, values, n.ep_year) == ["2025", "2025", None, None, None, None]
+    assert column(spark, values, n.ep_week) == ["03", "53", None, None, None, None]
+
+
+def test_us_names(spark):
+    values = ["ipg240102.zip", "IPG240102_r1.ZIP", "ipg2401.zip", "", None]
+    assert column(spark, values, n.us_date_part) == ["240102", "240102", None, None, None]
+    assert column(spark, values, n.us_year) == ["2024", "2024", None, None, None]
+
+
+def test_us_keys(spark):
+    values = ["2024/zipped/ipg240102.zip", "2024/ipg240102.zip", "zipped/ipg240102.zip", "a/b/zipped/ipg240102.zip", "2024/zipped/x.zip", ""]
+    assert column(spark, values, n.us_key_year) == ["2024", None, None, "a", None, None]
+
+
+def test_archive_and_document_names(spark):
+    assert column(spark, ["a.zip", "a.TAR", "a.zip.txt", "zip"], n.is_archive) == [True, True, False, False]
+    assert column(spark, ["a.xml", "TOC.xml", "aTOC.xml", "toc.xml", "a.XML"], n.is_document) == [True, False, False, True, False]
+
+
+def test_latest_grant_date(spark):
+    days = [datetime.date(2024, 1, 1) + datetime.timedelta(days=i) for i in range(400)]
+    expected = [(d - datetime.timedelta(days=(d.weekday() - 1) % 7)).strftime("%m-%d-%Y") for d in days]
+    assert column(spark, days, n.latest_grant_date, "date") == expected
+
+
+def test_published_at(spark):
+    got = column(spark, ["31.12.2024 23:59", "2024-12-31", "31.13.2024 00:00", None], n.published_at)
+    assert got == [datetime.datetime(2024, 12, 31, 23, 59), None, None, None]
+
+
+def test_base_name(spark):
+    assert column(spark, ["a/b.xml", "b.xml", "a/"], n.base_name) == ["b.xml", "b.xml", ""]
+
+
+def test_candidates_prefer_zip_and_know_week_53(spark):
+    years = spark.createDataFrame([("2020",), ("2021",)], "year string")
+    assert candidate_names(years).count() == 2 * 53 * 2
+    listed = ["EPRTBJV2020000053001001.tar", "EPRTBJV2021000001001001.tar", "EPRTBJV2021000001001001.zip", "other.zip"]
+    listing = spark.createDataFrame([(name,) for name in listed], "file_name string")
+    got = {tuple(r) for r in first_existing(candidate_names(years), listing).select("year", "week", "file_name").collect()}
+    assert got == {("2020", "53", listed[0]), ("2021", "01", listed[2])}
+
+
+def test_latest_entry(spark):
+    rows = [
+        (0, "a.txt", "31.12.2030 00:00"),
+        (1, "a.zip", "01.02.2024 10:00"),
+        (2, "b.tar", "02.01.2025 10:00"),
+        (3, "c.ZIP", "02.01.2025 10:00"),
+        (4, "d.zip", "no time"),
+    ]
+    listing = spark.createDataFrame(rows, "pos int, file_name string, published_at string")
+    latest = latest_entry(listing, "pos")
+    assert latest.first().file_name == "b.tar"
+    assert "TakeOrderedAndProject" in latest._jdf.queryExecution().executedPlan().toString()

@@ -1,0 +1,100 @@
+"""Tables: by week, extracts, inserts, reruns."""
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from patloom.plans.extract import date_extract, run_extract
+from patloom.session import shared_folder
+from patloom.sinks.tables import insert_if_absent, insert_into_bucketed, read_or_none, write_extract, write_weekly
+from patloom.sources.files import read_weekly
+
+
+def test_weeks_replace_only_themselves(spark, tmp_path):
+    out = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, "2024", "02"), (2, "2024", "03")], "n int, year string, week string")
+    write_weekly(df, out)
+    write_weekly(df.filter("week = '03'").withColumn("n", F.lit(9)), out)
+    write_weekly(df.filter("false"), out)
+    back = read_weekly(spark, out)
+    assert {tuple(r) for r in back.select("n", "year", "week").collect()} == {(1, "2024", "02"), (9, "2024", "03")}
+    plan = back.filter("week = '02'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and back.filter("week = '02'").count() == 1
+
+
+def test_a_hot_week_is_written_by_many_tasks(spark, tmp_path):
+    df = spark.range(400_000).select(F.sha2(F.col("id").cast("string"), 512).alias("v"), F.lit("2024").alias("year"), F.lit("01").alias("week"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4MB")
+    try:
+        write_weekly(df.repartition(8), str(tmp_path / "hot"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(spark.read.parquet(str(tmp_path / "hot")).inputFiles()) > 1
+
+
+def test_extract(spark, tmp_path):
+    rows = [(1, "20211231"), (2, "20220101"), (3, "20241231"), (4, "20250101"), (5, ""), (6, None)]
+    spark.createDataFrame(rows, "n int, date_publication string").write.parquet(str(tmp_path / "in"))
+    assert run_extract(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert {r.n for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {2, 3}
+    assert not run_extract(spark, str(tmp_path / "in"), str(tmp_path / "none"), "19000101", "19001231")
+    assert not (tmp_path / "none").exists()
+    plan = date_extract(spark.read.parquet(str(tmp_path / "in")))._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(date_publication,20220101)" in plan and "Exchange" not in plan
+
+
+def test_failed_extract_leaves_nothing_readable(spark, tmp_path):
+    df = spark.range(10).select(F.when(F.col("id") == 7, F.raise_error(F.lit("midway"))).otherwise(F.col("id")).alias("n"))
+    with pytest.raises(Exception, match="midway"):
+        write_extract(df, str(tmp_path / "out"))
+    assert not (tmp_path / "out" / "_SUCCESS").exists()
+    assert not list((tmp_path / "out").glob("*.parquet"))
+
+
+def incoming(spark, *rows):
+    return spark.createDataFrame(rows, "doc_id string, archive string, member string, entry string, doc_pos int, v int")
+
+
+@pytest.mark.parametrize("kind", ["path", "bucketed"])
+def test_insert_if_absent(spark, tmp_path, kind):
+    def insert(df):
+        if kind == "path":
+            insert_if_absent(df, str(tmp_path / "t"), columns=["doc_id", "v"])
+        else:
+            insert_into_bucketed(df, "inserted_here", columns=["doc_id", "v"], buckets=4)
+
+    first = incoming(spark, ("a", "z", "m", "e", 0, 1), ("a", "y", "m", "e", 0, 2), ("b", "z", "m", "e", 1, 3))
+    insert(first)
+    insert(first)
+    insert(incoming(spark, ("b", "a", "m", "e", 0, 9), ("c", "a", "m", "e", 0, 4)))
+    table = spark.read.parquet(str(tmp_path / "t")) if kind == "path" else spark.table("inserted_here")
+    assert {tuple(r) for r in table.collect()} == {("a", 2), ("b", 3), ("c", 4)}
+    assert table.count() == 3
+
+
+def test_bucketed_target_is_not_shuffled(spark):
+    from patloom.sinks.tables import absent_rows
+
+    insert_into_bucketed(incoming(spark, ("a", "z", "m", "e", 0, 1)), "bucketed_target")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = incoming(spark, ("b", "z", "m", "e", 0, 1))
+        plan = absent_rows(df, spark.table("bucketed_target"), "doc_id", ["v"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The one shuffle is that of the dedup.
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_only_an_absent_path_counts_as_absent(spark, tmp_path):
+    assert read_or_none(spark, str(tmp_path / "nowhere")) is None
+    (tmp_path / "empty").mkdir()
+    assert read_or_none(spark, str(tmp_path / "empty"), "a int").count() == 0
+    with pytest.raises(AnalysisException):
+        read_or_none(spark, str(tmp_path / "empty"))
+
+
+def test_shared_folder_is_under_the_named_one(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    first, second = shared_folder(spark, "x"), shared_folder(spark, "x")
+    assert first.startswith(base) and first != second
