@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 EP_ARCHIVE = r"^.{7}(\d{4})0000(\d{2}).*\.(?i:zip|tar)$"
 EP_PREFIX, EP_MIDDLE, EP_SUFFIX = "EPRTBJV", "0000", "001001"
 EP_EXTENSIONS = (".zip", ".tar")  # in order of preference
+WEEK_FOLDER = r"(?:^|/)(\d{4})_(\d{2})/[^/]+$"
 US_ARCHIVE = r"(?i)ipg(\d{6}).*?\.zip"
 US_FOLDER = "zipped"
 ARCHIVE_EXTENSION = r"(?i)\.(zip|tar)$"
@@ -51,6 +52,16 @@ def year_week(year: Column, week: Column) -> Column:
     return F.concat_ws("_", year, two_digits(week))
 
 
+def folder_year(path: Column) -> Column:
+    """Year of a file that lies in a week folder such as 2025_03, else null."""
+    return _group(path, WEEK_FOLDER, 1)
+
+
+def folder_week(path: Column) -> Column:
+    """Two-digit week of a file that lies in a week folder, else null."""
+    return _group(path, WEEK_FOLDER, 2)
+
+
 def us_date_part(name: Column) -> Column:
     """The `yymmdd` of a US archive name in any case, null for any other name."""
     return _group(name, US_ARCHIVE, 1)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from patloom.operators.counts import observed
 from patloom.sinks.tables import write_extract
 from patloom.sources.files import in_range
 
@@ -18,6 +19,11 @@ def date_extract(records: DataFrame, day: str = "date_publication", first: str =
     return records.filter(in_range(F.col(day), first, last))
 
 
-def run_extract(spark: SparkSession, source: str, out: str, first: str = FIRST_DAY, last: str = LAST_DAY) -> bool:
-    """Write the extract; False, and no file, where no record is in the range."""
-    return write_extract(date_extract(spark.read.parquet(source), first=first, last=last), out, skip_empty=True)
+def run_extract(spark: SparkSession, source: str, out: str, first: str = FIRST_DAY, last: str = LAST_DAY) -> int:
+    """Write the extract and give its row count; no file where no record is in the range."""
+    rows = date_extract(spark.read.parquet(source), first=first, last=last)
+    if rows.isEmpty():
+        return 0
+    watched, seen = observed(rows, "extract")  # an observation holds what the first action saw
+    write_extract(watched, out)
+    return seen.get["rows"]

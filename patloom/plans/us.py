@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patloom.functions.names import us_date_part, us_year
+from patloom.functions.names import base_name, us_date_part, us_year
 from patloom.functions.us import parse_us
 from patloom.operators.dedup import first_by_key
+from patloom.operators.skip import not_done
 from patloom.plans.ep import BAD, GOOD
-from patloom.sinks.tables import write_weekly
-from patloom.sources.archives import read_flat_documents
+from patloom.plans.ingest import MANIFEST
+from patloom.sinks.tables import read_or_none, write_weekly
+from patloom.sources.archives import list_files, read_flat_documents
 
 DEDUP_KEY = ("archive", "pub_ref_doc_number")
 ORDER = ("archive", "entry", "doc_pos")
@@ -35,3 +37,16 @@ def write_archives(archives: DataFrame, path: str, keep_null_keys: bool = False,
         }
     )
     write_weekly(placed, path, by=("status", "year", "date_part", "archive"))
+
+
+def write_new_archives(spark: SparkSession, source: str, path: str, manifest: str, tasks: int | None = None) -> None:
+    """Write the archives of a folder that the manifest does not name yet; it is written last.
+
+    The manifest knows archives by their full name, so a revised archive of the same day counts.
+    """
+    named = list_files(spark, source).withColumn("file_name", base_name(F.col("path")))
+    archives = named.filter(us_date_part(F.col("file_name")).isNotNull())
+    done = read_or_none(spark, manifest, MANIFEST)
+    pending = archives if done is None else not_done(archives, done, ["file_name"], unique=True)
+    write_archives(pending, path, tasks=tasks)
+    pending.select("file_name", "length", "modificationTime").write.mode("append").parquet(manifest)

@@ -104,3 +104,11 @@ def us_stream(spark, sf_dir):
     for _ in range(2):  # the second run finds no new archive
         write_us_stream(archive_stream(spark, source), out, checkpoint).awaitTermination()
     return spark.read.parquet(out).filter(F.col("status") == GOOD).select(*US_FIELDS)
+
+
+@query("K5_us_manifest", US_TEXTS)
+def us_manifest(spark, sf_dir):
+    source, out, manifest = _archives(spark, sf_dir, "us"), shared_folder(spark, "us-records"), shared_folder(spark, "manifest")
+    for _ in range(2):  # the second run finds every archive in the manifest
+        us.write_new_archives(spark, source, out, manifest)
+    return spark.read.parquet(out).filter(F.col("status") == GOOD).select(*US_FIELDS)

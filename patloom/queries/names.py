@@ -10,6 +10,8 @@ from patloom.functions.names import (
     ep_archive_name,
     ep_week,
     ep_year,
+    folder_week,
+    folder_year,
     latest_grant_date,
     published_at,
     two_digits,
@@ -121,3 +123,21 @@ def key_year(spark, sf_dir):
 )
 def base(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", base_name(F.col("url")).alias("name"))
+
+
+@query(
+    "D2_week_folders",
+    """
+    SELECT o_orderkey, path, CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y') END AS year,
+      CASE WHEN o_orderstatus <> 'P' THEN lpad(week(o_orderdate)::VARCHAR, 2, '0') END AS week FROM (
+      SELECT *, strftime(o_orderdate, '%Y') || '/xml/' || CASE o_orderstatus WHEN 'P' THEN 'other' ELSE
+        strftime(o_orderdate, '%Y') || '_' || lpad(week(o_orderdate)::VARCHAR, 2, '0') END || '/' || o_orderkey || '.xml' AS path
+      FROM orders)
+    """,
+)
+def week_folders(spark, sf_dir):
+    year = F.date_format("o_orderdate", "yyyy")
+    folder = F.when(F.col("o_orderstatus") == "P", "other").otherwise(year_week(year, F.weekofyear("o_orderdate")))
+    path = F.concat(year, F.lit("/xml/"), folder, F.lit("/"), "o_orderkey", F.lit(".xml"))
+    paths = table(spark, sf_dir, "orders").select("o_orderkey", path.alias("path"))
+    return paths.withColumns({"year": folder_year(F.col("path")), "week": folder_week(F.col("path"))})

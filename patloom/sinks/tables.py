@@ -23,12 +23,14 @@ def read_or_none(spark: SparkSession, path: str, schema=None) -> DataFrame | Non
         raise
 
 
-def write_weekly(df: DataFrame, path: str, by: Sequence[str] = ("year", "week")) -> None:
+def write_weekly(df: DataFrame, path: str, by: Sequence[str] = ("year", "week"), balance: bool = True) -> None:
     """Write by year and week. Weeks in the data replace what was there, other weeks stay.
 
-    The rebalance lets Spark split a large week over tasks and join small ones into one file.
+    The rebalance, a shuffle, lets Spark split a large week over tasks and join small ones into
+    one file. Without it each task writes a file for each week it holds: right where the rows lie
+    together already.
     """
-    balanced = df.hint("rebalance", *by)
+    balanced = df.hint("rebalance", *by) if balance else df
     balanced.write.partitionBy(*by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
@@ -43,7 +45,7 @@ def write_extract(df: DataFrame, path: str, skip_empty: bool = False) -> bool:
 def absent_rows(incoming: DataFrame, target: DataFrame | None, key: str, order: Sequence[str]) -> DataFrame:
     """The first incoming row of each key that the target does not hold."""
     fresh = first_by_key(incoming, [key], order)
-    return fresh if target is None else not_done(fresh, target, [key])
+    return fresh if target is None else not_done(fresh, target, [key], unique=True)
 
 
 def insert_if_absent(

@@ -127,3 +127,31 @@ def test_us_job_has_one_shuffle_after_the_reading(spark, tmp_path):
     df = us.unique_records(parse_us(read_flat_documents(list_files(spark, str(tmp_path)), tasks=2)))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "WindowGroupLimit" in plan
+
+
+def test_us_manifest_knows_full_names(spark, tmp_path):
+    source = tmp_path / "source"
+    source.mkdir()
+    (source / "ipg240102.zip").write_bytes(zipped({"1.xml": us_doc("A")}))
+    (source / "readme.txt").write_bytes(b"-")
+    paths = [str(tmp_path / part) for part in ("source", "out", "manifest")]
+    us.write_new_archives(spark, *paths)
+    (source / "ipg240102_r1.zip").write_bytes(zipped({"1.xml": us_doc("A", "revised")}))
+    for _ in range(2):
+        us.write_new_archives(spark, *paths)
+        assert sorted(r.title for r in spark.read.parquet(paths[1]).collect()) == ["revised", "t"]
+        names = sorted(r.file_name for r in spark.read.parquet(paths[2]).collect())
+        assert names == ["ipg240102.zip", "ipg240102_r1.zip"]
+
+
+def test_loose_files_of_a_week_to_records(spark, tmp_path):
+    from patloom.sources.files import read_week_folders
+
+    week = tmp_path / "2024" / "xml" / "2024_02"
+    week.mkdir(parents=True)
+    for number in (1, 2):
+        (week / f"EP{number}.xml").write_bytes(ep_xml(number))
+    (week / "TOC.xml").write_bytes(b"<toc/>")
+    write_records(read_week_folders(spark, str(tmp_path / "2024")), str(tmp_path / "out"), balance=False)
+    rows = read_weekly(spark, str(tmp_path / "out")).collect()
+    assert sorted((r.doc_id, r.year, r.week, r.status) for r in rows) == [("EP1", "2024", "02", GOOD), ("EP2", "2024", "02", GOOD)]

@@ -56,6 +56,16 @@ def test_skip(rows, spark):
     assert sorted(r.o for r in existing(rows, done, ["k"]).collect()) == [1, 3]
 
 
+def test_hot_key_of_the_done_side_is_reduced_before_the_shuffle(spark, rows):
+    done = spark.range(1000).select(F.when(F.col("id") % 3 > 0, "a").otherwise("x").alias("k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(not_done(rows, done, ["k"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("HashAggregate") == 2 and text.count("Exchange") == 2
+
+
 def test_skip_reads_only_keys(spark, tables):
     documents = spark.read.parquet(f"{tables}/documents.parquet").select("doc_id")
     target = spark.read.parquet(f"{tables}/documents.parquet")

@@ -35,7 +35,7 @@ def test_a_hot_week_is_written_by_many_tasks(spark, tmp_path):
 def test_extract(spark, tmp_path):
     rows = [(1, "20211231"), (2, "20220101"), (3, "20241231"), (4, "20250101"), (5, ""), (6, None)]
     spark.createDataFrame(rows, "n int, date_publication string").write.parquet(str(tmp_path / "in"))
-    assert run_extract(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert run_extract(spark, str(tmp_path / "in"), str(tmp_path / "out")) == 2
     assert {r.n for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {2, 3}
     assert not run_extract(spark, str(tmp_path / "in"), str(tmp_path / "none"), "19000101", "19001231")
     assert not (tmp_path / "none").exists()
