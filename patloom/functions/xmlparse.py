@@ -8,6 +8,7 @@ trimming, dates) is left to Spark expressions on that struct.
 
 from __future__ import annotations
 
+import gc
 import xml.etree.ElementTree as ET
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -60,8 +61,9 @@ Index = dict[str, list[ET.Element]]
 
 def _reader(pick: Pick) -> Callable[[ET.Element, Index], object]:
     """The function that takes a pick from a root and the index of its anchor elements."""
+    parts = [(name, *sub.partition("[1]/")[::2]) for name, sub in pick.parts]
     clean = (lambda text: None if text is None else text.strip()) if pick.strip else (lambda text: text)
-    anchor, within, path, parts = pick.anchor, pick.within, pick.path, pick.parts
+    anchor, within, path = pick.anchor, pick.within, pick.path
     below = path[3 + len(anchor) :].removeprefix("/") if anchor else path
     below = f"./{below}" if below.startswith("/") else below  # `a//b`: any depth below an anchor
 
@@ -84,6 +86,13 @@ def _reader(pick: Pick) -> Callable[[ET.Element, Index], object]:
 
         return read
 
+    def row(el: ET.Element) -> dict[str, str | None]:
+        values = {}
+        for name, sub, inner in parts:
+            at = el.find(sub) if inner else el  # `a[1]/b`: below the first a only
+            values[name] = None if at is None else clean(at.findtext(inner or sub))
+        return values
+
     def first(root: ET.Element, index: Index) -> str | None:
         texts = (start.findtext(below) if below else start.text or "" for start in starts(root, index) or ())
         return clean(next((text for text in texts if text is not None), None))
@@ -100,8 +109,8 @@ def _reader(pick: Pick) -> Callable[[ET.Element, Index], object]:
         "texts": of_each(lambda el: clean(el.text), kept=lambda el: el.text),
         "pieces": of_each(lambda el: " ".join(el.itertext())),
         "blocks": blocks,
-        "rows": of_each(lambda el: {name: clean(el.findtext(sub)) for name, sub in parts}),
-        "lists": of_each(lambda el: {name: [clean(e.text or "") for e in el.findall(sub)] for name, sub in parts}),
+        "rows": of_each(row),
+        "lists": of_each(lambda el: {name: [clean(e.text or "") for e in el.findall(sub)] for name, sub, _ in parts}),
     }[pick.take]
 
 
@@ -118,6 +127,8 @@ def xml_struct(picks: Sequence[Pick]) -> Callable[[Column], Column]:
         readers = [(pick.name, _reader(pick)) for pick in picks]
         anchors = {pick.anchor for pick in picks if pick.anchor}
         records = []
+        collecting = gc.isenabled()
+        gc.disable()  # a tree has no cycles, and a batch of trees is many objects to walk
         for document in documents:
             try:
                 root = ET.fromstring(document.as_py())
@@ -128,6 +139,8 @@ def xml_struct(picks: Sequence[Pick]) -> Callable[[Column], Column]:
                 records.append({name: read(root, index) for name, read in readers})
             except Exception as problem:  # any bad document is set aside, with the reason
                 records.append({"error": f"{type(problem).__name__}: {problem}"})
+        if collecting:
+            gc.enable()
         return pa.array(records, to_arrow_type(result))
 
     return parse

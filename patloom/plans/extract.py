@@ -14,9 +14,19 @@ FIRST_DAY, LAST_DAY = "20220101", "20241231"
 # -------------------------------------------------------------------------------------------
 
 
-def date_extract(records: DataFrame, day: str = "date_publication", first: str = FIRST_DAY, last: str = LAST_DAY) -> DataFrame:
-    """Records of a closed range of days. The filter reaches the Parquet scan."""
-    return records.filter(in_range(F.col(day), first, last))
+def date_extract(
+    records: DataFrame,
+    day: str = "date_publication",
+    first: str = FIRST_DAY,
+    last: str = LAST_DAY,
+    year: str | None = None,
+) -> DataFrame:
+    """Records of a closed range of days. The filter reaches the Parquet scan.
+
+    Name the `year` column of a table that is partitioned by it, and whole folders are passed over.
+    """
+    within = records.filter(in_range(F.col(day), first, last))
+    return within.filter(F.col(year).cast("string").between(first[:4], last[:4])) if year else within
 
 
 def run_extract(spark: SparkSession, source: str, out: str, first: str = FIRST_DAY, last: str = LAST_DAY) -> int:

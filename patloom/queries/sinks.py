@@ -74,8 +74,9 @@ def insert(spark, sf_dir):
 
 @query("K4_insert_into_bucketed", INSERTED)
 def insert_bucketed(spark, sf_dir):
-    name = shared_folder(spark, "bucketed").rsplit("/", 1)[1].replace("-", "_")
-    _insert_twice(spark, sf_dir, lambda rows: insert_into_bucketed(rows, name, "doc_id", ["run"], buckets=8))
+    path = shared_folder(spark, "bucketed")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    _insert_twice(spark, sf_dir, lambda rows: insert_into_bucketed(rows, name, "doc_id", ["run"], path=path))
     return spark.table(name)
 
 

@@ -70,19 +70,22 @@ def insert_into_bucketed(
     order: Sequence[str] = ORIGIN,
     columns: Sequence[str] | None = None,
     buckets: int | None = None,
+    path: str | None = None,
 ) -> None:
     """As `insert_if_absent` for a catalog table bucketed by the key.
 
     The stored side of the anti join is read in its buckets and not shuffled, so the cost of an
     insert follows the size of what comes in. Spark takes that way only if the buckets are no
-    fewer than the shuffle partitions; without a number they are as many.
+    fewer than the shuffle partitions; without a number they are as many. `path` is where a new
+    table is kept, if not in the warehouse.
     """
     spark = incoming.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     target = spark.table(table) if spark.catalog.tableExists(table) else None
     rows = absent_rows(incoming, target, key, order)
     rows = (rows.select(*columns) if columns else rows).repartition(buckets, key)
-    rows.write.bucketBy(buckets, key).sortBy(key).mode("append").saveAsTable(table)
+    writer = rows.write.bucketBy(buckets, key).sortBy(key).mode("append")
+    (writer.option("path", path) if path and target is None else writer).saveAsTable(table)
 
 
 def insert_over_jdbc(

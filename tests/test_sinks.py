@@ -43,6 +43,15 @@ def test_extract(spark, tmp_path):
     assert "GreaterThanOrEqual(date_publication,20220101)" in plan and "Exchange" not in plan
 
 
+def test_extract_of_a_partitioned_table_prunes_folders(spark, tmp_path):
+    rows = [(1, "20211231", "2021"), (2, "20220101", "2022"), (3, "20241231", "2024")]
+    df = spark.createDataFrame(rows, "n int, date_publication string, year_publication string")
+    df.write.partitionBy("year_publication").parquet(str(tmp_path / "in"))
+    extract = date_extract(spark.read.parquet(str(tmp_path / "in")), year="year_publication")
+    assert {r.n for r in extract.collect()} == {2, 3}
+    assert "PartitionFilters: [isnotnull(year_publication" in extract._jdf.queryExecution().executedPlan().toString()
+
+
 def test_failed_extract_leaves_nothing_readable(spark, tmp_path):
     df = spark.range(10).select(F.when(F.col("id") == 7, F.raise_error(F.lit("midway"))).otherwise(F.col("id")).alias("n"))
     with pytest.raises(Exception, match="midway"):
