@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from patloom.operators.rows import explode_once
 
@@ -45,14 +46,21 @@ def _lookup(df: DataFrame, tokens: str, out: str, table: pa.Table) -> DataFrame:
     return df.withColumn(out, replaced(F.col(tokens)))
 
 
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _swapped(lists: pa.Array, changes: pa.Array) -> pa.Array:
+    rows = []
+    for tokens, pairs in zip(lists.to_pylist(), changes.to_pylist()):
+        lemma_of = {pair["word"]: pair["lemma"] for pair in pairs or ()}
+        rows.append([lemma_of.get(token, token) for token in tokens] if lemma_of else tokens)
+    return pa.array(rows, pa.list_(pa.string()))
+
+
 def _join(df: DataFrame, tokens: str, out: str, lemmas: DataFrame, keys: Sequence[str]) -> DataFrame:
-    long = explode_once(df, keys, tokens, "__pos", "word")
-    swapped = long.join(lemmas, "word", "left").withColumn("__token", F.coalesce("lemma", "word"))
-    # One group is one document, which was one row before.
-    lists = swapped.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__pos", "__token"))).alias("__list"))
-    rebuilt = lists.select(*keys, F.transform("__list", lambda at: at["__token"]).alias("__rebuilt"))
-    none = F.when(F.col(tokens).isNotNull(), F.array().cast("array<string>"))
-    return df.join(rebuilt, list(keys), "left").withColumn(out, F.coalesce("__rebuilt", none)).drop("__rebuilt")
+    distinct = explode_once(df, keys, F.array_distinct(tokens), "__pos", "word").drop("__pos")
+    # A group holds the words to change of one document, which was one row before.
+    pairs = distinct.join(lemmas, "word").groupBy(*keys).agg(F.collect_list(F.struct("word", "lemma")).alias("__changes"))
+    joined = df.join(pairs, list(keys), "left")
+    return joined.withColumn(out, _swapped(F.col(tokens), F.col("__changes"))).drop("__changes")
 
 
 def lemmatise(
@@ -67,8 +75,9 @@ def lemmatise(
     """Replace each token by its lemma, if the table (word, lemma; one row per word) has one.
 
     The table is measured first. One within the bounds goes to every executor and is looked up
-    per Arrow batch, with no shuffle. A larger one is joined on the word, and the tokens are put
-    together again by `keys`, which must identify a row; Spark splits hot words (AQE skew join).
+    per Arrow batch, with no shuffle. A larger one is joined on the distinct words of each row, and
+    the words to change go back to their row by `keys`, which must identify it and not be null;
+    Spark splits hot words (AQE skew join).
     """
     changing = lemmas.select("word", "lemma").filter(F.col("word") != F.col("lemma")).persist()
     try:
