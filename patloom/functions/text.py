@@ -54,7 +54,7 @@ def strip(text: Column) -> Column:
 def words(text: Column) -> Column:
     """Lowercased words of a text, in order. Other characters vanish, so `don't` gives `dont`."""
     kept = F.regexp_replace(F.lower(text), f"[^{WORD}{BLANK}]", "")
-    return F.regexp_extract_all(kept, F.lit(f"[{WORD}]+"), F.lit(0))
+    return F.regexp_extract_all(kept, F.lit(f"[^{BLANK}]+"), F.lit(0))
 
 
 def drop_stopwords(tokens: Column, stopwords: Sequence[str] = ENGLISH_STOPWORDS) -> Column:
