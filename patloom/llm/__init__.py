@@ -5,6 +5,7 @@ rows that agree in id and text count as one document, and columns beyond those n
 """
 
 from patloom.llm import (  # noqa: F401
+    chat,
     shards,
 )
 from patloom.llm.registry import ORACLES, QUERIES
