@@ -40,15 +40,20 @@ ENTRIES = "path string, member string, entry string, content binary, error strin
 DOCUMENTS = "path string, entry string, doc_pos int, xml string, error string"
 
 
-def _open(path: str):
-    """A seekable file on whatever file system the path names."""
+def located(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system that a path names, and the path on it."""
     if path.startswith("file:"):
-        return fs.LocalFileSystem().open_input_file("/" + path[len("file:") :].lstrip("/"))
+        return fs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
     if "://" not in path:
-        return fs.LocalFileSystem().open_input_file(path)
+        return fs.LocalFileSystem(), path
     scheme, rest = path.split("://", 1)
     scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
-    filesystem, inside = fs.FileSystem.from_uri(f"{scheme}://{quote(rest)}")
+    return fs.FileSystem.from_uri(f"{scheme}://{quote(rest)}")
+
+
+def _open(path: str):
+    """A seekable file on whatever file system the path names."""
+    filesystem, inside = located(path)
     return filesystem.open_input_file(inside)
 
 
