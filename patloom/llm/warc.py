@@ -1,109 +1,186 @@
-"""WARC archives: written with an index first, read back by coalesced byte ranges.
-
-Which records there will be is settled on narrow rows alone (id, URL, payload size and digest). They
-give the index: shard, offset and length of every record, before any payload has moved. The payloads
-then move once, to their shard, and Spark's text writer writes them: a WARC record ends with two line
-breaks, which is the writer's line separator. So archives go to any file system that Spark knows and
-only whole tasks are committed. Readers take sorted ranges of an archive, near ones in one read.
+"""WARC archives (.warc.gz), written with an index and read back by coalesced byte ranges.
+
+Records are compressed one by one where the pages are read, as usual for WARC, so that only compressed
+records move, once, to the archive they belong to. Which pages revisit another is settled on narrow
+rows (id, URL, payload size and digest). The writer of an archive counts offsets as it goes, and its index
+rows (file, offset, length, URL, digest) are a Spark table: they are committed only for tasks that
+ended well, and name the file of that attempt, so a lost executor leaves at most a file that no index
+names. Readers start from the index: they take sorted ranges of an archive, near ones in one read.
 """
 
 from __future__ import annotations
 
+import gzip
 import hashlib
+import re
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patloom.llm.registry import query, table
 from patloom.session import shared_folder
-from patloom.sources.archives import _open
+from patloom.sources.archives import _open, located
 
 # ---- Fixed values: the WARC 1.1 format ----------------------------------------------------
-EOL = "\r\n"
-RECORD_END = "\r\n\r\n"
+VERSION = "WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 # -------------------------------------------------------------------------------------------
 
 MIN_REVISIT_BYTES = 100
-ARCHIVE_BYTES = 64 << 20
-SLICE_BYTES = 32 << 20  # records that start in one slice of an archive are read by one task
+ARCHIVE_BYTES = 256 << 20  # payload bytes of an archive
+SLICE_BYTES = 8 << 20  # records that start in one slice of an archive are read by one task
 GAP_BYTES = 64 << 10  # ranges at most so far apart are read at once
-READ_BYTES = 8 << 20  # size up to which ranges are put together
+READ_BYTES = 4 << 20  # size up to which ranges are put together
+BATCH_BYTES = 16 << 20
 
 KEY = ("page_id", "url", "digest")
-INDEX = "page_id bigint, url string, digest string, bytes bigint, record_type string, refers_to bigint, shard int, offset bigint, length bigint"
-RECORD = "page_id bigint, url string, record_type string, refers_to bigint, digest string, payload binary"
+INDEX = "path string, offset bigint, length bigint, page_id bigint, url string, digest string, record_type string, refers_to bigint"
+RECORD = "page_id bigint, url string, record_type string, refers_to bigint, digest string, bytes bigint, payload binary"
+ARROW = {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_()}
 
 
-def _shown(value: Column) -> Column:
-    """A header value: empty for null, line breaks percent-encoded."""
-    text = F.coalesce(value.cast("string"), F.lit(""))
-    return F.replace(F.replace(text, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+def arrow_schema(ddl: str) -> pa.Schema:
+    return pa.schema([(name, ARROW[kind]) for name, kind in (part.split() for part in ddl.split(", "))])
 
 
-def _record_id(*parts: Column) -> Column:
-    digest = F.md5(F.concat_ws("|", *(_shown(part) for part in parts)))
-    groups = [F.substring(digest, at, length) for at, length in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
-    return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *groups), F.lit(">"))
+def _shown(value) -> str:
+    """A header value: empty for null, line breaks percent-encoded."""
+    return "" if value is None else str(value).replace("\r", "%0D").replace("\n", "%0A")
 
 
-def _head(date: str) -> Column:
-    """All of a record before its payload; a revisit ends with it."""
-    http = F.concat(
-        F.lit(f"HTTP/1.1 200 OK{EOL}Content-Type: text/html; charset=utf-8{EOL}Content-Length: "),
-        F.col("bytes").cast("string"),
-        F.lit(EOL + EOL),
-    )
-    revisit = F.col("record_type") == "revisit"
-    block = F.octet_length(http) + F.when(revisit, 0).otherwise(F.col("bytes"))
+def record(page_id, url, digest: str, payload: bytes | None, size: int, date: str, refers_to=None) -> bytes:
+    """One record as a gzip member; without a payload it is a revisit."""
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
+    name = uuid.UUID(hashlib.md5(f"{_shown(page_id)}|{_shown(url)}|{digest}".encode()).hexdigest())
     fields = [
-        ("WARC-Type", F.col("record_type")),
-        ("WARC-Record-ID", _record_id(*map(F.col, KEY))),
-        ("WARC-Date", F.lit(date)),
-        ("WARC-Target-URI", _shown(F.col("url"))),
-        ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
-        ("Content-Type", F.lit("application/http; msgtype=response")),
-        ("X-Page-ID", _shown(F.col("page_id"))),
-        ("Content-Length", block.cast("string")),
+        ("WARC-Type", "response" if payload is not None else "revisit"),
+        ("WARC-Record-ID", f"<urn:uuid:{name}>"),
+        ("WARC-Date", date),
+        ("WARC-Target-URI", _shown(url)),
+        ("WARC-Payload-Digest", f"sha256:{digest}"),
+        ("Content-Type", "application/http; msgtype=response"),
+        ("X-Page-ID", _shown(page_id)),
     ]
-    lines = [F.concat(F.lit(f"{name}: "), value, F.lit(EOL)) for name, value in fields]
-    more = F.concat(
-        F.lit(f"WARC-Profile: {REVISIT_PROFILE}{EOL}X-Refers-To-Page-ID: "), _shown(F.col("refers_to")), F.lit(EOL)
-    )
-    return F.concat(F.lit(f"WARC/1.1{EOL}"), *lines, F.when(revisit, more).otherwise(""), F.lit(EOL), http)
+    if payload is None:
+        fields += [("WARC-Profile", REVISIT_PROFILE), ("X-Refers-To-Page-ID", _shown(refers_to))]
+    block = http + (payload or b"")
+    head = "".join(f"{name}: {value}\r\n" for name, value in [*fields, ("Content-Length", len(block))])
+    return gzip.compress(f"{VERSION}\r\n{head}\r\n".encode() + block + b"\r\n\r\n", mtime=0)
+
 
+def parsed(data: bytes) -> dict:
+    """What a record holds; `payload` is null for a revisit, `bytes` is the size of the full payload."""
+    head, _, rest = gzip.decompress(data).partition(b"\r\n\r\n")
+    fields = dict(line.split(b": ", 1) for line in head.split(b"\r\n")[1:])
+    if len(rest) != int(fields[b"Content-Length"]) + 4:
+        raise ValueError(f"a record of {int(fields[b'Content-Length'])} bytes where {len(rest) - 4} are")
+    http, _, payload = rest[:-4].partition(b"\r\n\r\n")
+    number = lambda name: int(fields[name]) if fields.get(name) else None
+    kind = fields[b"WARC-Type"].decode()
+    return {
+        "page_id": number(b"X-Page-ID"),
+        "url": fields[b"WARC-Target-URI"].decode(),
+        "record_type": kind,
+        "refers_to": number(b"X-Refers-To-Page-ID"),
+        "digest": fields[b"WARC-Payload-Digest"].decode().removeprefix("sha256:"),
+        "bytes": int(re.search(rb"Content-Length: (\d+)", http)[1]),
+        "payload": payload if kind == "response" else None,
+    }
 
-def plan_records(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
-    """Key, size, type and record length of every page, without payloads.
+
+def _batches(rows: Iterator[dict], schema: pa.Schema, sized: str) -> Iterator[pa.RecordBatch]:
+    """Rows as batches of bounded size."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[sized] or b"") + 200
+        if size > BATCH_BYTES:
+            yield pa.RecordBatch.from_pylist(held, schema)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(column.to_pylist() for column in batch.columns))
+
+
+PACKED = "page_id bigint, url string, digest string, bytes bigint, record binary"
+
+
+def _pack(date: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            for page_id, url, html in _rows(batches):
+                payload = (html or "").encode()
+                digest = hashlib.sha256(payload).hexdigest()
+                packed = record(page_id, url, digest, payload, len(payload), date)
+                yield {"page_id": page_id, "url": url, "digest": digest, "bytes": len(payload), "record": packed}
+
+        yield from _batches(rows(), arrow_schema(PACKED), "record")
+
+    return run
+
+
+def _write(folder: str, date: str):
+    """Rows (shard, page_id, url, digest, bytes, refers_to, record) in order to archives; index rows out.
+
+    Of one key the row that says what it revisits comes first; it has no record.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            filesystem, inside = located(folder)
+            filesystem.create_dir(inside, recursive=True)
+            out, at, key, first = None, None, None, None
+            try:
+                for shard, page_id, url, digest, size, refers_to, packed in _rows(batches):
+                    if packed is None:
+                        key, first = (page_id, url, digest), refers_to
+                        continue
+                    if shard != at:
+                        if out:
+                            out.close()
+                        at, name = shard, f"{shard:06d}-{uuid.uuid4().hex}.warc.gz"
+                        out = filesystem.open_output_stream(f"{inside}/{name}", compression=None)
+                    revisit = key == (page_id, url, digest)
+                    if revisit:
+                        packed = record(page_id, url, digest, None, size, date, first)
+                    yield {
+                        "path": f"{folder}/{name}", "offset": out.tell(), "length": len(packed), "page_id": page_id, "url": url,
+                        "digest": digest, "record_type": "revisit" if revisit else "response", "refers_to": first if revisit else None,
+                    }
+                    out.write(packed)
+            finally:
+                if out:
+                    out.close()
+
+        yield from _batches(rows(), arrow_schema(INDEX), "url")
+
+    return run
+
+
+def revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
+    """(page_id, url, digest, refers_to) of the pages whose payload an earlier page has.
 
     Of equal payloads of at least `min_bytes` the smallest page id is the response and the others
     revisit it. A null payload is empty. Rows that repeat the response's id and payload are responses
-    as well; where all ids of equal payloads are null, so are all of these. Equal payloads are counted in each task before they
-    move; a payload that a third of all pages have is a skewed join key, which Spark splits.
+    as well; where all ids of equal payloads are null, so are all of these. Equal payloads are counted in
+    each task before they move; one that a third of all pages have is a skewed join key of narrow
+    rows, which Spark splits.
     """
     payload = F.coalesce(F.col("html"), F.lit(""))
     narrow = pages.select(
-        "page_id", "url", F.sha2(payload, 256).alias("digest"), F.octet_length(payload).cast("long").alias("bytes")
-    )
-    firsts = (
-        narrow.filter(F.col("bytes") >= min_bytes)
-        .groupBy("digest")
-        .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
-        .drop("n")
-    )
-    later = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    typed = narrow.join(firsts, "digest", "left").select(
-        *KEY,
-        "bytes",
-        F.when(later, "revisit").otherwise("response").alias("record_type"),
-        F.when(later, F.col("first")).alias("refers_to"),
-    )
-    length = F.octet_length(_head(date)) + F.when(F.col("record_type") == "revisit", 0).otherwise(F.col("bytes"))
-    return typed.withColumn("length", (length + len(RECORD_END)).cast("long"))
+        F.col("page_id").cast("long").alias("page_id"), "url", F.sha2(payload, 256).alias("digest"), F.octet_length(payload).alias("n")
+    ).filter(F.col("n") >= min_bytes)
+    firsts = narrow.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("often"))
+    met = narrow.join(firsts.filter("often > 1"), "digest")
+    later = F.col("refers_to").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("refers_to"))
+    return met.filter(later).select(*KEY, "refers_to")
 
 
 def write_archives(
@@ -114,136 +191,86 @@ def write_archives(
     min_bytes: int = MIN_REVISIT_BYTES,
     date: str = "1970-01-01T00:00:00Z",
 ) -> None:
-    """Write the index as Parquet, then the archives, one `shard=N` folder with one file each.
+    """Write the archives under `path` and their index as Parquet.
 
-    Takes page_id, url and html. The number of archives follows the bytes of all records. The date is a
-    parameter, so that a task that runs again writes the same bytes. Records that agree in id, URL and
-    payload are written as often as they come. A page without a URL has an empty target.
+    Takes page_id, url and html. The number of archives follows the bytes of all payloads; pages go to
+    them by a hash of id, URL and digest. The date is a parameter, so that a task that runs again writes
+    the same bytes. Records that agree in id, URL and payload are written as often as they come, with one
+    record id. A page without a URL has an empty target.
     """
-    spark = pages.sparkSession
-    plan = plan_records(pages, min_bytes, date)
-    total = pages.agg(F.sum(F.coalesce(F.octet_length("html"), F.lit(0)).cast("long") + 1024).alias("n")).first()["n"]
+    total = pages.agg(F.sum(F.octet_length("html").cast("long") + 1024).alias("n")).first()["n"]
     shards = max(1, -(-(total or 0) // archive_bytes))
-    shard = F.pmod(F.xxhash64(*KEY), F.lit(shards)).cast("int").alias("shard")
-    before = W.partitionBy("shard").orderBy(*KEY).rowsBetween(W.unboundedPreceding, -1)
-    plan.select("*", shard).withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0))).write.parquet(index_path)
-
-    index = spark.read.schema(INDEX).parquet(index_path)
-    payload = F.coalesce(F.col("html"), F.lit(""))
-    bodies = pages.select("page_id", "url", F.sha2(payload, 256).alias("digest"), payload.alias("payload")).select(
-        *KEY, shard, "payload", F.lit(None).cast("long").alias("refers_to"), F.lit(False).alias("revisit")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string"))
+    bodies = rows.mapInArrow(_pack(date), PACKED).withColumn("refers_to", F.lit(None).cast("long"))
+    told = revisits(rows, min_bytes).distinct().select(
+        *KEY, F.lit(None).cast("long").alias("bytes"), F.lit(None).cast("binary").alias("record"), "refers_to"
     )
-    revisits = index.filter("record_type = 'revisit'").select(
-        *KEY, "shard", F.lit(None).cast("string").alias("payload"), "refers_to", F.lit(True).alias("revisit")
-    )
-    # Rows of one key meet in a window, not in a join: their shard's shuffle serves it, and the order
-    # that it sorts by is the order in which the index has counted the records.
-    same = W.partitionBy("shard", *KEY)
-    met = bodies.unionByName(revisits).repartition(shards, "shard")
-    typed = met.select(
-        *KEY,
-        "shard",
-        "payload",
-        F.max("refers_to").over(same).alias("refers_to"),
-        F.when(F.max("revisit").over(same), "revisit").otherwise("response").alias("record_type"),
-    ).filter(F.col("payload").isNotNull())
-    record = F.concat(_head(date), F.when(F.col("record_type") == "revisit", "").otherwise(F.col("payload")))
-    sized = typed.withColumn("bytes", F.octet_length("payload").cast("long"))
-    sized.sortWithinPartitions("shard", *KEY).select(record.alias("value"), "shard").write.partitionBy("shard").option(
-        "lineSep", RECORD_END
-    ).option("maxRecordsPerFile", 0).text(path)
-
-
-def archive_files(spark: SparkSession, path: str) -> DataFrame:
-    """Path and size of every archive with its shard number. Contents are not read."""
-    files = spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("size"))
-    return files.withColumn("shard", F.regexp_extract("path", r"/shard=(\d+)/", 1).cast("int"))
-
-
-def check_archives(index: DataFrame, files: DataFrame) -> None:
-    """Fail unless every archive is one file, as long as its index says."""
-    told = index.groupBy("shard").agg(F.sum("length").alias("told"))
-    there = files.groupBy("shard").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
-    wrong = told.join(there, "shard", "full").filter(~(F.col("told").eqNullSafe(F.col("size")) & (F.col("n") == 1)))
-    if found := wrong.take(1):
-        raise ValueError(f"an archive does not agree with its index: {found[0]}")
-
-
-def _parsed(record: bytes) -> dict:
-    head, _, block = record.partition(b"\r\n\r\n")
-    fields = dict(line.split(b": ", 1) for line in head.split(b"\r\n")[1:])
-    length = int(fields[b"Content-Length"])
-    if len(block) != length + len(RECORD_END):
-        raise ValueError(f"a record of {length} bytes in a range of {len(block)}")
-    revisit = fields[b"WARC-Type"] == b"revisit"
-    number = lambda name: int(fields[name]) if fields.get(name) else None
-    return {
-        "page_id": number(b"X-Page-ID"),
-        "url": fields[b"WARC-Target-URI"].decode(),
-        "record_type": fields[b"WARC-Type"].decode(),
-        "refers_to": number(b"X-Refers-To-Page-ID"),
-        "digest": fields[b"WARC-Payload-Digest"].decode().removeprefix("sha256:"),
-        "payload": None if revisit else block[:length].partition(b"\r\n\r\n")[2],
-    }
+    met = bodies.unionByName(told).withColumn("shard", F.pmod(F.xxhash64(*KEY), F.lit(shards)).cast("long"))
+    ordered = met.repartition(shards, "shard").sortWithinPartitions("shard", *KEY, F.col("record").isNotNull())
+    columns = ordered.select("shard", *KEY, "bytes", "refers_to", "record")
+    columns.mapInArrow(_write(path, date), INDEX).write.parquet(index_path)
+
 
+def read_index(spark: SparkSession, index_path: str) -> DataFrame:
+    return spark.read.schema(INDEX).parquet(index_path)
 
-def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[str, int, int]]]:
-    """Sorted (path, offset, length) rows, put together where they lie near each other."""
+
+def _ranges(rows: Iterator[tuple[str, int, int]]) -> Iterator[list[tuple[str, int, int]]]:
+    """Sorted (path, offset, length), put together where they lie near each other."""
     run: list[tuple[str, int, int]] = []
-    for batch in batches:
-        for path, offset, length in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            if run and not (
-                run[-1][0] == path and offset - sum(run[-1][1:]) <= GAP_BYTES and offset + length - run[0][1] <= READ_BYTES
-            ):
-                yield run
-                run = []
-            run.append((path, offset, length))
+    for path, offset, length in rows:
+        near = run and run[-1][0] == path and offset - sum(run[-1][1:]) <= GAP_BYTES
+        if run and not (near and offset + length - run[0][1] <= READ_BYTES):
+            yield run
+            run = []
+        run.append((path, offset, length))
     if run:
         yield run
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema(
-        [(n, pa.int64() if n in ("page_id", "refers_to") else pa.binary() if n == "payload" else pa.string()) for n, _ in _FIELDS]
-    )
-    opened, name = None, None
-    for run in _ranges(batches):
-        if run[0][0] != name:
-            if opened:
-                opened.close()
-            name = run[0][0]
-            opened = _open(name)
-        start = run[0][1]
-        data = opened.read_at(sum(run[-1][1:]) - start, start)
-        rows = [_parsed(data[offset - start : offset - start + length]) for _, offset, length in run]
-        yield pa.RecordBatch.from_pylist(rows, schema)
-
+    def rows():
+        opened, name = None, None
+        for run in _ranges(_rows(batches)):
+            if run[0][0] != name:
+                if opened:
+                    opened.close()
+                name = run[0][0]
+                opened = _open(name)
+            start = run[0][1]
+            data = opened.read_at(sum(run[-1][1:]) - start, start)
+            for _, offset, length in run:
+                yield parsed(data[offset - start : offset - start + length])
+
+    yield from _batches(rows(), arrow_schema(RECORD), "payload")
+
+
+def read_records(selected: DataFrame) -> DataFrame:
+    """The records that the selected index rows (path, offset, length) name.
+
+    Each task reads slices of archives in order of offset. A revisit has no payload. Any error in reading
+    fails the task, so that Spark tries again.
+    """
+    size = selected.agg(F.sum("length").alias("n")).first()["n"] or 0
+    tasks = max(-(-size // SLICE_BYTES), selected.sparkSession.sparkContext.defaultParallelism)
+    slices = selected.select("path", "offset", "length", F.floor(F.col("offset") / SLICE_BYTES).alias("slice"))
+    spread = slices.repartition(tasks, "path", "slice").sortWithinPartitions("path", "offset")
+    return spread.select("path", "offset", "length").mapInArrow(_read, RECORD)
 
-_FIELDS = tuple(part.strip().split(" ") for part in RECORD.split(","))
 
+FACTS = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
 
-def read_records(selected: DataFrame, files: DataFrame) -> DataFrame:
-    """The records that the selected index rows (shard, offset, length) name, parsed.
 
-    Each task reads a slice of an archive in order of offset; a revisit has no payload. Any read error fails
-    the job, so that Spark tries again.
-    """
-    placed = selected.join(files.select("shard", "path"), "shard").select("path", "offset", "length")
-    slices = placed.withColumn("slice", F.floor(F.col("offset") / SLICE_BYTES)).repartition("path", "slice")
-    return slices.sortWithinPartitions("path", "offset").select("path", "offset", "length").mapInArrow(_read, RECORD)
+def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Size and digest of each record, taken from its payload where it has one."""
 
+    def rows():
+        for page_id, _, kind, refers_to, digest, size, payload in _rows(batches):
+            if payload is not None and (len(payload) != size or hashlib.sha256(payload).hexdigest() != digest):
+                raise ValueError(f"the payload of page {page_id} differs from what its record says")
+            yield {"page_id": page_id, "payload_bytes": size, "payload_digest": digest, "record_type": kind, "refers_to": refers_to}
 
-def _payload_facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Size and digest of each payload as read."""
-    for batch in batches:
-        payloads = batch.column(batch.schema.get_field_index("payload")).to_pylist()
-        size = [None if p is None else len(p) for p in payloads]
-        seen = [None if p is None else hashlib.sha256(p).hexdigest() for p in payloads]
-        kept = [batch.column(batch.schema.get_field_index(n)) for n in ("page_id", "record_type", "refers_to", "digest")]
-        yield pa.RecordBatch.from_arrays(
-            [*kept, pa.array(size, pa.int64()), pa.array(seen, pa.string())],
-            ["page_id", "record_type", "refers_to", "digest", "size", "seen"],
-        )
+    yield from _batches(rows(), arrow_schema(FACTS), "payload_digest")
 
 
 SQL = """
@@ -259,24 +286,7 @@ FROM f
 
 @query("op4_warc", SQL)
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages as WARC records, written and read back; a revisit's payload is that of its response."""
+    """All pages as WARC records, written and read back."""
     path, index_path = shared_folder(spark, "warc"), shared_folder(spark, "warc-index")
     write_archives(table(spark, sf_dir, "pages"), path, index_path)
-    index, files = spark.read.schema(INDEX).parquet(index_path), archive_files(spark, path)
-    check_archives(index, files)
-    facts = read_records(index, files).mapInArrow(
-        _payload_facts, "page_id long, record_type string, refers_to long, digest string, size long, seen string"
-    )
-    wrong = F.col("seen").isNotNull() & (F.col("seen") != F.col("digest"))
-    facts = facts.withColumn("digest", F.when(wrong, F.raise_error(F.lit("a payload differs from its digest"))).otherwise(F.col("digest")))
-    sizes = index.select("page_id", F.col("digest").alias("of"), "bytes").distinct()
-    return (
-        facts.join(sizes, facts["page_id"].eqNullSafe(sizes["page_id"]) & (facts["digest"] == sizes["of"]))
-        .select(
-            facts["page_id"],
-            F.coalesce("size", "bytes").alias("payload_bytes"),
-            F.col("digest").alias("payload_digest"),
-            "record_type",
-            "refers_to",
-        )
-    )
+    return read_records(read_index(spark, index_path)).mapInArrow(_facts, FACTS)
