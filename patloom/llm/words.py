@@ -1,7 +1,7 @@
 """Word hashes of many texts at once, with numpy over Arrow batches.
 
 A word is a run of bytes other than ASCII white space (0x20, 0x09 to 0x0D). Its hash is that of its
-bytes, ASCII letters lower-cased: a polynomial over a table of random 64-bit values, taken for all
+bytes, with ASCII letters lower-cased or not: a polynomial over a table of random 64-bit values, taken for all
 words of a batch from one running sum, then mixed. Hashes are 64 bits wide and always the same.
 """
 
@@ -29,11 +29,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def byte_values(dropped: bytes = b"") -> np.ndarray:
-    """A value per byte, the same for upper and lower case; 0 for dropped bytes."""
+def byte_values(fold: bool = True) -> np.ndarray:
+    """A value per byte; with `fold` the same for upper and lower case of ASCII letters."""
     values = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
-    values[65:91] = values[97:123]
-    values[list(dropped)] = 0
+    if fold:
+        values[65:91] = values[97:123]
     return values
 
 
