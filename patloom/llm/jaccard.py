@@ -3,15 +3,17 @@
 The global order of n-grams is that of their 64-bit hashes, cut into fragments. Documents with equal
 n-gram sets form a class, and classes are joined:
 
-1. Candidates come from the head of the order. A class shows its `HEAD` first n-grams. Two sets with
-   Jaccard 0.8 or more share at least `need` of them: for sets of up to 20 by counting, for larger ones
-   but for a chance below 1e-12, since each n-gram of the union is shared with probability 0.8 or more
-   wherever the hash puts it. So a class with fewer shared n-grams than that has no partner, and of the others
-   only the rarest ones (all but `need` - 1) have to meet.
-2. Buckets of classes that meet are not expanded into pairs. A few members act as pivots and are paired
-   with all others; what has been linked is one component, and further pivots are taken from the
-   smallest components until no bucket holds two components with a pair that was not counted.
-3. Each pair is counted: the n-grams of either document that lie in one fragment are intersected, every
+1. The head of the order says which documents can have a partner at all. A class shows its `HEAD` first
+   n-grams. Two sets with Jaccard 0.8 or more share at least `NEED` of them: for sets of up to 20 by
+   counting, for larger ones but for a chance below 1e-12, since each n-gram of the union is shared with
+   probability 0.8 or more wherever the hash puts it. A class that shares fewer n-grams with all others together is out.
+2. The sets of the others are cut into fragments. Every n-gram is counted in its fragment, and a class shows
+   its rarest fifth: any partner shares one of these, and the first that two share bounds their overlap.
+3. Buckets of classes that meet are not expanded into pairs. A few members, those with the most n-grams that
+   others have as well, act as pivots and are paired with all members that the bounds allow; what has been linked is
+   one component, and further pivots are taken from the smallest components until no bucket
+   holds two components with a pair that was not counted.
+4. Each pair is counted: the n-grams of either document that lie in one fragment are intersected, every
    fragment on its own, and the partial overlaps are summed per pair.
 """
 
@@ -26,6 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from patloom.llm.components import components
+from patloom.llm.prefilter import maybe_among
 from patloom.llm.registry import query, table, written
 from patloom.llm.words import Powers, byte_values, filled, gram_hashes, lists, mixed, slices, words_of
 
@@ -97,20 +100,36 @@ def need(n: Column) -> Column:
     return F.least(F.lit(NEED), F.ceil(n * 4 / 5)).cast("int")
 
 
-def close(n: Column, m: Column) -> Column:
-    """Whether sets of these sizes can have Jaccard 0.8 or more."""
-    return (n * 5 >= m * 4) & (m * 5 >= n * 4)
+def close(n: Column, m: Column, common: Column) -> Column:
+    """Whether sets of these sizes with so many n-grams in common, at most, can have Jaccard 0.8 or more."""
+    return common * 9 >= (n + m) * 4
 
 
-def buckets(heads: DataFrame) -> DataFrame:
-    """(token, node, n): the n-grams at which classes (node, n, head) have to meet."""
+def candidates(heads: DataFrame) -> DataFrame:
+    """The nodes of those classes (node, n, head) whose heads share enough n-grams with others."""
     tokens = heads.select("node", "n", F.explode("head").alias("token"))
+    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("often")).filter("often > 1").select("token")
+    counted = tokens.join(shared, "token").groupBy("node", "n").agg(F.count(F.lit(1)).alias("shared"))
+    return counted.filter(F.col("shared") >= need(F.col("n"))).select("node")
+
+
+def buckets(fragments: DataFrame) -> DataFrame:
+    """(token, node, n, common): the n-grams at which classes have to meet.
+
+    The n-grams of a class are ranked by how many classes have them, rarest first; any partner shares one of
+    the first fifth. `common` is how many n-grams the two can share at most if they meet here first.
+    """
+    tokens = fragments.select("node", "n", F.explode("grams").alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
-    met = tokens.join(shared, "token")
-    own = met.groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("often", "token"))).alias("own"))  # a head at most
-    some = own.filter(F.size("own") >= need(F.col("n")))
-    rarest = F.slice("own", F.lit(1), F.size("own") - need(F.col("n")) + 1)
-    return some.select("node", "n", F.explode(rarest).alias("at")).select(F.col("at.token").alias("token"), "node", "n")
+    own = W.partitionBy("node")
+    ranked = tokens.join(shared, "token").select(
+        "token",
+        "node",
+        "n",
+        # The n-grams that no other class has come before all of these.
+        (F.count(F.lit(1)).over(own) - F.row_number().over(own.orderBy("often", "token")) + 1).cast("int").alias("common"),
+    )
+    return ranked.filter(F.col("common") * 5 >= F.col("n") * 4)
 
 
 def overlaps(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
@@ -119,9 +138,7 @@ def overlaps(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
     right = fragments.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("right"))
     parts = pairs.join(left, "a").join(right, ["b", "fragment"])
     count = F.size(F.array_intersect("left", "right"))
-    # A document that is there twice gives a fragment twice: it counts once.
-    partial = parts.groupBy("a", "b", "fragment").agg(F.max(count).alias("shared"))
-    return partial.groupBy("a", "b").agg(F.sum("shared").alias("shared"))
+    return parts.select("a", "b", count.alias("shared")).groupBy("a", "b").agg(F.sum("shared").alias("shared"))
 
 
 def linked(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
@@ -131,10 +148,20 @@ def linked(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
     return found.filter(F.col("shared") * 100 >= union * 80).select("a", "b")
 
 
+def fitting(rows: DataFrame) -> DataFrame:
+    """Bucket rows that may have a partner: even the smallest set of the bucket must be close enough."""
+    least = rows.groupBy("token").agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("often")).filter("often > 1")
+    met = rows.join(least, "token")
+    return met.filter(close(F.col("n"), F.col("least"), F.col("common"))).drop("least", "often")
+
+
 def _pairs(rows: DataFrame, pivots: DataFrame) -> DataFrame:
     """Distinct pairs of a pivot and another member of its bucket, of another component and fitting size."""
-    told = pivots.select("token", F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("label").alias("other"))
-    met = rows.join(told, "token").filter((F.col("label") != F.col("other")) & close(F.col("n"), F.col("m")))
+    told = pivots.select(
+        "token", F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("common").alias("most"), F.col("label").alias("other")
+    )
+    fits = close(F.col("n"), F.col("m"), F.least("common", "most"))
+    met = rows.join(told, "token").filter((F.col("label") != F.col("other")) & fits)
     low = F.col("node") < F.col("pivot")
     pick = lambda yes, no: F.when(low, F.col(yes)).otherwise(F.col(no))
     return met.select(
@@ -143,29 +170,28 @@ def _pairs(rows: DataFrame, pivots: DataFrame) -> DataFrame:
 
 
 def class_links(met: DataFrame, fragments: DataFrame, pivots: int = PIVOTS) -> DataFrame:
-    """(node, label): components of the classes that meet in buckets (token, node, n).
+    """(node, label): components of the classes that meet in buckets (token, node, n, common).
 
     A bucket in which k members link with none of the others takes k rounds of pivots at most, four times
     as many in each round; every pair of unlinked members of a bucket is counted in the end.
     """
-    rows, labels = met.withColumn("label", F.col("node")), None
+    rows, labels = fitting(met).withColumn("label", F.col("node")), None
+    columns = ["token", "node", "n", "common"]
     while True:
-        if labels is None:
-            order = [F.col("node")]
-            ranked = rows
-        else:  # members of small components first
+        ranked, order = rows, [F.col("common") / F.col("n") * -1, F.col("node")]
+        if labels is not None:  # members of small components first
             sizes = rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("size"))
-            ranked, order = rows.join(sizes, ["token", "label"]), [F.col("size"), F.col("node")]
+            ranked, order = rows.join(sizes, ["token", "label"]), [F.col("size"), *order]
         first = F.row_number().over(W.partitionBy("token").orderBy(*order))
-        chosen = written(ranked.withColumn("rank", first).filter(F.col("rank") <= pivots).select("token", "node", "n", "label"), "pivots")
+        chosen = written(ranked.withColumn("rank", first).filter(F.col("rank") <= pivots).select(*columns, "label"), "pivots")
         links = linked(written(_pairs(rows, chosen), "pairs"), fragments)
         if labels is not None:
             links = links.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
         labels = components(links)
-        left = rows.select("token", "node", "n").join(chosen.select("token", "node"), ["token", "node"], "left_anti")
-        left = left.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        left = rows.select(*columns).join(chosen.select("token", "node"), ["token", "node"], "left_anti")
+        left = fitting(left).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         mixed_up = left.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-        rows = written(left.join(mixed_up.select("token"), "token", "left_semi").select("token", "node", "n", "label"), "left")
+        rows = written(left.join(mixed_up.select("token"), "token", "left_semi").select(*columns, "label"), "left")
         if rows.isEmpty():
             return labels
         pivots *= 4
@@ -191,15 +217,16 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     classes = sets.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     # Joined by id as well, so that the rows of a large class are not gathered for it.
     heads = sets.filter("n > 0").join(classes, ["node", "doc_id"]).select("node", "n", "head")
-    met = written(buckets(heads), "buckets")
-    needed = classes.join(met.select("node").distinct(), "node", "left_semi").select("doc_id").distinct()
+    needed = written(classes.join(candidates(heads), "node").select("node", "doc_id"), "candidates")
     grams = (
-        texts.join(needed, "doc_id", "left_semi")
+        maybe_among(texts, needed, "doc_id")
         .select("text")
         .mapInArrow(_fragments(words, FRAGMENT_BITS), "n int, one bigint, two bigint, fragment int, grams array<bigint>")
+        .select(node.alias("node"), "n", "fragment", "grams")
     )
-    fragments = written(grams.select(node.alias("node"), "fragment", "grams"), "fragments")
-    labels = written(class_links(met, fragments), "labels")
+    # Rows that share an id with a candidate, and repeated rows, go here.
+    fragments = written(grams.join(needed.select("node"), "node", "left_semi").dropDuplicates(["node", "fragment"]), "fragments")
+    labels = class_links(written(buckets(fragments), "buckets"), fragments)
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     to = named.select("node", "label").join(least, "label").select("node", "component_id")
