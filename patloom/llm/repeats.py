@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from patloom.llm.prefilter import maybe_among
 from patloom.llm.registry import query, table, written
 from patloom.llm.words import Powers, Words, byte_values, filled, gram_hashes, lists, slices, words_of
 
@@ -107,10 +108,10 @@ def _runs(least: int, gram: int):
                 wanted = np.unique(wanted.flatten().to_numpy() + words.first[text_of])
                 starts = starts[np.isin(kept, wanted)]
                 of = np.searchsorted(words.first, starts, "right") - 1
-                rows = batch.slice(start, stop - start).take(pa.array(of))
+                rows = batch.select([0, 1, 2]).slice(start, stop - start).take(pa.array(of))
                 hashes = gram_hashes(words.hashes, least)[starts] if len(starts) else np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays(
-                    [*rows.columns[:3], pa.array(hashes.view(np.int64)), pa.array((starts - words.first[of]).astype(np.int32))],
+                    [*rows.columns, pa.array(hashes.view(np.int64)), pa.array((starts - words.first[of]).astype(np.int32))],
                     ["doc_id", "one", "two", "run", "start_word"],
                 )
 
@@ -153,9 +154,12 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", lea
     own = kept.join(firsts, ["one", "two", "doc_id"]).select("doc_id", "one", "two", F.explode(F.arrays_zip("places", "grams")).alias("at"))
     suffixes = own.select("doc_id", "one", "two", "at.places", "at.grams").distinct()
     neighbours = suffixes.groupBy("grams").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("grams")
-    extended = suffixes.join(neighbours, "grams").groupBy("doc_id", "one", "two").agg(F.collect_set("places").alias("places"))
+    extended = written(
+        suffixes.join(neighbours, "grams").groupBy("doc_id", "one", "two").agg(F.collect_set("places").alias("places")), "extended"
+    )
     runs = written(
-        sealed.join(extended, ["doc_id", "one", "two"])
+        maybe_among(sealed, extended, "doc_id")
+        .join(extended, ["doc_id", "one", "two"])
         .select("doc_id", "one", "two", "text", "places")
         .mapInArrow(_runs(least, gram), f"{ids}, run bigint, start_word int")
         .distinct(),
