@@ -24,6 +24,7 @@ from patloom.llm.words import Powers, byte_values, filled, lists, slices, words_
 POOLED = 0.5  # share of the pooled covariance
 ROUND = 0.01  # share of the identity
 SPREAD = 1e-6  # least standard deviation of a statistic
+PRIOR_WORDS = 10  # ordinary words that every text is taken to have besides its own: short texts say little
 THRESHOLD = 0.3
 
 STATISTICS = (
@@ -59,7 +60,7 @@ def statistics(texts: pa.Array, values: np.ndarray, powers: Powers) -> np.ndarra
         mask[list(of)] = 1
         counts[name] = _at_text(mask[data], words.text_starts, end)
     n = np.diff(words.first)
-    some = np.maximum(n, 1)
+    some = n + PRIOR_WORDS
     sizes = words.ends - words.starts
     per_word = lambda of: _sum(of, words.first)
     hashes = words.hashes
@@ -75,20 +76,19 @@ def statistics(texts: pa.Array, values: np.ndarray, powers: Powers) -> np.ndarra
     distinct_pairs, _ = _distinct(doc[inside], pairs[inside], len(n))
     line = np.cumsum(np.bincount(np.searchsorted(words.starts, np.flatnonzero(data == 10)), minlength=len(hashes) + 1))[: len(hashes)]
     repeated = _repeated_lines(doc, line, hashes, sizes, len(n))
-    letters = np.maximum(counts["capitals"] + counts["small"] + counts["foreign"], 1)
-    share = lambda x, of: np.log((x + 0.25) / (of - np.minimum(x, of) + 0.25))
+    letters = counts["capitals"] + counts["small"] + counts["foreign"] + 5 * PRIOR_WORDS
     rate = lambda x: np.log1p(20.0 * x / some)
     length = np.log1p(n)
     return np.column_stack(
         [
             length,
-            np.log1p(per_word(sizes) / some),
+            np.log1p((per_word(sizes) + 5 * PRIOR_WORDS) / some),
             rate(counts["marks"]),
             rate(counts["bars"]),
             rate(counts["shouts"]),
             counts["capitals"] / letters,
             rate(counts["digits"]),
-            distinct / some,
+            (distinct + PRIOR_WORDS) / some,
             stuttered / some,
             repeated / some,
             rate(counts["stops"]),
@@ -96,7 +96,7 @@ def statistics(texts: pa.Array, values: np.ndarray, powers: Powers) -> np.ndarra
             np.log1p(n / (counts["lines"] + 1)),
             counts["foreign"] / letters,
             most / some,
-            distinct_pairs / np.maximum(n - 1, 1),
+            (distinct_pairs + PRIOR_WORDS) / some,
         ]
     )
 
