@@ -8,6 +8,7 @@ from patloom.llm import (  # noqa: F401
     bpe,
     chat,
     jaccard,
+    leaks,
     quality,
     repeats,
     shards,
