@@ -7,6 +7,7 @@ rows that agree in id and text count as one document, and columns beyond those n
 from patloom.llm import (  # noqa: F401
     bpe,
     chat,
+    fingerprints,
     jaccard,
     leaks,
     quality,
