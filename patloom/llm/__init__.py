@@ -10,6 +10,7 @@ from patloom.llm import (  # noqa: F401
     fingerprints,
     jaccard,
     leaks,
+    licences,
     quality,
     repeats,
     shards,
