@@ -216,7 +216,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             yield batch.slice(start, stop - start), texts.slice(start, stop - start).to_pylist()
 
 
-def _digests(make):
+def _digests(make, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = make()
         for batch, texts in _texts(batches):
@@ -224,9 +224,12 @@ def _digests(make):
             hexes = [hashlib.sha256(ids).hexdigest() for ids in coded]
             back = [hashlib.sha256(codec.decode(np.frombuffer(ids, "<u4"))).hexdigest() for ids in coded]
             sizes = pa.array([len(ids) // 4 for ids in coded], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1), sizes, pa.array(hexes), pa.array(back)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            )
+            columns = [batch.column(1), sizes, pa.array(hexes, pa.string()), pa.array(back, pa.string())]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            if with_ids:
+                flat = np.frombuffer(b"".join(coded), "<u4").astype(np.int32)
+                columns, names = [*columns, lists(flat, sizes.to_numpy())], [*names, "ids"]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
@@ -274,12 +277,15 @@ def decode_ids(df: DataFrame, ranks_path: str, pattern: str, ids: str = "ids") -
     return given.mapInArrow(_bytes(_coder(df.sparkSession, ranks_path, pattern)), f"decoded binary, row {df.schema.simpleString()}")
 
 
-def round_trip(df: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_tokens, ids_sha256, decoded_sha256): every text encoded and decoded in one task."""
+def round_trip(
+    df: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text", with_ids: bool = False
+) -> DataFrame:
+    """(key, n_tokens, ids_sha256, decoded_sha256) and maybe the ids: every text encoded and decoded in one task."""
     kind = dict(df.dtypes)[key]
     schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    schema += ", ids array<int>" if with_ids else ""
     given = df.select(F.col(text).cast("string").alias("text"), F.col(key).alias("doc_id"))
-    return given.mapInArrow(_digests(_coder(df.sparkSession, ranks_path, pattern)), schema).withColumnRenamed("doc_id", key)
+    return given.mapInArrow(_digests(_coder(df.sparkSession, ranks_path, pattern), with_ids), schema).withColumnRenamed("doc_id", key)
 
 
 def public_vocabulary(name: str = "byte_bpe_multi_50k.tiktoken") -> tuple[str, str]:

@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from patloom.llm.components import components
-from patloom.llm.prefilter import maybe_among
+from patloom.llm.prefilter import maybe_among, parted
 from patloom.llm.registry import query, table, written
 from patloom.llm.words import Powers, byte_values, filled, gram_hashes, lists, mixed, slices, words_of
 
@@ -64,8 +64,8 @@ def _summaries(n: int, head: int):
             together = np.concatenate(heads) if heads else np.zeros(0, np.uint64)
             digests = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (one, two)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int32()), *digests, lists(together, np.array([len(h) for h in heads], np.int64))],
-                ["doc_id", "n", "one", "two", "head"],
+                [batch.column(0), batch.column(2), pa.array(size, pa.int32()), *digests, lists(together, np.array([len(h) for h in heads], np.int64))],
+                ["doc_id", "seal", "n", "one", "two", "head"],
             )
 
     return run
@@ -197,23 +197,19 @@ def class_links(met: DataFrame, fragments: DataFrame, pivots: int = PIVOTS) -> D
         pivots *= 4
 
 
-def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """(key, n_shingles, component_id), one row per input row.
+def text_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
+    """(doc_id, seal, n_shingles, component_id), one row per input row; `seal` is a hash of the text.
 
     Words are runs of other than ASCII white space, ASCII letters lower-cased. A set holds the distinct
     runs of `words` words; a shorter text is one run. Texts link at Jaccard 0.8; components take the least
     id reachable. A text without words links with nothing, a row without an id neither: its component
     is null. Rows of one id and different texts are documents of their own, which may fall into different components.
     """
-    texts = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    texts = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("seal"))
     kind = dict(texts.dtypes)["doc_id"]
     node = F.xxhash64("one", "two", "n")
-    sets = written(
-        texts.mapInArrow(_summaries(words, HEAD), f"doc_id {kind}, n int, one bigint, two bigint, head array<bigint>").withColumn(
-            "node", node
-        ),
-        "sets",
-    )
+    summaries = texts.mapInArrow(_summaries(words, HEAD), f"doc_id {kind}, seal bigint, n int, one bigint, two bigint, head array<bigint>")
+    sets = written(summaries.withColumn("node", node), "sets")
     classes = sets.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     # Joined by id as well, so that the rows of a large class are not gathered for it.
     heads = sets.filter("n > 0").join(classes, ["node", "doc_id"]).select("node", "n", "head")
@@ -230,14 +226,43 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     to = named.select("node", "label").join(least, "label").select("node", "component_id")
-    rows = sets.select("doc_id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node")).join(to, "node", "left")
+    rows = sets.select("doc_id", "seal", "n", F.when(F.col("n") > 0, F.col("node")).alias("node")).join(to, "node", "left")
     return rows.select(
-        F.col("doc_id").alias(key),
+        "doc_id",
+        "seal",
         F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
     )
 
 
+def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
+    """(key, n_shingles, component_id): `text_components` without the hash of the text."""
+    return text_components(docs, key, text, words).drop("seal").withColumnRenamed("doc_id", key)
+
+
+def one_per_component(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents with one of each component: that of least id, then text hash.
+
+    Of repeated rows one stays. Texts without words and rows without an id all stay, as they link with nothing.
+    Only rows that may go are moved.
+    """
+    found = text_components(docs, key, text).filter("n_shingles > 0 AND doc_id IS NOT NULL")
+    rows = written(found.groupBy("component_id", "doc_id", "seal").agg(F.count(F.lit(1)).alias("often")), "members")
+    kept = rows.groupBy("component_id").agg(F.min(F.struct("doc_id", "seal")).alias("kept"))
+    judged = rows.join(kept, "component_id").select(
+        F.col("doc_id").alias(key), "seal", "often", (F.struct("doc_id", "seal") == F.col("kept")).alias("stays")
+    )
+    touched = written(judged.filter("NOT stays OR often > 1"), "touched")
+    maybe, rest = parted(docs, touched, key)
+    # The row as a struct: its columns cannot clash with those needed here.
+    whole = F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row")
+    told = touched.select(F.col(key).alias("doc_id"), "seal", "stays")
+    met = maybe.select(whole, F.col(key).alias("doc_id"), F.xxhash64(text).alias("seal")).join(told, ["doc_id", "seal"], "left")
+    alone = met.filter("stays IS NULL").select("row.*")
+    repeated = met.filter("stays").withColumn("at", F.row_number().over(W.partitionBy("doc_id", "seal").orderBy("seal")))
+    return rest.unionByName(alone).unionByName(repeated.filter("at = 1").select("row.*"))
+
+
 @query("op6_jaccard")
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents by their distinct five-word runs."""

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BITS = 26  # 8 MB
@@ -35,13 +35,24 @@ def hits(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def maybe_among(df: DataFrame, keys: DataFrame, key: str | Column, of: str | None = None) -> DataFrame:
-    """The rows whose key may be in a column of `keys` (`of`, or the same name). A null key is not."""
-    column = F.col(key) if isinstance(key, str) else key
-    shared = df.sparkSession.sparkContext.broadcast(bitmap(keys.select(F.xxhash64(F.col(of or key)).alias("h"))))
+def parted(df: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key may be in the same column of `keys`, and those where it is not. Null is not."""
+    shared = df.sparkSession.sparkContext.broadcast(bitmap(keys.select(F.xxhash64(key).alias("h"))))
 
     @F.pandas_udf("boolean")
     def among(hashes: pd.Series) -> pd.Series:
         return pd.Series(hits(shared.value, hashes.to_numpy(np.int64).view(np.uint64)))
 
-    return df.filter(column.isNotNull()).filter(among(F.xxhash64(column)))
+    there = F.col(key).isNotNull() & among(F.xxhash64(key))
+    return df.filter(there), df.filter(~there)
+
+
+def maybe_among(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows whose key may be in the same column of `keys`."""
+    return parted(df, keys, key)[0]
+
+
+def without(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is not in `keys`; only rows that may be there move."""
+    maybe, rest = parted(df, keys, key)
+    return rest.unionByName(maybe.join(keys.select(key).distinct(), key, "left_anti"))

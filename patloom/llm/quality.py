@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from patloom.llm.prefilter import maybe_among
 from patloom.llm.registry import query, table, written
 from patloom.llm.words import Powers, byte_values, filled, lists, slices, words_of
 
@@ -243,6 +244,31 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return scored(stats, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score")
 
 
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
+    """The documents whose score reaches the threshold, all columns as they are.
+
+    Fitted as in `quality_scores`, on the documents that have labels. Rows are judged where they are read, so nothing
+    moves, and rows without an id or of repeated ids are judged by their own text.
+    """
+    marks = labels.filter("quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("label"))
+    marks = written(marks.filter(~held_out(F.col("doc_id"))), "marks")
+    stats = document_statistics(maybe_among(docs, marks, "doc_id"), text=text)
+    model = fit(stats.join(marks, "doc_id").select("label", "stats"))
+    odds, classes = model.odds, model.classes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fitted, values, powers = Model(odds, classes), byte_values(), Powers()
+        for batch in batches:
+            texts = filled(batch.column(0))
+            scores = [fitted.score(statistics(texts.slice(a, b - a), values, powers)) for a, b in slices(texts)]
+            kept = np.concatenate([np.zeros(0), *scores]) >= threshold
+            yield pa.RecordBatch.from_arrays([batch.column(1).filter(pa.array(kept))], ["row"])
+
+    row = F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row")
+    given = docs.select(F.col(text).cast("string").alias("text"), row)
+    return given.mapInArrow(run, f"row {docs.schema.simpleString()}").select("row.*")
+
+
 @query("op7_quality")
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents scored, with the decision at 0.3."""

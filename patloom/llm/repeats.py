@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from patloom.llm.prefilter import maybe_among
+from patloom.llm.prefilter import maybe_among, parted
 from patloom.llm.registry import query, table, written
 from patloom.llm.words import Powers, Words, byte_values, filled, gram_hashes, lists, slices, words_of
 
@@ -218,7 +218,8 @@ def without_spans(docs: DataFrame, spans: DataFrame, key: str = "doc_id", text:
 
     All columns stay; only texts with spans change. A document of which no word stays is left out.
     """
-    cuts = spans.groupBy("doc_id", "one", "two").agg(F.collect_list(F.struct("start_word", "end_word")).alias("spans"))
+    # A document has no more spans than words; a set, so that rows of one id and text count once.
+    cuts = written(spans.groupBy("doc_id", "one", "two").agg(F.collect_set(F.struct("start_word", "end_word")).alias("spans")), "cuts")
     whole = F.coalesce(F.col(text), F.lit(""))
     row = F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row")
     sealed = docs.select(
@@ -227,8 +228,9 @@ def without_spans(docs: DataFrame, spans: DataFrame, key: str = "doc_id", text:
         F.xxhash64(F.lit(1), whole).alias("one"),
         F.xxhash64(F.lit(2), whole).alias("two"),
     )
-    met = sealed.join(cuts, ["doc_id", "one", "two"], "left")
-    alone = met.filter("spans IS NULL").select("row")
+    maybe, rest = parted(sealed, cuts, "doc_id")  # only texts that may have spans move
+    met = maybe.join(cuts, ["doc_id", "one", "two"], "left")
+    alone = rest.select("row").unionByName(met.filter("spans IS NULL").select("row"))
     fields = docs.schema.simpleString()
     cut = met.filter("spans IS NOT NULL").select(F.col("row")[text].alias("text"), "spans", "row")
     shorter = cut.mapInArrow(_cut, f"text string, row {fields}").filter(F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]")))
