@@ -30,7 +30,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 # -------------------------------------------------------------------------------------------
 
 MIN_REVISIT_BYTES = 100
-ARCHIVE_BYTES = 256 << 20  # payload bytes of an archive
+ARCHIVE_BYTES = 64 << 20  # payload bytes of an archive
 SLICE_BYTES = 8 << 20  # records that start in one slice of an archive are read by one task
 GAP_BYTES = 64 << 10  # ranges at most so far apart are read at once
 READ_BYTES = 4 << 20  # size up to which ranges are put together
