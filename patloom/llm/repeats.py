@@ -99,20 +99,20 @@ def _runs(least: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, powers = byte_values(fold=False), Powers()
         for batch in batches:
-            texts = filled(batch.column(3))
+            texts = filled(batch.column(2))
             for start, stop in slices(texts):
                 words = words_of(texts.slice(start, stop - start), values, powers)
                 starts, kept, _ = minimisers(words, least, gram)
-                wanted = batch.column(4).slice(start, stop - start)
+                wanted = batch.column(3).slice(start, stop - start)
                 text_of = np.repeat(np.arange(stop - start), np.diff(wanted.offsets.to_numpy()))
                 wanted = np.unique(wanted.flatten().to_numpy() + words.first[text_of])
                 starts = starts[np.isin(kept, wanted)]
                 of = np.searchsorted(words.first, starts, "right") - 1
-                rows = batch.select([0, 1, 2]).slice(start, stop - start).take(pa.array(of))
+                rows = batch.select([0, 1]).slice(start, stop - start).take(pa.array(of))
                 hashes = gram_hashes(words.hashes, least)[starts] if len(starts) else np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [*rows.columns, pa.array(hashes.view(np.int64)), pa.array((starts - words.first[of]).astype(np.int32))],
-                    ["doc_id", "one", "two", "run", "start_word"],
+                    ["doc_id", "one", "run", "start_word"],
                 )
 
     return run
@@ -127,11 +127,11 @@ def _sealed(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST, gram: int = GRAM) -> DataFrame:
-    """(doc_id, one, two, start_word, end_word, first_doc_id, first_start_word) of all repeating spans.
+    """(doc_id, one, start_word, end_word, first_doc_id, first_start_word) of all repeating spans.
 
     Words are runs of other than ASCII white space, compared with case. Spans are numbered by words, the
     end is exclusive. `first_doc_id` and `first_start_word` say where the span's first run occurs first, which may be
-    earlier in the same document. `one` and `two` stand for the text, so that rows of one id and different
+    earlier in the same document. `one` is a hash of the text, so that rows of one id and different
     texts are told apart; rows that agree in both are one document. A text of fewer than `least` words has no spans, even as a copy; a
     row without an id has none and is nobody's first.
     """
@@ -151,28 +151,25 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", lea
     copies = copies.filter(F.col("doc_id") != F.col("first_doc_id")).distinct()
 
     # The document id is part of the join keys, so that the copies of one text are not gathered.
-    own = kept.join(firsts, ["one", "two", "doc_id"]).select("doc_id", "one", "two", F.explode(F.arrays_zip("places", "grams")).alias("at"))
-    suffixes = own.select("doc_id", "one", "two", "at.places", "at.grams").distinct()
+    own = kept.join(firsts, ["one", "two", "doc_id"]).select("doc_id", "one", F.explode(F.arrays_zip("places", "grams")).alias("at"))
+    suffixes = own.select("doc_id", "one", "at.places", "at.grams").distinct()
     neighbours = suffixes.groupBy("grams").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("grams")
-    extended = written(
-        suffixes.join(neighbours, "grams").groupBy("doc_id", "one", "two").agg(F.collect_set("places").alias("places")), "extended"
-    )
+    extended = written(suffixes.join(neighbours, "grams").groupBy("doc_id", "one").agg(F.collect_set("places").alias("places")), "extended")
     runs = written(
         maybe_among(sealed, extended, "doc_id")
-        .join(extended, ["doc_id", "one", "two"])
-        .select("doc_id", "one", "two", "text", "places")
-        .mapInArrow(_runs(least, gram), f"{ids}, run bigint, start_word int")
-        .distinct(),
+        .join(extended, ["doc_id", "one"])
+        .select("doc_id", "one", "text", "places")
+        .mapInArrow(_runs(least, gram), f"doc_id {kind}, one bigint, run bigint, start_word int"),
         "runs",
     )
-    place = F.struct("doc_id", "start_word", "one", "two")
+    # A document that is there twice has each run twice at one place, which is no repeat.
+    place = F.struct("doc_id", "start_word", "one")
     origins = runs.groupBy("run").agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     again = runs.join(origins, "run").filter(place != F.col("origin"))
     spans = _islands(again, least)
     whole = copies.select(
         "doc_id",
         "one",
-        "two",
         F.lit(0).alias("start_word"),
         F.col("n_words").alias("end_word"),
         "first_doc_id",
@@ -183,10 +180,10 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", lea
 
 def _islands(again: DataFrame, least: int) -> DataFrame:
     """Runs of one document that overlap or adjoin as one span."""
-    of = W.partitionBy("doc_id", "one", "two").orderBy("start_word")
+    of = W.partitionBy("doc_id", "one").orderBy("start_word")
     apart = (F.col("start_word") - F.lag("start_word").over(of) > least).cast("int")
     numbered = again.withColumn("island", F.sum(F.coalesce(apart, F.lit(0))).over(of))
-    return numbered.groupBy("doc_id", "one", "two", "island").agg(
+    return numbered.groupBy("doc_id", "one", "island").agg(
         F.min("start_word").alias("start_word"),
         (F.max("start_word") + least).alias("end_word"),
         F.min_by("origin.doc_id", "start_word").alias("first_doc_id"),
@@ -219,17 +216,16 @@ def without_spans(docs: DataFrame, spans: DataFrame, key: str = "doc_id", text:
     All columns stay; only texts with spans change. A document of which no word stays is left out.
     """
     # A document has no more spans than words; a set, so that rows of one id and text count once.
-    cuts = written(spans.groupBy("doc_id", "one", "two").agg(F.collect_set(F.struct("start_word", "end_word")).alias("spans")), "cuts")
+    cuts = written(spans.groupBy("doc_id", "one").agg(F.collect_set(F.struct("start_word", "end_word")).alias("spans")), "cuts")
     whole = F.coalesce(F.col(text), F.lit(""))
     row = F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row")
     sealed = docs.select(
         row,
         F.col(key).alias("doc_id"),
         F.xxhash64(F.lit(1), whole).alias("one"),
-        F.xxhash64(F.lit(2), whole).alias("two"),
     )
     maybe, rest = parted(sealed, cuts, "doc_id")  # only texts that may have spans move
-    met = maybe.join(cuts, ["doc_id", "one", "two"], "left")
+    met = maybe.join(cuts, ["doc_id", "one"], "left")
     alone = rest.select("row").unionByName(met.filter("spans IS NULL").select("row"))
     fields = docs.schema.simpleString()
     cut = met.filter("spans IS NOT NULL").select(F.col("row")[text].alias("text"), "spans", "row")
