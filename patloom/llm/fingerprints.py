@@ -244,15 +244,17 @@ def compared_with_edits(docs: DataFrame, key: str = "doc_id", text: str = "text"
 
     @F.pandas_udf("int")
     def range_of(keys: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(np.array(lows), keys.to_numpy(), "right").astype(np.int32) - 1)
+        """Twice the number of the range, one more for its first id."""
+        at = np.searchsorted(np.array(lows), keys.to_numpy(), "right") - 1
+        return pd.Series((2 * at + (np.array(lows)[at] == keys.to_numpy())).astype(np.int32))
 
     rows = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
     seal = F.xxhash64("text")
-    firsts = spark.createDataFrame([(low, i) for i, low in enumerate(lows)], f"id {kind}, first int")
-    placed = rows.filter("id IS NOT NULL").withColumn("bucket", range_of("id")).join(firsts, "id", "left")
-    here = F.struct("bucket", F.lit(0).alias("guest"))
-    before = F.struct(F.pmod(F.col("first") - 1, F.lit(count)).alias("bucket"), F.lit(1).alias("guest"))
-    homes = F.when(F.col("first").isNotNull(), F.array(here, before)).otherwise(F.array(here))
+    placed = rows.filter("id IS NOT NULL").withColumn("code", range_of("id"))
+    bucket = F.shiftright("code", 1)
+    here = F.struct(bucket.alias("bucket"), F.lit(0).alias("guest"))
+    before = F.struct(F.pmod(bucket - 1, F.lit(count)).alias("bucket"), F.lit(1).alias("guest"))
+    homes = F.when(F.col("code") % 2 == 1, F.array(here, before)).otherwise(F.array(here))
     dealt = placed.select("id", "text", F.explode(homes).alias("home")).select("home.bucket", "home.guest", "id", "text")
     homeless = rows.filter("id IS NULL").select(
         (F.lit(count) + F.pmod(seal, F.lit(count))).cast("int").alias("bucket"), F.lit(0).alias("guest"), "id", "text"
