@@ -25,7 +25,7 @@ from patloom.llm.words import Powers, byte_values, mixed, slices, words_of
 
 WORDS = 8
 CELLS = 12  # of the smallest sketch; a multiple of 3
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 CHECK = np.uint64(0xA0761D6478BD642F)
 
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 
 SPACES = (0x20, *range(0x09, 0x0E))
-SLICE_BYTES = 2 << 20  # texts are hashed in slices of about so many bytes, however large the batch
+SLICE_BYTES = 1 << 19  # texts are hashed in slices of about so many bytes, however large the batch
 BASE = 0x9E3779B97F4A7C15  # odd, so that its powers can be undone
 
 
