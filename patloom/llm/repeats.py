@@ -153,7 +153,8 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", lea
     # The document id is part of the join keys, so that the copies of one text are not gathered.
     own = kept.join(firsts, ["one", "two", "doc_id"]).select("doc_id", "one", F.explode(F.arrays_zip("places", "grams")).alias("at"))
     suffixes = own.select("doc_id", "one", "at.places", "at.grams").distinct()
-    neighbours = suffixes.groupBy("grams").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("grams")
+    # Written, here and below, so that both sides of the join are shuffled for it: only then Spark splits a hot key.
+    neighbours = written(suffixes.groupBy("grams").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("grams"), "neighbours")
     extended = written(suffixes.join(neighbours, "grams").groupBy("doc_id", "one").agg(F.collect_set("places").alias("places")), "extended")
     runs = written(
         maybe_among(sealed, extended, "doc_id")
@@ -165,6 +166,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", lea
     # A document that is there twice has each run twice at one place, which is no repeat.
     place = F.struct("doc_id", "start_word", "one")
     origins = runs.groupBy("run").agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    origins = written(origins, "origins")
     again = runs.join(origins, "run").filter(place != F.col("origin"))
     spans = _islands(again, least)
     whole = copies.select(
