@@ -108,7 +108,8 @@ def close(n: Column, m: Column, common: Column) -> Column:
 def candidates(heads: DataFrame) -> DataFrame:
     """The nodes of those classes (node, n, head) whose heads share enough n-grams with others."""
     tokens = heads.select("node", "n", F.explode("head").alias("token"))
-    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("often")).filter("often > 1").select("token")
+    # Written, as below, so that both sides of the join are shuffled for it: only then Spark splits a hot key.
+    shared = written(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("often")).filter("often > 1").select("token"), "shared")
     counted = tokens.join(shared, "token").groupBy("node", "n").agg(F.count(F.lit(1)).alias("shared"))
     return counted.filter(F.col("shared") >= need(F.col("n"))).select("node")
 
@@ -120,7 +121,7 @@ def buckets(fragments: DataFrame) -> DataFrame:
     the first fifth. `common` is how many n-grams the two can share at most if they meet here first.
     """
     tokens = fragments.select("node", "n", F.explode("grams").alias("token"))
-    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
+    shared = written(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("often")).filter("often > 1"), "shared")
     own = W.partitionBy("node")
     ranked = tokens.join(shared, "token").select(
         "token",
