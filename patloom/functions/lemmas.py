@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -57,9 +58,11 @@ def _swapped(lists: pa.Array, changes: pa.Array) -> pa.Array:
 
 def _join(df: DataFrame, tokens: str, out: str, lemmas: DataFrame, keys: Sequence[str]) -> DataFrame:
     distinct = explode_once(df, keys, F.array_distinct(tokens), "__pos", "word").drop("__pos")
-    # A group holds the words to change of one document, which was one row before.
-    pairs = distinct.join(lemmas, "word").groupBy(*keys).agg(F.collect_list(F.struct("word", "lemma")).alias("__changes"))
-    joined = df.join(pairs, list(keys), "left")
+    # A word has one lemma everywhere, so rows that share a key, or have none, may share their changes.
+    pairs = distinct.join(lemmas, "word").groupBy(*keys).agg(F.collect_set(F.struct("word", "lemma")).alias("__changes"))
+    renamed = pairs.select(*(F.col(key).alias(f"__{at}") for at, key in enumerate(keys)), "__changes")
+    same = reduce(Column.__and__, (df[key].eqNullSafe(renamed[f"__{at}"]) for at, key in enumerate(keys)))
+    joined = df.join(renamed, same, "left").drop(*(f"__{at}" for at in range(len(keys))))
     return joined.withColumn(out, _swapped(F.col(tokens), F.col("__changes"))).drop("__changes")
 
 
@@ -72,23 +75,21 @@ def lemmatise(
     broadcast_rows: int = BROADCAST_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Replace each token by its lemma, if the table (word, lemma; one row per word) has one.
+    """Replace each token by its lemma, if the table (word, lemma) has one; of several the least.
 
     The table is measured first. One within the bounds goes to every executor and is looked up
     per Arrow batch, with no shuffle. A larger one is joined on the distinct words of each row, and
-    the words to change go back to their row by `keys`, which must identify it and not be null;
-    Spark splits hot words (AQE skew join).
+    the words to change go back to their row by `keys`; Spark splits hot words (AQE skew join). Both
+    ways give the same rows, also where keys repeat or are null.
     """
-    changing = lemmas.select("word", "lemma").filter(F.col("word") != F.col("lemma")).persist()
-    try:
-        size = changing.agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.coalesce(F.sum(F.octet_length("word") + F.octet_length("lemma")), F.lit(0)).alias("bytes"),
-        ).first()
-        small = size["rows"] <= broadcast_rows and size["bytes"] <= broadcast_bytes
-        table = changing.toArrow() if small else None
-    finally:
-        changing.unpersist()
+    changing = lemmas.filter("word IS NOT NULL AND lemma IS NOT NULL").groupBy("word").agg(F.min("lemma").alias("lemma"))
+    changing = changing.filter(F.col("word") != F.col("lemma"))
+    size = changing.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(F.octet_length("word") + F.octet_length("lemma")), F.lit(0)).alias("bytes"),
+    ).first()
+    small = size["rows"] <= broadcast_rows and size["bytes"] <= broadcast_bytes
+    table = changing.toArrow() if small else None
     out = out or tokens
     return _join(df, tokens, out, changing, keys) if table is None else _lookup(df, tokens, out, table)
 

@@ -29,11 +29,11 @@ def date_extract(
     return within.filter(F.col(year).cast("string").between(first[:4], last[:4])) if year else within
 
 
-def run_extract(spark: SparkSession, source: str, out: str, first: str = FIRST_DAY, last: str = LAST_DAY) -> int:
-    """Write the extract and give its row count; no file where no record is in the range."""
-    rows = date_extract(spark.read.parquet(source), first=first, last=last)
-    if rows.isEmpty():
-        return 0
+def run_extract(
+    spark: SparkSession, source: str, out: str, first: str = FIRST_DAY, last: str = LAST_DAY, year: str | None = None
+) -> int:
+    """Write the extract and give its row count. Where no record is in the range there is no file, and an
+    earlier extract is emptied."""
+    rows = date_extract(spark.read.parquet(source), first=first, last=last, year=year)
     watched, seen = observed(rows, "extract")  # an observation holds what the first action saw
-    write_extract(watched, out)
-    return seen.get["rows"]
+    return seen.get["rows"] if write_extract(watched, out, skip_empty=True, source=rows) else 0

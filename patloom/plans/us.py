@@ -10,12 +10,14 @@ from patloom.functions.us import parse_us
 from patloom.operators.dedup import first_by_key
 from patloom.operators.skip import not_done
 from patloom.plans.ep import BAD, GOOD
-from patloom.plans.ingest import MANIFEST
+from patloom.plans.ingest import DONE_BY, MANIFEST, record_done
 from patloom.sinks.tables import read_or_none, write_weekly
-from patloom.sources.archives import list_files, read_flat_documents
+from patloom.sources.archives import list_files, read_flat_documents, spread_documents
+from patloom.sources.files import read_partitioned
 
 DEDUP_KEY = ("archive", "pub_ref_doc_number")
 ORDER = ("archive", "entry", "doc_pos")
+US_FOLDERS = ("year", "date_part", "archive")
 
 
 def unique_records(parsed: DataFrame, keep_null_keys: bool = False) -> DataFrame:
@@ -23,12 +25,23 @@ def unique_records(parsed: DataFrame, keep_null_keys: bool = False) -> DataFrame
     return first_by_key(parsed, DEDUP_KEY, ORDER, keep_null_keys, exempt=F.col("error").isNotNull())
 
 
+def us_archives(files: DataFrame) -> DataFrame:
+    """Files named as US archives, in any case, with their name."""
+    named = files.withColumn("file_name", base_name(F.col("path")))
+    return named.filter(us_date_part(F.col("file_name")).isNotNull())
+
+
 def write_archives(archives: DataFrame, path: str, keep_null_keys: bool = False, tasks: int | None = None) -> None:
-    """Read, parse, deduplicate and write US archives by status, year, date part and archive.
+    """Read, parse, deduplicate and write US archives by year, date part and archive.
 
-    One shuffle, for the dedup. An archive that is written again replaces itself.
+    Records and quarantine (status `good` and `bad`) share the folder of their archive, so an archive that
+    is written again replaces both. Where archives are fewer than cores their documents are spread before
+    the parse; the dedup and the rebalance move records.
     """
-    records = unique_records(parse_us(read_flat_documents(archives, tasks)), keep_null_keys)
+    cores = archives.sparkSession.sparkContext.defaultParallelism
+    few = archives.limit(cores).count()
+    documents = spread_documents(read_flat_documents(archives, tasks), few, cores)
+    records = unique_records(parse_us(documents), keep_null_keys)
     placed = records.withColumns(
         {
             "status": F.when(F.col("error").isNull(), GOOD).otherwise(BAD),
@@ -36,17 +49,25 @@ def write_archives(archives: DataFrame, path: str, keep_null_keys: bool = False,
             "date_part": us_date_part(F.col("archive")),
         }
     )
-    write_weekly(placed, path, by=("status", "year", "date_part", "archive"))
+    write_weekly(placed, path, by=US_FOLDERS)
+
+
+def read_us_records(spark: SparkSession, path: str) -> DataFrame:
+    """The US table with year, date part and archive as the strings they are."""
+    return read_partitioned(spark, path, US_FOLDERS)
 
 
 def write_new_archives(spark: SparkSession, source: str, path: str, manifest: str, tasks: int | None = None) -> None:
-    """Write the archives of a folder that the manifest does not name yet; it is written last.
+    """Write the archives of a folder that the manifest does not have yet; it is written last.
 
-    The manifest knows archives by their full name, so a revised archive of the same day counts.
+    The manifest knows archives by full name, length and time of modification, and only if all of an
+    archive could be read; so a revised archive of the same day counts, and a broken one is read again.
     """
-    named = list_files(spark, source).withColumn("file_name", base_name(F.col("path")))
-    archives = named.filter(us_date_part(F.col("file_name")).isNotNull())
+    archives = us_archives(list_files(spark, source))
     done = read_or_none(spark, manifest, MANIFEST)
-    pending = archives if done is None else not_done(archives, done, ["file_name"], unique=True)
+    pending = archives if done is None else not_done(archives, done, DONE_BY)
     write_archives(pending, path, tasks=tasks)
-    pending.select("file_name", "length", "modificationTime").write.mode("append").parquet(manifest)
+    if read_or_none(spark, path) is None:
+        return
+    failed = read_us_records(spark, path).filter("error IS NOT NULL AND doc_pos IS NULL").select("archive").distinct()
+    record_done(spark, pending, failed, manifest)

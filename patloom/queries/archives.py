@@ -9,7 +9,7 @@ from patloom.functions.us import decode_text, parse_us, split_documents
 from patloom.plans import us
 from patloom.plans.ep import GOOD, write_records
 from patloom.plans.ingest import ingest_archives
-from patloom.queries.build import ep_archive_blobs, write_archives
+from patloom.queries.build import copy_archives, ep_archive_blobs, write_archives
 from patloom.queries.records import EP_TEXTS, TEXT_COLUMNS, TEXTS, US_TEXTS, ep_document_xml, us_document_xml
 from patloom.queries.registry import heavy, query, table
 from patloom.session import shared_folder
@@ -81,6 +81,29 @@ def weekly_records(spark, sf_dir):
     return read_weekly(spark, out).filter(F.col("status") == GOOD).select("doc_id", *TEXTS)
 
 
+@query("K1_rerun_repaired", EP_TEXTS)
+def rerun_repaired(spark, sf_dir):
+    """Records of which half were broken at first: the second run leaves neither broken nor old rows."""
+    raw, manifest, out = (shared_folder(spark, name) for name in ("raw", "manifest", "records"))
+    ingest_archives(spark, _archives(spark, sf_dir, "ep"), raw, manifest)
+    documents = read_weekly(spark, raw)
+    broken = F.when(F.xxhash64("entry") % 2 == 0, F.substring("content", 1, 20)).otherwise(F.col("content"))
+    write_records(documents.withColumn("content", broken), out)
+    write_records(documents, out)
+    return read_weekly(spark, out).select("doc_id", *TEXTS)  # a row of the quarantine would show
+
+
+@query("K5_retry_failed", EP_TEXTS)
+def retry_failed(spark, sf_dir):
+    """Archives that are cut off at first, then whole: the second run reads them, and only them."""
+    whole, source, out, manifest = _archives(spark, sf_dir, "ep"), *(shared_folder(spark, name) for name in ("ep", "raw", "manifest"))
+    copy_archives(list_files(spark, whole), source, keep=0.5)
+    ingest_archives(spark, source, out, manifest)
+    copy_archives(list_files(spark, whole), source)
+    ingest_archives(spark, source, out, manifest)
+    return parse_ep(read_weekly(spark, out), keep_bad_xml=False).select("doc_id", *TEXTS)
+
+
 @query("K1_A1_us_records", US_TEXTS)
 def us_records(spark, sf_dir):
     out = shared_folder(spark, "us-records")

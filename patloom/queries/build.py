@@ -18,9 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patloom.functions.names import EP_MIDDLE, EP_PREFIX, EP_SUFFIX
+from patloom.sources.archives import _open
 
 DOCUMENTS_PER_ARCHIVE = 200
 DOCUMENTS_PER_INNER = 50
+MOST_ARCHIVES = 53 * (9999 - 1900 + 1)  # weeks of years of four digits
 
 US_HEAD = '<?xml version="1.0" encoding="UTF-8"?>\n<!DOCTYPE us-patent-grant SYSTEM "grant.dtd" [ ]>\n'
 # Characters that XML cannot hold; the SQL drops them as well.
@@ -103,12 +105,16 @@ def _nested(documents: list[tuple[str, str]], tar: bool) -> bytes:
 
 def _ep_archive(number: int, documents: list[tuple[str, str]]) -> tuple[str, bytes]:
     year, week = 1900 + number // 53, number % 53 + 1
+    if year > 9999:
+        raise ValueError(f"archive number {number} has no year of four digits")
     tar = number % 2 == 1
     name = f"{EP_PREFIX}{year:04d}{EP_MIDDLE}{week:02d}{EP_SUFFIX}{'.tar' if tar else '.zip'}"
     return name, _nested(documents, tar)
 
 
 def _us_archive(number: int, documents: list[tuple[str, str]]) -> tuple[str, bytes]:
+    if number > 999_999:
+        raise ValueError(f"archive number {number} has more than six digits")
     text = "\n".join(US_HEAD + xml + "\n" + US_HEAD + "<sequence-cwu>no patent</sequence-cwu>" for _, xml in documents)
     return f"ipg{number:06d}_r1.zip", _zip([("all.xml", text.encode()), ("notes.txt", b"-")])
 
@@ -117,7 +123,7 @@ def _us_file(number: int, documents: list[tuple[str, str]]) -> tuple[str, bytes]
     return f"part{number:06d}.xml", "\n".join(US_HEAD + xml for _, xml in documents).encode()
 
 
-def _writer(folder: str, make):
+def _writer(folder: str, make, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         task, tasks = context.partitionId(), int(context.getLocalProperty("patloom.tasks"))
@@ -134,7 +140,7 @@ def _writer(folder: str, make):
         for batch in batches:
             for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 pending.append(row)
-                if len(pending) == DOCUMENTS_PER_ARCHIVE:
+                if len(pending) == size:
                     flush()
         if pending:
             flush()
@@ -148,10 +154,26 @@ def write_archives(documents: DataFrame, folder: str, kind: str, tasks: int) ->
     make = {"ep": _ep_archive, "us": _us_archive, "file": _us_file}[kind]
     context = documents.sparkSession.sparkContext
     context.setLocalProperty("patloom.tasks", str(tasks))
-    documents.select("name", "xml").mapInArrow(_writer(folder, make), "archives bigint").agg(F.sum("archives")).collect()
+    # Larger archives where there would be more of them than names.
+    size = max(DOCUMENTS_PER_ARCHIVE, -(-documents.count() // (MOST_ARCHIVES // 2)))
+    documents.select("name", "xml").mapInArrow(_writer(folder, make, size), "archives bigint").agg(F.sum("archives")).collect()
     return folder
 
 
+def copy_archives(files: DataFrame, folder: str, keep: float = 1.0) -> None:
+    """Copy files (path) to a folder, or only the first part of each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                with _open(path) as opened:
+                    content = opened.read()
+                _write(f"{folder}/{path.rsplit('/', 1)[1]}", content[: int(len(content) * keep)])
+            yield pa.RecordBatch.from_pydict({"copied": pa.array([batch.num_rows], pa.int64())})
+
+    files.select("path").mapInArrow(run, "copied bigint").agg(F.sum("copied")).collect()
+
+
 def ep_archive_blobs(documents: DataFrame) -> DataFrame:
     """Each row (name, xml) as the bytes of a nested archive of its own: (path, content)."""
 

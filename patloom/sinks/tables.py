@@ -34,9 +34,15 @@ def write_weekly(df: DataFrame, path: str, by: Sequence[str] = ("year", "week"),
     balanced.write.partitionBy(*by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-def write_extract(df: DataFrame, path: str, skip_empty: bool = False) -> bool:
-    """Write a table, all of it or nothing. With `skip_empty` no row means no file."""
-    if skip_empty and df.isEmpty():
+def write_extract(df: DataFrame, path: str, skip_empty: bool = False, source: DataFrame | None = None) -> bool:
+    """Write a table, all of it or nothing; whether it was written.
+
+    With `skip_empty` no row means no file; rows of an earlier extract at the path go. `source` is what to look
+    at for that, if not the table itself.
+    """
+    if skip_empty and (source if source is not None else df).isEmpty():
+        if read_or_none(df.sparkSession, path) is not None:
+            (source if source is not None else df).write.mode("overwrite").parquet(path)
         return False
     df.write.mode("overwrite").parquet(path)
     return True

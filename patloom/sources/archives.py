@@ -9,11 +9,15 @@ many tasks busy, its bytes are never shuffled, and memory holds one member at a
 from __future__ import annotations
 
 import codecs
+import gzip
 import io
+import lzma
 import posixpath
 import re
+import struct
 import tarfile
 import zipfile
+import zlib
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -33,6 +37,7 @@ CLOSING_TAG = r"</us-patent-[a-z-]+>"
 # -------------------------------------------------------------------------------------------
 
 SLICE_BYTES = 32 << 20  # members of an archive that start in the same slice are read together
+TASKS_PER_CORE = 100  # at most; slices are dealt to tasks, so a task may have several
 BATCH_BYTES = 16 << 20  # size at which a batch of entries is handed to Spark
 
 MEMBERS = "path string, member string, offset bigint, size bigint, error string"
@@ -57,20 +62,47 @@ def _open(path: str):
     return filesystem.open_input_file(inside)
 
 
+# What bad bytes give. Everything else, a file system that fails above all, is raised: Spark tries again.
+CONTENT_ERRORS = (
+    zipfile.BadZipFile, tarfile.TarError, gzip.BadGzipFile, zlib.error, lzma.LZMAError, struct.error,
+    EOFError, ValueError, NotImplementedError,
+)
+
+
 def _reason(problem: Exception) -> str:
     return f"{type(problem).__name__}: {problem}"
 
 
-def _members(opened, name: str) -> Iterator[tuple[str, int, int]]:
-    """Name, offset and size of each file in an outer zip or tar."""
-    if name.lower().endswith(".zip"):
-        with zipfile.ZipFile(opened) as outer:
-            yield from ((i.filename, i.header_offset, i.file_size) for i in outer.infolist() if not i.is_dir())
-    elif name.lower().endswith(".tar"):
-        with tarfile.open(fileobj=opened, mode="r:") as outer:
-            yield from ((i.name, i.offset_data, i.size) for i in outer if i.isfile())
-    else:
-        raise ValueError(f"not an archive: {name}")
+class _Outer:
+    """An outer zip or tar, by its ending. A member is known by where it starts, since names may repeat.
+
+    A tar may be compressed; its offsets are then those of what it unpacks to.
+    """
+
+    def __init__(self, opened, name: str) -> None:
+        if name.lower().endswith(".zip"):
+            self.archive = zipfile.ZipFile(opened)
+            self.infos = {info.header_offset: info for info in self.archive.infolist()}
+        elif name.lower().endswith(".tar"):
+            self.archive, self.infos = tarfile.open(fileobj=opened, mode="r:*"), None
+        else:
+            raise ValueError(f"not an archive: {name}")
+
+    def members(self) -> Iterator[tuple[str, int, int]]:
+        """Name, offset and size of each file."""
+        if self.infos is not None:
+            yield from ((i.filename, i.header_offset, i.file_size) for i in self.archive.infolist() if not i.is_dir())
+        else:
+            yield from ((i.name, i.offset_data, i.size) for i in self.archive if i.isfile())
+
+    def read(self, offset: int, size: int) -> bytes:
+        if self.infos is not None:
+            return self.archive.read(self.infos[offset])
+        self.archive.fileobj.seek(offset)
+        blob = self.archive.fileobj.read(size)
+        if len(blob) < size:
+            raise EOFError(f"{len(blob)} of {size} bytes")
+        return blob
 
 
 def _in_doc_folder(member: str) -> bool:
@@ -103,8 +135,8 @@ def _list_members(doc_rule: bool):
     def listed(path: str) -> Iterator[dict]:
         try:
             with _open(path) as opened:
-                found = list(_members(opened, path))
-        except Exception as problem:  # an unreadable archive becomes a row, not a failed job
+                found = list(_Outer(opened, path).members())
+        except CONTENT_ERRORS as problem:  # a broken archive becomes a row, not a failed job
             yield {"path": path, "error": _reason(problem)}
             return
         if doc_rule and any(_in_doc_folder(member) for member, _, _ in found):
@@ -120,13 +152,25 @@ def _list_members(doc_rule: bool):
 
 
 def _inner_entries(member: str, blob: bytes) -> Iterator[dict]:
-    """The documents of an inner zip; nothing where the bytes are no zip."""
+    """The documents of an inner zip; nothing where the bytes are no zip. A bad entry is a row with its error."""
     if not zipfile.is_zipfile(io.BytesIO(blob)):
         return
     with zipfile.ZipFile(io.BytesIO(blob)) as inner:
         for info in inner.infolist():
             if _wanted(info.filename):
-                yield {"member": member, "entry": info.filename, "content": inner.read(info)}
+                try:
+                    yield {"member": member, "entry": info.filename, "content": inner.read(info)}
+                except CONTENT_ERRORS as problem:
+                    yield {"member": member, "entry": info.filename, "error": _reason(problem)}
+
+
+def _member_entries(outer: _Outer, path: str, member: str, offset: int, size: int) -> Iterator[dict]:
+    """The documents of a member. One that cannot be read is a row with its error, and others are read on."""
+    try:
+        for entry in _inner_entries(member, outer.read(offset, size)):
+            yield {"path": path, **entry}
+    except CONTENT_ERRORS as problem:
+        yield {"path": path, "member": member, "error": _reason(problem)}
 
 
 def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,22 +181,12 @@ def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 if row["error"]:
                     yield {"path": row["path"], "error": row["error"]}
                     continue
-                try:
-                    if row["path"] != path:
-                        if opened:
-                            opened.close()
-                        path, opened = row["path"], _open(row["path"])
-                        outer = zipfile.ZipFile(opened) if path.lower().endswith(".zip") else None
-                    if outer:
-                        blob = outer.read(row["member"])
-                    else:
-                        opened.seek(row["offset"])
-                        blob = opened.read(row["size"])
-                    for entry in _inner_entries(row["member"], blob):
-                        yield {"path": path, **entry}
-                except Exception as problem:
-                    yield {"path": row["path"], "member": row["member"], "error": _reason(problem)}
-                    path = None
+                if row["path"] != path:
+                    if opened:
+                        opened.close()
+                    path, opened = row["path"], _open(row["path"])
+                    outer = _Outer(opened, path)
+                yield from _member_entries(outer, path, row["member"], row["offset"], row["size"])
 
     yield from _batches(rows(), _schema(ENTRIES), sized="content")
 
@@ -166,11 +200,12 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
 
 
 def _tasks(files: DataFrame, tasks: int | None) -> int:
-    """Task count for reading files: by their listed sizes, at least the parallelism there is."""
+    """Task count for reading files: by their listed sizes, between the parallelism there is and a multiple."""
     if tasks:
         return tasks
     total = files.agg(F.sum("length")).first()[0] or 0
-    return max(files.sparkSession.sparkContext.defaultParallelism, total // SLICE_BYTES)
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    return max(cores, min(total // SLICE_BYTES, TASKS_PER_CORE * cores))
 
 
 def read_nested(archives: DataFrame, doc_rule: bool = True, tasks: int | None = None) -> DataFrame:
@@ -193,17 +228,15 @@ def _nested_blobs(doc_rule: bool):
             for batch in batches:
                 for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
                     try:
-                        data = content.as_py()
-                        found = list(_members(io.BytesIO(data), path))
-                        if doc_rule and any(_in_doc_folder(one[0]) for one in found):
-                            found = [one for one in found if _in_doc_folder(one[0])]
-                        outer = zipfile.ZipFile(io.BytesIO(data)) if path.lower().endswith(".zip") else None
-                        for member, offset, size in found:
-                            blob = outer.read(member) if outer else data[offset : offset + size]
-                            for entry in _inner_entries(member, blob):
-                                yield {"path": path, **entry}
-                    except Exception as problem:
+                        outer = _Outer(io.BytesIO(content.as_py()), path)
+                        found = list(outer.members())
+                    except CONTENT_ERRORS as problem:
                         yield {"path": path, "error": _reason(problem)}
+                        continue
+                    if doc_rule and any(_in_doc_folder(one[0]) for one in found):
+                        found = [one for one in found if _in_doc_folder(one[0])]
+                    for member, offset, size in found:
+                        yield from _member_entries(outer, path, member, offset, size)
 
         yield from _batches(rows(), _schema(ENTRIES), sized="content")
 
@@ -220,27 +253,29 @@ def explode_nested(archives: DataFrame, doc_rule: bool = True) -> DataFrame:
 
 
 def _flat_entries(batches: Iterator[pa.RecordBatch], read) -> Iterator[dict]:
-    """Rows that `read(outer, name)` gives for each top-level XML entry, errors as rows."""
+    """Rows that `read(outer, entry)` gives for each top-level XML entry, content errors as rows."""
     for batch in batches:
         for path in batch.column(0).to_pylist():
-            try:
-                with _open(path) as opened, zipfile.ZipFile(opened) as outer:
-                    for name in outer.namelist():
-                        if name.endswith(DOCUMENT_ENDING) and "/" not in name:
-                            try:
-                                for row in read(outer, name):
-                                    yield {"path": path, "entry": name, **row}
-                            except Exception as problem:
-                                yield {"path": path, "entry": name, "error": _reason(problem)}
-            except Exception as problem:
-                yield {"path": path, "error": _reason(problem)}
+            with _open(path) as opened:
+                try:
+                    outer = zipfile.ZipFile(opened)
+                except CONTENT_ERRORS as problem:
+                    yield {"path": path, "error": _reason(problem)}
+                    continue
+                for info in outer.infolist():
+                    if info.filename.endswith(DOCUMENT_ENDING) and "/" not in info.filename:
+                        try:
+                            for row in read(outer, info):
+                                yield {"path": path, "entry": info.filename, **row}
+                        except CONTENT_ERRORS as problem:
+                            yield {"path": path, "entry": info.filename, "error": _reason(problem)}
 
 
-def _whole(outer: zipfile.ZipFile, name: str) -> Iterator[dict]:
-    yield {"content": outer.read(name)}
+def _whole(outer: zipfile.ZipFile, entry: zipfile.ZipInfo) -> Iterator[dict]:
+    yield {"content": outer.read(entry)}
 
 
-def _text_blocks(outer: zipfile.ZipFile, name: str, encoding: str) -> Iterator[str]:
+def _text_blocks(outer: zipfile.ZipFile, name: zipfile.ZipInfo, encoding: str) -> Iterator[str]:
     decoder = codecs.getincrementaldecoder(encoding)()
     with outer.open(name) as entry:
         while block := entry.read(4 << 20):
@@ -248,7 +283,7 @@ def _text_blocks(outer: zipfile.ZipFile, name: str, encoding: str) -> Iterator[s
         yield decoder.decode(b"", final=True)
 
 
-def _documents(outer: zipfile.ZipFile, name: str) -> Iterator[dict]:
+def _documents(outer: zipfile.ZipFile, name: zipfile.ZipInfo) -> Iterator[dict]:
     """Single documents of an entry, read as a stream: memory holds the longest one.
 
     A match of `DOCUMENT` ends at the first closing tag after its start, so the text can be cut

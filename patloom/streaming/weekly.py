@@ -6,24 +6,28 @@ there, the quarantine of a batch replaces itself.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from patloom.functions.ep import parse_ep
-from patloom.plans.us import write_archives
+from patloom.plans.ingest import named_archives, one_per_week
+from patloom.plans.us import us_archives, write_archives
 from patloom.schemas import EP_RECORD
-from patloom.sinks.tables import insert_if_absent, write_weekly
+from patloom.sinks.tables import insert_if_absent, read_or_none, write_weekly
 from patloom.sources.archives import read_nested
 
 EP_ORDER = ("archive", "member", "entry")
 FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def archive_stream(spark: SparkSession, folder: str, glob: str = "*.{zip,tar}", per_batch: int | None = None) -> DataFrame:
-    """Files as they appear: path, modificationTime, length."""
-    reader = spark.readStream.format("binaryFile").schema(FILES).option("pathGlobFilter", glob)
-    reader = reader.option("recursiveFileLookup", "true")
+def archive_stream(spark: SparkSession, folder: str, glob: str | None = None, per_batch: int | None = None) -> DataFrame:
+    """Files as they appear: path, modificationTime, length. The jobs below pick archives by name, in any case."""
+    reader = spark.readStream.format("binaryFile").schema(FILES).option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     if per_batch:
         reader = reader.option("maxFilesPerTrigger", per_batch)
     return reader.load(folder).drop("content")
@@ -42,19 +46,26 @@ def insert_ep_stream(
     doc_rule: bool = True,
     tasks: int | None = None,
     available_now: bool = True,
+    insert: Callable = insert_if_absent,
 ) -> StreamingQuery:
-    """Insert the records of new European archives by document id, if absent; keep bad ones aside."""
+    """Insert the records of new European archives by document id, if absent; keep bad ones aside.
+
+    Archives are chosen as in the batch job, among those of a micro-batch. A batch is parsed once, into a
+    table beside the quarantine that both sinks read. An error other than that of bad content fails the stream.
+    """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_ep(read_nested(batch, doc_rule, tasks)).persist()
-        try:
-            good = parsed.filter(F.col("error").isNull()).drop("error", "bad_xml")
-            columns = [*EP_ORDER, *EP_RECORD.names]
-            insert_if_absent(good, table, "doc_id", EP_ORDER, columns)
-            bad = parsed.filter(F.col("error").isNotNull()).select(*EP_ORDER, "error", "bad_xml")
-            write_weekly(bad.withColumn("batch_id", F.lit(batch_id)), quarantine, by=("batch_id",))
-        finally:
-            parsed.unpersist()
+        chosen = one_per_week(named_archives(batch))
+        staged = f"{quarantine.rstrip('/')}-staged"
+        write_weekly(parse_ep(read_nested(chosen, doc_rule, tasks)).withColumn("batch_id", F.lit(batch_id)), staged, by=("batch_id",), balance=False)
+        parsed = read_or_none(batch.sparkSession, staged)
+        if parsed is None:  # no archive so far
+            return
+        parsed = parsed.filter(F.col("batch_id") == batch_id)
+        columns = [*EP_ORDER, *EP_RECORD.names]
+        insert(parsed.filter(F.col("error").isNull()), table, "doc_id", EP_ORDER, columns)
+        bad = parsed.filter(F.col("error").isNotNull()).select(*EP_ORDER, "error", "bad_xml")
+        write_weekly(bad.withColumn("batch_id", F.lit(batch_id)), quarantine, by=("batch_id",))
 
     return _start(archives, each, checkpoint, available_now)
 
@@ -62,9 +73,9 @@ def insert_ep_stream(
 def write_us_stream(
     archives: DataFrame, path: str, checkpoint: str, tasks: int | None = None, available_now: bool = True
 ) -> StreamingQuery:
-    """Write the records of new US archives, each archive on its own."""
+    """Write the records of new US archives, each archive on its own; files of other names are passed over."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        write_archives(batch, path, tasks=tasks)
+        write_archives(us_archives(batch), path, tasks=tasks)
 
     return _start(archives, each, checkpoint, available_now)

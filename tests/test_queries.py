@@ -4,8 +4,8 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as registered
-
-QUERIES, SQLS = registered.queries(), registered.oracle_sql()
+from patloom.queries import ORACLES as SQLS
+from patloom.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -18,8 +18,9 @@ def test_query(spark, tables, connection, name):
     assert differences(QUERIES[name](spark, tables), connection, SQLS[name]) == []
 
 
-def test_every_query_has_sql():
+def test_every_query_has_sql_and_is_registered():
     assert set(QUERIES) == set(SQLS)
+    assert set(QUERIES) <= set(registered.queries()) and set(SQLS) <= set(registered.oracle_sql())
 
 
 def test_entry(spark):
