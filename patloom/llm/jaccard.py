@@ -199,7 +199,8 @@ def class_links(met: DataFrame, fragments: DataFrame, pivots: int = PIVOTS) -> D
 
 
 def text_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """(doc_id, seal, n_shingles, component_id), one row per input row; `seal` is a hash of the text.
+    """(doc_id, seal, n_shingles, component_id, label), one row per input row; `seal` is a hash of the text.
+    `label` tells components apart that have one least id, as where an id has several texts.
 
     Words are runs of other than ASCII white space, ASCII letters lower-cased. A set holds the distinct
     runs of `words` words; a shorter text is one run. Texts link at Jaccard 0.8; components take the least
@@ -226,19 +227,20 @@ def text_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     labels = class_links(written(buckets(fragments), "buckets"), fragments)
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    to = named.select("node", "label").join(least, "label").select("node", "component_id")
+    to = named.select("node", "label").join(least, "label").select("node", "component_id", "label")
     rows = sets.select("doc_id", "seal", "n", F.when(F.col("n") > 0, F.col("node")).alias("node")).join(to, "node", "left")
     return rows.select(
         "doc_id",
         "seal",
         F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
+        "label",
     )
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """(key, n_shingles, component_id): `text_components` without the hash of the text."""
-    return text_components(docs, key, text, words).drop("seal").withColumnRenamed("doc_id", key)
+    """(key, n_shingles, component_id) of `text_components`."""
+    return text_components(docs, key, text, words).drop("seal", "label").withColumnRenamed("doc_id", key)
 
 
 def one_per_component(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -248,9 +250,9 @@ def one_per_component(docs: DataFrame, key: str = "doc_id", text: str = "text")
     Only rows that may go are moved.
     """
     found = text_components(docs, key, text).filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    rows = written(found.groupBy("component_id", "doc_id", "seal").agg(F.count(F.lit(1)).alias("often")), "members")
-    kept = rows.groupBy("component_id").agg(F.min(F.struct("doc_id", "seal")).alias("kept"))
-    judged = rows.join(kept, "component_id").select(
+    rows = written(found.groupBy("label", "doc_id", "seal").agg(F.count(F.lit(1)).alias("often")), "members")
+    kept = rows.groupBy("label").agg(F.min(F.struct("doc_id", "seal")).alias("kept"))
+    judged = rows.join(kept, "label").select(
         F.col("doc_id").alias(key), "seal", "often", (F.struct("doc_id", "seal") == F.col("kept")).alias("stays")
     )
     touched = written(judged.filter("NOT stays OR often > 1"), "touched")
