@@ -28,7 +28,7 @@ PAD = np.int32(-1)
 EMPTY = np.uint64(2**64 - 1)
 STEPS = (2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256)  # matrix widths; longer pieces go by a heap
 CELLS = 1 << 20  # of a matrix
-CACHED = 150_000  # pieces
+CACHED = 100_000  # pieces
 
 
 def read_ranks(path: str) -> list[bytes]:

@@ -15,7 +15,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -242,11 +241,12 @@ def compared_with_edits(docs: DataFrame, key: str = "doc_id", text: str = "text"
     lows = [row["low"] for row in ranges.groupBy("part").agg(F.min("id").alias("low")).orderBy("low").collect()]
     count = max(1, len(lows))
 
-    @F.pandas_udf("int")
-    def range_of(keys: pd.Series) -> pd.Series:
+    @F.arrow_udf("int")
+    def range_of(keys: pa.Array) -> pa.Array:
         """Twice the number of the range, one more for its first id."""
-        at = np.searchsorted(np.array(lows), keys.to_numpy(), "right") - 1
-        return pd.Series((2 * at + (np.array(lows)[at] == keys.to_numpy())).astype(np.int32))
+        keys, starts = keys.to_numpy(zero_copy_only=False), np.array(lows)
+        at = np.searchsorted(starts, keys, "right") - 1
+        return pa.array((2 * at + (starts[at] == keys)).astype(np.int32))
 
     rows = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
     seal = F.xxhash64("text")

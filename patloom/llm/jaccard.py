@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from patloom.llm.components import components
-from patloom.llm.prefilter import maybe_among, parted
+from patloom.llm.prefilter import inside, parted
 from patloom.llm.registry import query, table, written
 from patloom.llm.words import Powers, byte_values, filled, gram_hashes, lists, mixed, slices, words_of
 
@@ -71,10 +71,10 @@ def _summaries(n: int, head: int):
     return run
 
 
-def _fragments(n: int, bits: int):
+def _fragments(n: int, bits: int, kept):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, powers = byte_values(), Powers()
-        for batch in batches:
+        for batch in map(kept, batches):
             sets = list(_sets(filled(batch.column(0)), n, values, powers))
             cuts = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
             one = [np.sum(g, dtype=np.uint64) for g in sets]
@@ -217,9 +217,9 @@ def text_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     heads = sets.filter("n > 0").join(classes, ["node", "doc_id"]).select("node", "n", "head")
     needed = written(classes.join(candidates(heads), "node").select("node", "doc_id"), "candidates")
     grams = (
-        maybe_among(texts, needed, "doc_id")
-        .select("text")
-        .mapInArrow(_fragments(words, FRAGMENT_BITS), "n int, one bigint, two bigint, fragment int, grams array<bigint>")
+        texts.filter("doc_id IS NOT NULL")
+        .select("text", F.xxhash64("doc_id").alias("hash"))
+        .mapInArrow(_fragments(words, FRAGMENT_BITS, inside(needed, "doc_id")), "n int, one bigint, two bigint, fragment int, grams array<bigint>")
         .select(node.alias("node"), "n", "fragment", "grams")
     )
     # Rows that share an id with a candidate, and repeated rows, go here.

@@ -7,7 +7,7 @@ follows. So it saves work and decides nothing.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,9 +39,9 @@ def parted(df: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFra
     """The rows whose key may be in the same column of `keys`, and those where it is not. Null is not."""
     shared = df.sparkSession.sparkContext.broadcast(bitmap(keys.select(F.xxhash64(key).alias("h"))))
 
-    @F.pandas_udf("boolean")
-    def among(hashes: pd.Series) -> pd.Series:
-        return pd.Series(hits(shared.value, hashes.to_numpy(np.int64).view(np.uint64)))
+    @F.arrow_udf("boolean")
+    def among(hashes: pa.Array) -> pa.Array:
+        return pa.array(hits(shared.value, hashes.to_numpy(zero_copy_only=False).view(np.uint64)))
 
     there = F.col(key).isNotNull() & among(F.xxhash64(key))
     return df.filter(there), df.filter(~there)
@@ -52,6 +52,20 @@ def maybe_among(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return parted(df, keys, key)[0]
 
 
+def inside(keys: DataFrame, key: str):
+    """For a function over Arrow batches: keeps the rows whose last column, a hash of the key, may be that of one in `keys`.
+
+    So the look at the bitmap and the work on the rows that pass need one Python worker, not two.
+    """
+    shared = keys.sparkSession.sparkContext.broadcast(bitmap(keys.select(F.xxhash64(key).alias("h"))))
+
+    def kept(batch: pa.RecordBatch) -> pa.RecordBatch:
+        hashes = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).view(np.uint64)
+        return batch.filter(pa.array(hits(shared.value, hashes)))
+
+    return kept
+
+
 def without(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """The rows whose key is not in `keys`; only rows that may be there move."""
     maybe, rest = parted(df, keys, key)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patloom.llm.prefilter import maybe_among
+from patloom.llm.prefilter import inside
 from patloom.llm.registry import query, table, written
 from patloom.llm.words import Powers, byte_values, filled, lists, slices, words_of
 
@@ -137,20 +137,27 @@ def _repeated_lines(doc: np.ndarray, line: np.ndarray, hashes: np.ndarray, sizes
     return np.bincount(owner[order][again], weights=n[order][again], minlength=docs).astype(np.int64)
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    values, powers = byte_values(), Powers()
-    for batch in batches:
-        texts = filled(batch.column(1))
-        parts = [statistics(texts.slice(a, b - a), values, powers) for a, b in slices(texts)]
-        rows = np.concatenate(parts) if parts else np.zeros((0, len(STATISTICS)))
-        column = lists(rows.ravel(), np.full(len(rows), len(STATISTICS)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), column], ["doc_id", "stats"])
+def _rows(kept):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        values, powers = byte_values(), Powers()
+        for batch in map(kept, batches):
+            texts = filled(batch.column(1))
+            parts = [statistics(texts.slice(a, b - a), values, powers) for a, b in slices(texts)]
+            rows = np.concatenate(parts) if parts else np.zeros((0, len(STATISTICS)))
+            column = lists(rows.ravel(), np.full(len(rows), len(STATISTICS)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), column], ["doc_id", "stats"])
+
+    return run
 
 
-def document_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, stats): `STATISTICS` of every whole text, in order. A null text is empty; of an empty one all are defined."""
-    given = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return given.mapInArrow(_rows, f"doc_id {dict(given.dtypes)['doc_id']}, stats array<double>")
+def document_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text", among: DataFrame | None = None) -> DataFrame:
+    """(doc_id, stats): `STATISTICS` of every whole text, in order. A null text is empty; of an empty one all are defined.
+
+    With `among` (key) only of documents that may have one of these keys: all that have, and a few more.
+    """
+    given = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"), F.xxhash64(key).alias("hash"))
+    kept = inside(among, key) if among is not None else lambda batch: batch
+    return given.mapInArrow(_rows(kept), f"doc_id {dict(given.dtypes)['doc_id']}, stats array<double>")
 
 
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +259,7 @@ def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, t
     """
     marks = labels.filter("quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("label"))
     marks = written(marks.filter(~held_out(F.col("doc_id"))), "marks")
-    stats = document_statistics(maybe_among(docs, marks, "doc_id"), text=text)
+    stats = document_statistics(docs, text=text, among=marks)
     model = fit(stats.join(marks, "doc_id").select("label", "stats"))
     odds, classes = model.odds, model.classes
 
