@@ -270,9 +270,15 @@ def _scan(shared):
 
 
 def sample_texts(docs: DataFrame, key: str, text: str, most: int = SAMPLE_DOCS) -> list[str]:
-    """Texts of at most `most` documents, none longer than `SAMPLE_BYTES`, the same ones each time."""
+    """Texts of at most `most` documents, none longer than `SAMPLE_BYTES`, the same ones each time.
+
+    Those of least hash. Only rows below a bound on the hash that a few times as many have can be among them, so
+    tasks send next to nothing, however many there are.
+    """
     some = docs.filter(F.octet_length(text).between(1, SAMPLE_BYTES)).select(F.col(text).alias("text"), F.xxhash64(key, text).alias("at"))
-    return [row["text"] for row in some.orderBy("at").limit(most).collect()]
+    share = min(1.0, 4 * most / max(1, some.count()))
+    below = some.filter(F.col("at") <= int(-(2**63) + share * (2**64 - 1) - 1) if share < 1 else F.lit(True))
+    return [row["text"] for row in below.orderBy("at").limit(most).collect()]
 
 
 def licence_notices(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
