@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patloom.operators.pooling import or_zero, pooled
+from patloom.operators.pooling import or_zero
 from patloom.schemas import EMBEDDING_DIM
 
 Encode = Callable[[Sequence[str]], np.ndarray]
@@ -27,40 +27,46 @@ def sentence_model(name: str = "intfloat/e5-large-v2", device: str | None = None
 
 
 def chunk_embedder(load_model: Callable[[], Encode], batch_size: int = 64) -> Callable[[Column], Column]:
-    """A function from array<string> to struct<vectors: array<array<double>>, error: string>.
+    """A function from array<string> to struct<vector: array<double>, error: string>, the mean of the chunks' vectors.
 
     The model is loaded once per task. Chunks of many documents share a model batch. Where a batch
-    fails, its documents are tried one by one, so only the bad ones get an error.
+    fails, or gives another number of vectors than it had texts, its documents are tried one by one, so
+    only the bad ones get an error. Vectors are averaged here, so that one per document goes to Spark.
     """
 
-    @F.arrow_udf("struct<vectors:array<array<double>>,error:string>")
+    @F.arrow_udf("struct<vector:array<double>,error:string>")
     def embed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = load_model()
 
         def vectors_of(texts: list[str]) -> list[np.ndarray]:
             starts = range(0, len(texts), batch_size)
-            return [row for at in starts for row in np.asarray(encode(texts[at : at + batch_size]), dtype="float64")]
-
-        def one(chunks: list[str]) -> tuple[list[np.ndarray], str | None]:
+            rows = [row for at in starts for row in np.asarray(encode(texts[at : at + batch_size]), dtype="float64")]
+            if len(rows) != len(texts):
+                raise ValueError(f"{len(rows)} vectors for {len(texts)} texts")
+            return rows
+
+        def mean(rows: list[np.ndarray]) -> np.ndarray | None:
+            total = None
+            for row in rows:
+                total = row.copy() if total is None else total + row
+            return total / len(rows) if rows and len(total) else None
+
+        def one(chunks: list[str]) -> tuple[np.ndarray | None, str | None]:
             try:
-                return vectors_of(chunks), None
+                return mean(vectors_of(chunks)), None
             except Exception as problem:  # stays visible in the error column
-                return [], f"{type(problem).__name__}: {problem}"
+                return None, f"{type(problem).__name__}: {problem}"
 
         for batch in batches:
             documents = [chunks or [] for chunks in batch.to_pylist()]
             try:
                 rows = iter(vectors_of([chunk for chunks in documents for chunk in chunks]))
-                results = [([next(rows) for _ in chunks], None) for chunks in documents]
+                results = [(mean([next(rows) for _ in chunks]), None) for chunks in documents]
             except Exception:
                 results = [one(chunks) for chunks in documents]
-            flat = [row for rows, _ in results for row in rows]
-            values = pa.array(np.concatenate(flat) if flat else np.empty(0))
-            per_vector = pa.array(np.cumsum([0, *(len(row) for row in flat)]), pa.int32())
-            per_document = pa.array(np.cumsum([0, *(len(rows) for rows, _ in results)]), pa.int32())
-            vectors = pa.ListArray.from_arrays(per_document, pa.ListArray.from_arrays(per_vector, values))
+            vectors = pa.array([vector for vector, _ in results], pa.list_(pa.float64()))
             errors = pa.array([error for _, error in results], pa.string())
-            yield pa.StructArray.from_arrays([vectors, errors], ["vectors", "error"])
+            yield pa.StructArray.from_arrays([vectors, errors], ["vector", "error"])
 
     return embed
 
@@ -80,5 +86,5 @@ def with_embedding(
     """
     embedded = df.withColumn("__embedded", chunk_embedder(load_model, batch_size)(F.col(chunks)))
     return embedded.withColumns(
-        {out: or_zero(pooled(F.col("__embedded.vectors")), width), "embed_error": F.col("__embedded.error")}
+        {out: or_zero(F.col("__embedded.vector"), width), "embed_error": F.col("__embedded.error")}
     ).drop("__embedded")
