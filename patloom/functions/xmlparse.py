@@ -129,18 +129,20 @@ def xml_struct(picks: Sequence[Pick]) -> Callable[[Column], Column]:
         records = []
         collecting = gc.isenabled()
         gc.disable()  # a tree has no cycles, and a batch of trees is many objects to walk
-        for document in documents:
-            try:
-                root = ET.fromstring(document.as_py())
-                index: Index = {}
-                for el in root.iter():  # one walk finds the anchors of all picks, in document order
-                    if el.tag in anchors and el is not root:
-                        index.setdefault(el.tag, []).append(el)
-                records.append({name: read(root, index) for name, read in readers})
-            except Exception as problem:  # any bad document is set aside, with the reason
-                records.append({"error": f"{type(problem).__name__}: {problem}"})
-        if collecting:
-            gc.enable()
+        try:
+            for document in documents:
+                try:
+                    root = ET.fromstring(document.as_py())
+                    index: Index = {}
+                    for el in root.iter():  # one walk finds the anchors of all picks, in document order
+                        if el.tag in anchors and el is not root:
+                            index.setdefault(el.tag, []).append(el)
+                    records.append({name: read(root, index) for name, read in readers})
+                except Exception as problem:  # any bad document is set aside, with the reason
+                    records.append({"error": f"{type(problem).__name__}: {problem}"})
+        finally:
+            if collecting:
+                gc.enable()
         return pa.array(records, to_arrow_type(result))
 
     return parse

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from patloom.functions.ep import parse_ep
 from patloom.functions.us import decode_text, parse_us, split_documents
 from patloom.plans import us
-from patloom.plans.ep import GOOD, write_records
+from patloom.plans.ep import GOOD, insert_records, write_records
 from patloom.plans.ingest import ingest_archives
 from patloom.queries.build import copy_archives, ep_archive_blobs, write_archives
 from patloom.queries.records import EP_TEXTS, TEXT_COLUMNS, TEXTS, US_TEXTS, ep_document_xml, us_document_xml
@@ -104,6 +104,16 @@ def retry_failed(spark, sf_dir):
     return parse_ep(read_weekly(spark, out), keep_bad_xml=False).select("doc_id", *TEXTS)
 
 
+@query("F6_insert_columns", EP_TEXTS)
+def insert_columns(spark, sf_dir):
+    """Records inserted twice with the columns that the insert keeps."""
+    parsed = parse_ep(read_nested(list_files(spark, _archives(spark, sf_dir, "ep"))), keep_bad_xml=False)
+    out = shared_folder(spark, "ep-columns")
+    for _ in range(2):
+        insert_records(parsed, out)
+    return spark.read.parquet(out).select("doc_id", *TEXTS)
+
+
 @query("K1_A1_us_records", US_TEXTS)
 def us_records(spark, sf_dir):
     out = shared_folder(spark, "us-records")

@@ -60,7 +60,7 @@ EP_RECORD = T.StructType(
     ]
 )
 
-# The columns of the European record that the insert keeps.
+# ---- Fixed values: the columns of the European record that the insert keeps ----------------
 EP_INSERT_COLUMNS = (
     "doc_id",
     "title_en",

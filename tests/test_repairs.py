@@ -9,12 +9,14 @@ from archives import ep_xml, tarred, zipped
 from pyspark.sql import functions as F
 from test_jobs import name, us_doc
 
+from patloom.functions.ep import parse_ep
 from patloom.functions.lemmas import lemmatise
 from patloom.plans import us
-from patloom.plans.ep import BAD, GOOD, embedded, write_records
+from patloom.plans.ep import BAD, GOOD, embedded, insert_records, write_records
 from patloom.plans.extract import run_extract
 from patloom.plans.ingest import ingest_archives, left_out, named_archives, one_per_week
 from patloom.queries import build
+from patloom.schemas import EP_INSERT_COLUMNS
 from patloom.sources.archives import explode_nested, list_files, read_nested
 from patloom.sources.files import read_weekly
 from patloom.streaming.weekly import archive_stream, insert_ep_stream
@@ -163,3 +165,11 @@ def test_emptied_extract_leaves_nothing_behind(spark, tmp_path):
     assert run_extract(spark, source, out, "20220101", "20221231", year="y") == 1
     assert run_extract(spark, source, out, "19990101", "19991231") == 0
     assert spark.read.parquet(out).count() == 0
+
+
+def test_insert_keeps_its_columns(spark, tmp_path):
+    df = spark.createDataFrame([("a", "m", "e.xml", bytearray(ep_xml(1)), None), ("a", "m", "f.xml", bytearray(BROKEN), None)], "archive string, member string, entry string, content binary, error string")
+    for _ in range(2):
+        insert_records(parse_ep(df), str(tmp_path / "t"))
+    back = spark.read.parquet(str(tmp_path / "t"))
+    assert back.columns == list(EP_INSERT_COLUMNS) and [r.doc_id for r in back.collect()] == ["EP1"]
