@@ -1,15 +1,19 @@
 """Licence notices in documents.
 
-A paragraph is a line, cut into runs of at most `WORDS` words. Its features are those of its word n-grams (one to
-three words) that licence notices have; all others weigh nothing, so nearly every paragraph is out after a
-look at a bitmap. A softmax regression over them names the family, or unknown. It is trained here: on the
-notices below, with words left out and among words of the corpus, against paragraphs of a bounded sample of documents; a
-part that was held back sets its temperature, so that probabilities, that of unknown too, mean what
-they say. A finding must then be confirmed: enough of a notice's three-word runs stand in the paragraph.
+Notices are looked for in the word stream of a whole text, across lines and without words that are punctuation only
+(comment marks). A look at a bitmap leaves the three-word runs that licence notices have; a text in which no notice
+has enough of its runs is out. In the others, a place is a window of at most `REACH` words that holds enough of a notice's runs.
+A softmax regression over word n-grams (one to three words) that licence notices have names its family, or
+unknown. It is trained here: on the notices below, with words left out and among words of the corpus, against
+paragraphs of a bounded sample of documents; a part that was held back sets its temperature, so that probabilities,
+that of unknown too, mean what they say. The place must hold enough of a notice of that family.
+
+A paragraph is a line, cut into runs of at most `WORDS` words; it only says where in its text a notice stands.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,9 +23,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patloom.llm.registry import query, table
-from patloom.llm.words import Powers, byte_values, filled, gram_hashes, slices, words_of
+from patloom.llm.words import Powers, Words, byte_values, filled, gram_hashes, slices, words_of
 
 WORDS = 48
+REACH = 2 * WORDS  # words of the widest place of a notice; the longest notice has 46
 GRAMS = (1, 2, 3)
 SAMPLE_DOCS = 200  # documents for the unknown class
 SAMPLE_BYTES = 20_000  # longest document of the sample
@@ -105,8 +110,8 @@ class Paragraphs:
     at: dict[int, tuple[np.ndarray, np.ndarray]]  # by n-gram size
 
 
-def paragraphs(texts: pa.Array, values: np.ndarray, powers: Powers) -> Paragraphs:
-    words = words_of(texts, values, powers)
+def blocks(words: Words) -> np.ndarray:
+    """The first word of each paragraph."""
     n = len(words.hashes)
     lines = np.concatenate([[0], np.cumsum(words.data == 10)])
     new = np.ones(n, bool)
@@ -114,8 +119,13 @@ def paragraphs(texts: pa.Array, values: np.ndarray, powers: Powers) -> Paragraph
     new[words.first[:-1][np.diff(words.first) > 0]] = True
     begins = np.flatnonzero(new)
     within = np.arange(n) - np.repeat(begins, np.diff(np.append(begins, n)))
-    starts = np.flatnonzero(within % WORDS == 0)
-    size = np.diff(np.append(starts, n))
+    return np.flatnonzero(within % WORDS == 0)
+
+
+def paragraphs(texts: pa.Array, values: np.ndarray, powers: Powers) -> Paragraphs:
+    words = words_of(texts, values, powers)
+    starts = blocks(words)
+    size = np.diff(np.append(starts, len(words.hashes)))
     text = np.searchsorted(words.first, starts, "right") - 1
     first_of = np.searchsorted(text, np.arange(len(texts)))
     owner = np.repeat(np.arange(len(starts)), size)
@@ -149,16 +159,11 @@ class Model:
         pairs = np.unique(np.concatenate(parts))
         return pairs // len(self.grams), pairs % len(self.grams)
 
-    def probabilities(self, owner: np.ndarray, gram: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The paragraphs that have features, and their probabilities by family."""
-        rows, at = np.unique(owner, return_inverse=True)
-        logits = np.zeros((len(rows), len(FAMILIES)))
-        np.add.at(logits, at, self.weights[gram] / np.sqrt(words[owner])[:, None])
-        return rows, _softmax(logits + self.weights[-1])
-
-    def confirmed(self, runs: np.ndarray, family: int) -> tuple[float, str]:
-        """The notice of a family of which the largest share of runs is there."""
-        return max((float(np.isin(own, runs).mean()), name) for of, name, own in self.notices if of == family)
+    def probabilities(self, hashes: np.ndarray) -> np.ndarray:
+        """By family, of a place with these word hashes."""
+        grams = np.unique(np.concatenate([gram_hashes(hashes, k) ^ np.uint64(k) for k in GRAMS]))
+        there = self.weights[:-1][np.isin(self.grams, grams)]
+        return _softmax((there.sum(axis=0) / np.sqrt(len(hashes)) + self.weights[-1])[None])[0]
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
@@ -237,31 +242,116 @@ def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rate: float = 0.1, de
 RESULT = "paragraph int, n_words int, family string, notice string, probability double, matched double"
 
 
+class Scanner:
+    """Looks for places of notices in the word streams of texts."""
+
+    def __init__(self, model: Model) -> None:
+        self.model = model
+        self.runs = np.unique(np.concatenate([own for _, _, own in model.notices]))
+        self.has = np.array([np.isin(self.runs, own) for _, _, own in model.notices]).T  # (runs, notices)
+        self.size = self.has.sum(axis=0)
+        self.least = np.ceil(CONFIRMED * self.size - 1e-9).astype(int)
+        self.slots = np.zeros(1 << 16, bool)
+        self.slots[(self.runs >> np.uint64(48)).astype(np.int64)] = True
+
+    def hits(self, hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Text, places and numbers of known runs, for each text that has enough of the runs of some notice."""
+        runs = gram_hashes(hashes, 3) ^ np.uint64(3)
+        at = np.flatnonzero(self.slots[(runs >> np.uint64(48)).astype(np.int64)])
+        place = np.minimum(np.searchsorted(self.runs, runs[at]), len(self.runs) - 1)
+        known = self.runs[place] == runs[at]
+        at, place = at[known], place[known]
+        text = np.searchsorted(first, at, "right") - 1
+        whole = at + 3 <= first[text + 1]
+        at, place, text = at[whole], place[whole], text[whole]
+        for a, b in zip(begins := np.flatnonzero(np.diff(text, prepend=-1)), np.append(begins[1:], len(text))):
+            if (self.has[np.unique(place[a:b])].sum(axis=0) >= self.least).any():
+                yield int(text[a]), at[a:b], place[a:b]
+
+    def window(self, at: list[int], run: list[int], i: int, end: int) -> tuple[int, int]:
+        """Distinct runs and end of the shortest window of most runs that begins with hit i and ends by `end`."""
+        seen, stop = set(), 0
+        for j in range(i, len(at)):
+            if at[j] + 3 > end:
+                break
+            if run[j] not in seen:
+                seen.add(run[j])
+                stop = at[j] + 3
+        return len(seen), stop
+
+    def places(self, hashes: np.ndarray, at: np.ndarray, place: np.ndarray) -> Iterator[tuple[int, int, int, int, float, float]]:
+        """(first word, end, family, notice, probability, share) of one text: apart from each other, those of most runs first."""
+        own = {}
+        heap: list[tuple[int, int, int, int, int]] = []
+        taken = np.zeros(int(at[-1] - at[0]) + 3, bool)
+        base = int(at[0])
+
+        def offer(notice: int, i: int) -> None:
+            starts, runs = own[notice]
+            begin = starts[i] - base
+            busy = taken[begin : begin + REACH]
+            n, stop = self.window(starts, runs, i, starts[i] + (int(busy.argmax()) if busy.any() else REACH))
+            if n >= self.least[notice]:
+                heapq.heappush(heap, (-n, stop - starts[i], starts[i], notice, i))
+
+        for notice in np.flatnonzero(self.has[np.unique(place)].sum(axis=0) >= self.least).tolist():
+            of = self.has[place, notice]
+            own[notice] = at[of].tolist(), place[of].tolist()
+            for i in range(len(own[notice][0])):
+                offer(notice, i)
+        while heap:
+            _, length, begin, notice, i = heapq.heappop(heap)
+            if taken[begin - base : begin - base + length].any():
+                if not taken[begin - base]:
+                    offer(notice, i)
+                continue
+            chances = self.model.probabilities(hashes[begin : begin + length])
+            family = int(chances.argmax())
+            if family == len(NOTICES) or chances[family] < PROBABLE:
+                continue
+            a, b = np.searchsorted(at, [begin, begin + length - 2])
+            there = self.has[np.unique(place[a:b])].sum(axis=0)
+            share, best = max((there[k] / self.size[k], -k) for k, (of, _, _) in enumerate(self.model.notices) if of == family)
+            if share < CONFIRMED:
+                continue
+            best = -best
+            of = np.flatnonzero(self.has[place[a:b], best]) + a
+            starts, runs = at[of].tolist(), place[of].tolist()
+            # Of all windows with these runs, the shortest.
+            found = [(-n, stop - starts[k], starts[k]) for k in range(len(of)) for n, stop in [self.window(starts, runs, k, begin + length)]]
+            _, length, begin = min(found)
+            taken[begin - base : begin - base + length] = True
+            yield begin, begin + length, family, best, float(chances[family]), float(share)
+
+
+PUNCTUATION = bytes(x for x in range(33, 127) if not chr(x).isalnum())
+
+
 def _scan(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, powers, model = byte_values(), Powers(), Model(*shared.value)
+        scanner = Scanner(model)
+        telling = np.ones(256, bool)
+        telling[list(PUNCTUATION)] = False
         for batch in batches:
             texts = filled(batch.column(1))
             for begin, end in slices(texts):
-                found = paragraphs(texts.slice(begin, end - begin), values, powers)
-                owner, gram = model.features(found)
-                rows, chances = model.probabilities(owner, gram, found.words)
-                best = chances.argmax(axis=1)
-                likely = (best < len(NOTICES)) & (chances[np.arange(len(rows)), best] >= PROBABLE)
-                runs_owner, runs = found.at[3]
-                out = []
-                for row, family, chance in zip(rows[likely], best[likely], chances[likely].max(axis=1)):
-                    a, b = np.searchsorted(runs_owner, [row, row + 1])
-                    share, notice = model.confirmed(runs[a:b], family)
-                    if share >= CONFIRMED:
-                        out.append((row, FAMILIES[family], notice, float(chance), share))
-                at = np.array([x[0] for x in out], np.int64)
+                words = words_of(texts.slice(begin, end - begin), values, powers)
+                told = np.concatenate([[0], np.cumsum(telling[words.data])])
+                kept = np.flatnonzero(told[words.ends] > told[words.starts])
+                hashes, first = words.hashes[kept], np.searchsorted(kept, words.first)
+                starts, out = None, []
+                for text, at, place in scanner.hits(hashes, first):
+                    starts = blocks(words) if starts is None else starts
+                    edges = np.append(starts, len(words.hashes))
+                    top = int(np.searchsorted(starts, words.first[text]))
+                    for a, b, family, notice, chance, share in sorted(scanner.places(hashes, at, place)):
+                        one, last = np.searchsorted(starts, kept[[a, b - 1]], "right") - 1
+                        out.append((text, one - top, edges[last + 1] - edges[one], FAMILIES[family], model.notices[notice][1], chance, share))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(pa.array(found.text[at] + begin)),
-                        pa.array(found.number[at].astype(np.int32)),
-                        pa.array(found.words[at].astype(np.int32)),
-                        *(pa.array([x[i] for x in out], kind) for i, kind in ((1, pa.string()), (2, pa.string()), (3, pa.float64()), (4, pa.float64()))),
+                        batch.column(0).take(pa.array(np.array([x[0] for x in out], np.int64) + begin)),
+                        *(pa.array([x[i] for x in out], kind) for i, kind in enumerate((pa.int32(), pa.int32(), pa.string(), pa.string(), pa.float64(), pa.float64()), 1)),
                     ],
                     ["doc_id", *(part.split()[0] for part in RESULT.split(", "))],
                 )
@@ -282,10 +372,11 @@ def sample_texts(docs: DataFrame, key: str, text: str, most: int = SAMPLE_DOCS)
 
 
 def licence_notices(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, paragraph, n_words, family, notice, probability, matched): paragraphs that hold a licence notice.
+    """(key, paragraph, n_words, family, notice, probability, matched): places that hold a licence notice.
 
-    Paragraphs are numbered from 0 in each text. Every paragraph of every whole text is looked at; null and
-    empty texts have none. Repeated rows are looked at each on its own, rows without an id too. A table without usable
+    `paragraph` is that in which the notice begins, numbered from 0 in each text; `n_words` are the words of all
+    paragraphs that it touches. Every whole text is looked at, across its lines; null and
+    empty texts have none. Places of one text do not overlap. Repeated rows are looked at each on its own, rows without an id too. A table without usable
     texts trains against no sample.
     """
     model = train(sample_texts(docs, key, text))

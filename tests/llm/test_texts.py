@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import textwrap
 
 import numpy as np
 import pytest
@@ -61,6 +62,24 @@ def test_licences_of_embedded_notices(spark):
     assert sorted((r.doc_id, r.family) for r in found) == [(100, "MIT"), (101, "GPL")]
 
 
+def test_licences_of_wrapped_notices_and_at_any_place(spark):
+    rows, want, rng = [], [], random.Random(4)
+    for family, notices in licences.NOTICES.items():
+        for notice in notices:
+            for form in (textwrap.fill(notice, 72, break_on_hyphens=False), textwrap.indent(textwrap.fill(notice, 60, break_on_hyphens=False), " * "), textwrap.fill(notice, 30, break_on_hyphens=False)):
+                want.append((len(rows), family))
+                rows.append((len(rows), "word0 word1.\n\n" + form + "\n\nword2 word3."))
+    for notice, family in ((licences.NOTICES["MIT"][2], "MIT"), (licences.NOTICES["GPL"][1], "GPL"), (licences.NOTICES["ISC"][0], "ISC")):
+        for before in range(48):
+            want.append((len(rows), family))
+            rows.append((len(rows), " ".join([*(f"word{rng.randrange(900)}" for _ in range(before)), notice, "word1 word2"])))
+    both = len(rows)
+    rows.append((both, licences.NOTICES["GPL"][1] + " " + licences.NOTICES["LGPL"][0] + "\n" + licences.NOTICES["MIT"][0] + " " + licences.NOTICES["MIT"][0]))
+    want += [(both, "GPL"), (both, "LGPL"), (both, "MIT"), (both, "MIT")]
+    found = licences.licence_notices(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.family) for r in found) == want
+
+
 def test_op7_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.01"
     rows = {r.doc_id: r for r in QUERIES["op7_quality"](spark, sf).collect()}
