@@ -2,7 +2,7 @@
 
 Texts become templates: words without outer punctuation, lower-cased, with a typed placeholder for numbers, for
 names (capitalised words inside a sentence) and for units behind numbers. Windows of `WINDOW` template words of the items meet equal windows of the
-documents by hash; a bitmap of fixed size, made from the item windows, keeps all others inside the tasks that
+documents by hash, and windows of their real words where there are too few template words; a bitmap of fixed size, made from the item windows, keeps all others inside the tasks that
 read the documents. Windows on one diagonal (the same shift between item and document) make a
 match, if what stands in the slots is consistent: each value of the item's slots has one value in the
 document and the other way round.
@@ -22,8 +22,8 @@ from patloom.llm.registry import query, table, written
 from patloom.llm.words import Powers, Words, byte_values, filled, gram_hashes, hash_runs, lists, mixed, slices, words_of
 
 WINDOW = 13  # words; a shorter item is one window
-LEAST = 5  # words of the shortest item that is looked for
-LITERAL = 0.6  # share of a window that must be words, not placeholders
+LEAST = 5  # words of the shortest item that is looked for with other slots
+LITERAL = 0.6  # share of a window that must be words, not placeholders, to be looked for with other slots
 
 # ---- Fixed values: units of measure -------------------------------------------------------
 UNITS = (
@@ -96,21 +96,31 @@ class Templates:
         self.words = np.select([number, name, unit], [np.uint64(NUMBER), np.uint64(NAME), np.uint64(UNIT)], exact).astype(np.uint64)
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hash, start and text of all windows of a size inside one text with enough words."""
-        grams = gram_hashes(self.words, size)
-        spoken = np.concatenate([[0], np.cumsum(~self.slot)])
+        """Hash, start and text of all windows of a size inside one text: of template words, with enough literal ones, or of real words if the size is negative."""
+        real, size = size < 0, abs(size)
+        grams = gram_hashes(self.exact if real else self.words, size) ^ np.uint64(size + 64 * real)
         starts = np.arange(len(grams))
         text = np.searchsorted(self.first, starts, "right") - 1
-        good = (starts + size <= self.first[text + 1]) & (spoken[starts + size] - spoken[starts] >= LITERAL * size)
+        good = starts + size <= self.first[text + 1]
+        if not real:
+            good &= self.literal(starts, size)
         return grams[good], starts[good], text[good]
 
+    def literal(self, starts: np.ndarray, size: int) -> np.ndarray:
+        """Whether enough words of a window are no placeholders."""
+        spoken = np.concatenate([[0], np.cumsum(~self.slot)])
+        return spoken[starts + size] - spoken[starts] >= LITERAL * size
+
     def slots(self, start: int, size: int) -> np.ndarray:
         """What stands in the slots of a window."""
         return self.exact[start : start + size][self.slot[start : start + size]]
 
 
 def _windows(sizes: Sequence[int] | None, words, whole: int = WINDOW):
-    """(id, text) to windows; without sizes each text has its own, and texts that are too short have none."""
+    """(id, text) to windows; without sizes each text has its own, of real words too: negative sizes.
+
+    With sizes, what stands in the slots of a window of real words is left out: it is that of the other side.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, powers = byte_values(), Powers()
@@ -119,11 +129,18 @@ def _windows(sizes: Sequence[int] | None, words, whole: int = WINDOW):
             for begin, end in slices(texts):
                 template = Templates(words_of(texts.slice(begin, end - begin), values, powers), values, powers)
                 own = np.minimum(np.diff(template.first), whole)
-                for size in sizes if sizes is not None else sorted(set(own[own >= LEAST].tolist())):
+                there = np.unique(own[own > 0]).tolist()
+                for size in sizes if sizes is not None else [*(n for n in there if n >= LEAST), *(-n for n in there)]:
                     hashes, starts, text = template.windows(size)
-                    wanted = own[text] == size if sizes is None else hits(words.value, hashes ^ np.uint64(size))
-                    hashes, starts, text = hashes[wanted] ^ np.uint64(size), starts[wanted], text[wanted]
-                    slots = [template.slots(start, size) for start in starts]
+                    if sizes is not None:
+                        wanted = hits(words.value, hashes)
+                    else:
+                        wanted = own[text] == abs(size)
+                        if size <= -LEAST:
+                            wanted &= ~template.literal(starts, -size)
+                    hashes, starts, text = hashes[wanted], starts[wanted], text[wanted]
+                    empty = size < 0 and sizes is not None
+                    slots = [template.slots(start, 0 if empty else abs(size)) for start in starts]
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column(0).take(pa.array(text + begin)),
@@ -147,23 +164,24 @@ def leaks(docs: DataFrame, items: DataFrame, doc: str = "doc_id", item: str = "i
 
     `kind` is `exact` where the slots hold the same, else `reparameterised`. Words are counted without
     those that are punctuation only. Items with equal windows are one, known by the least id. An item or document
-    that is null, empty or has fewer than 5 words matches nothing, nor does a window that is mostly
-    placeholders. Rows of one document id count together; null ids are one document.
+    that is null or has no words matches nothing. Items of fewer than 5 words, and windows that are mostly
+    placeholders, match real words only, whatever their number. Rows of one document id count together; null ids are one document.
     """
     given = items.select(F.col(item).alias("id"), F.col(text).cast("string"))
     looked = given.mapInArrow(_windows(None, None), _schema(given))
     looked = written(
         looked.groupBy("size", "window", "at", "slots").agg(F.min("id").alias("item")).withColumnRenamed("slots", "told"), "item-windows"
     )
-    sizes = [row["size"] for row in looked.select("size").distinct().collect()]  # at most WINDOW
+    sizes = [row["size"] for row in looked.select("size").distinct().collect()]  # at most 2 * WINDOW
     words = docs.sparkSession.sparkContext.broadcast(bitmap(looked.select("window")))
     read = docs.select(F.col(doc).alias("id"), F.col(text).cast("string"))
     found = read.mapInArrow(_windows(sizes, words), _schema(read))
-    met = found.join(looked.withColumnRenamed("at", "item_at"), ["size", "window"]).select(
+    met = found.join(looked.withColumnRenamed("at", "item_at"), ["size", "window"])
+    met = met.withColumn("slots", F.when(F.col("size") < 0, F.col("told")).otherwise(F.col("slots"))).select(
         F.col("id").alias(doc),
         F.col("item").alias(item),
         "at",
-        "size",
+        F.abs("size").alias("size"),
         (F.col("at") - F.col("item_at")).alias("shift"),
         F.arrays_zip("told", "slots").alias("pairs"),
     )

@@ -140,6 +140,18 @@ def test_leaks_with_other_slots(spark, odd, nothing):
     assert leaks.leaks(odd, items.limit(0)).collect() == []
 
 
+def found_pairs(spark, docs, items):
+    found = leaks.leaks(as_table(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    return sorted((r.doc_id, r.item_id) for r in found)
+
+
+def test_leaks_of_items_with_few_literal_words(spark):
+    texts = ["Compute 12 + 34 * 56 - 78 / 90 and give the result", "Convert 5 km 300 m and 2 km 40 m to metres", "the members are Anna Peter Maria Karl Hugo Emma Paul Ida Otto Lena Max Eva Tom Kim Ben", "Who was Napoleon?", "Zugzwang"]
+    docs = [(i, f"Some words before it. {text} Some words behind it.") for i, text in enumerate(texts)]
+    docs += [(10, texts[0].replace("12", "13")), (11, "Who was Wellington?"), (12, "12 34 56 78 90"), (13, "")]
+    assert found_pairs(spark, docs, list(enumerate(texts))) == [(i, i) for i in range(len(texts))]
+
+
 def test_pipeline_stages(spark, tables):
     docs = spark.read.parquet(f"{tables}/documents.parquet")
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{tables}/labels.parquet").collect()}
