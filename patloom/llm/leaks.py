@@ -2,7 +2,8 @@
 
 Texts become templates: words without outer punctuation, lower-cased, with a typed placeholder for numbers, for
 names (capitalised words inside a sentence) and for units behind numbers. Windows of `WINDOW` template words of the items meet equal windows of the
-documents by hash, and windows of their real words where there are too few template words; a bitmap of fixed size, made from the item windows, keeps all others inside the tasks that
+documents by hash, and so do windows of their real words, since what is a name depends on case and
+place; a bitmap of fixed size, made from the item windows, keeps all others inside the tasks that
 read the documents. Windows on one diagonal (the same shift between item and document) make a
 match, if what stands in the slots is consistent: each value of the item's slots has one value in the
 document and the other way round.
@@ -132,12 +133,7 @@ def _windows(sizes: Sequence[int] | None, words, whole: int = WINDOW):
                 there = np.unique(own[own > 0]).tolist()
                 for size in sizes if sizes is not None else [*(n for n in there if n >= LEAST), *(-n for n in there)]:
                     hashes, starts, text = template.windows(size)
-                    if sizes is not None:
-                        wanted = hits(words.value, hashes)
-                    else:
-                        wanted = own[text] == abs(size)
-                        if size <= -LEAST:
-                            wanted &= ~template.literal(starts, -size)
+                    wanted = own[text] == abs(size) if sizes is None else hits(words.value, hashes)
                     hashes, starts, text = hashes[wanted], starts[wanted], text[wanted]
                     empty = size < 0 and sizes is not None
                     slots = [template.slots(start, 0 if empty else abs(size)) for start in starts]
@@ -164,8 +160,8 @@ def leaks(docs: DataFrame, items: DataFrame, doc: str = "doc_id", item: str = "i
 
     `kind` is `exact` where the slots hold the same, else `reparameterised`. Words are counted without
     those that are punctuation only. Items with equal windows are one, known by the least id. An item or document
-    that is null or has no words matches nothing. Items of fewer than 5 words, and windows that are mostly
-    placeholders, match real words only, whatever their number. Rows of one document id count together; null ids are one document.
+    that is null or has no words matches nothing. All windows match equal real words, whatever their number and
+    case; those of 5 words or more that are not mostly placeholders match with other slots too. Rows of one document id count together; null ids are one document.
     """
     given = items.select(F.col(item).alias("id"), F.col(text).cast("string"))
     looked = given.mapInArrow(_windows(None, None), _schema(given))

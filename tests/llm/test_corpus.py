@@ -152,6 +152,13 @@ def test_leaks_of_items_with_few_literal_words(spark):
     assert found_pairs(spark, docs, list(enumerate(texts))) == [(i, i) for i in range(len(texts))]
 
 
+def test_leaks_of_names_in_other_case_or_place(spark):
+    what = "What is the capital of France and when was it founded?"
+    long = "Last week Anna and Peter met Maria and Karl near Paris while Hugo and Emma took Paul and Ida to Rome with Otto"
+    docs = [(1, what.lower()), (2, "Then he asked him " + what), (3, what.upper()), (4, long.lower()), (5, "Yes, " + long.upper()), (6, long), (7, what.replace("France", "Spain"))]
+    assert found_pairs(spark, docs, [(1, what), (2, long)]) == [(1, 1), (2, 1), (3, 1), (4, 2), (5, 2), (6, 2), (7, 1)]
+
+
 def test_pipeline_stages(spark, tables):
     docs = spark.read.parquet(f"{tables}/documents.parquet")
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{tables}/labels.parquet").collect()}
