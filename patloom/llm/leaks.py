@@ -5,8 +5,8 @@ names (capitalised words inside a sentence) and for units behind numbers. Window
 documents by hash, and so do windows of their real words, since what is a name depends on case and
 place; a bitmap of fixed size, made from the item windows, keeps all others inside the tasks that
 read the documents. Windows on one diagonal (the same shift between item and document) make a
-match, if what stands in the slots is consistent: each value of the item's slots has one value in the
-document and the other way round.
+match, if what stands in the slots is consistent: within a run of windows that touch, each value of the item's slots has one
+value in the document.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from patloom.llm.prefilter import bitmap, hits
@@ -118,7 +118,7 @@ class Templates:
 
 
 def _windows(sizes: Sequence[int] | None, words, whole: int = WINDOW):
-    """(id, text) to windows; without sizes each text has its own, of real words too: negative sizes.
+    """(id, text, seal) to windows; without sizes each text has its own, of real words too: negative sizes.
 
     With sizes, what stands in the slots of a window of real words is left out: it is that of the other side.
     """
@@ -140,61 +140,76 @@ def _windows(sizes: Sequence[int] | None, words, whole: int = WINDOW):
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column(0).take(pa.array(text + begin)),
+                            batch.column(2).take(pa.array(text + begin)),
                             pa.array(np.full(len(starts), size, np.int32)),
                             pa.array(hashes.view(np.int64)),
                             pa.array((starts - template.first[text]).astype(np.int32)),
                             lists(np.concatenate([np.zeros(0, np.uint64), *slots]), np.array([len(x) for x in slots], np.int64)),
                         ],
-                        ["id", "size", "window", "at", "slots"],
+                        ["id", "seal", "size", "window", "at", "slots"],
                     )
 
     return run
 
 
 def _schema(df: DataFrame) -> str:
-    return f"id {df.dtypes[0][1]}, size int, window bigint, at int, slots array<bigint>"
+    return f"id {df.dtypes[0][1]}, seal bigint, size int, window bigint, at int, slots array<bigint>"
 
 
-def leaks(docs: DataFrame, items: DataFrame, doc: str = "doc_id", item: str = "item_id", text: str = "text") -> DataFrame:
-    """(doc, item, first_word, end_word, windows, kind): where an item stands in a document.
-
-    `kind` is `exact` where the slots hold the same, else `reparameterised`. Words are counted without
-    those that are punctuation only. Items with equal windows are one, known by the least id. An item or document
-    that is null or has no words matches nothing. All windows match equal real words, whatever their number and
-    case; those of 5 words or more that are not mostly placeholders match with other slots too. Rows of one document id count together; null ids are one document.
-    """
-    given = items.select(F.col(item).alias("id"), F.col(text).cast("string"))
+def places(docs: DataFrame, items: DataFrame, doc: str = "doc_id", item: str = "item_id", text: str = "text") -> DataFrame:
+    """(id, seal, item, first_word, end_word, windows, kind): as `leaks`, with the hash of the document's text, `seal`."""
+    given = items.select(F.col(item).alias("id"), F.col(text).cast("string"), F.lit(0).cast("long"))
     looked = given.mapInArrow(_windows(None, None), _schema(given))
     looked = written(
         looked.groupBy("size", "window", "at", "slots").agg(F.min("id").alias("item")).withColumnRenamed("slots", "told"), "item-windows"
     )
     sizes = [row["size"] for row in looked.select("size").distinct().collect()]  # at most 2 * WINDOW
     words = docs.sparkSession.sparkContext.broadcast(bitmap(looked.select("window")))
-    read = docs.select(F.col(doc).alias("id"), F.col(text).cast("string"))
+    read = docs.select(F.col(doc).alias("id"), F.col(text).cast("string").alias("text")).withColumn("seal", F.xxhash64("text"))
     found = read.mapInArrow(_windows(sizes, words), _schema(read))
     met = found.join(looked.withColumnRenamed("at", "item_at"), ["size", "window"])
     met = met.withColumn("slots", F.when(F.col("size") < 0, F.col("told")).otherwise(F.col("slots"))).select(
-        F.col("id").alias(doc),
-        F.col("item").alias(item),
-        "at",
-        F.abs("size").alias("size"),
+        "id",
+        "seal",
+        "item",
         (F.col("at") - F.col("item_at")).alias("shift"),
+        "at",
+        (F.col("at") + F.abs("size")).alias("end"),
         F.arrays_zip("told", "slots").alias("pairs"),
     )
-    # A match holds no more windows than its item has; a set, so that repeated rows do not add up.
-    gathered = met.groupBy(doc, item, "shift").agg(
+    # A match holds no more windows than its item has; sets, so that repeated rows do not add up.
+    match = ("id", "seal", "item", "shift")
+    windows = met.groupBy(*match, "at").agg(F.max("end").alias("end"), F.flatten(F.collect_set("pairs")).alias("pairs"))
+    # Windows that touch are a run.
+    order = Window.partitionBy(*match).orderBy("at")
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = windows.withColumn("begins", (F.col("at") > before).cast("int"))
+    runs = begins.withColumn("run", F.sum(F.coalesce("begins", F.lit(1))).over(order)).groupBy(*match, "run")
+    gathered = runs.agg(
         F.min("at").alias("first_word"),
-        F.max(F.col("at") + F.col("size")).alias("end_word"),
-        F.count_distinct("at").cast("int").alias("windows"),
-        F.collect_set("pairs").alias("pairs"),
+        F.max("end").alias("end_word"),
+        F.count("*").cast("int").alias("windows"),
+        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
     )
-    matches = gathered.withColumn("pairs", F.array_distinct(F.flatten("pairs")))
-    values = lambda name: F.size(F.array_distinct(F.transform("pairs", lambda pair: pair[name])))
-    consistent = (F.size("pairs") == values("told")) & (F.size("pairs") == values("slots"))
+    consistent = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda pair: pair["told"])))
     same = F.forall("pairs", lambda pair: pair["told"] == pair["slots"])
-    return matches.filter(consistent).select(
-        doc, item, "first_word", "end_word", "windows", F.when(same, "exact").otherwise("reparameterised").alias("kind")
+    matches = gathered.filter(consistent).groupBy(*match).agg(
+        F.min("first_word").alias("first_word"), F.max("end_word").alias("end_word"), F.sum("windows").cast("int").alias("windows"), F.bool_and(same).alias("same")
     )
+    return matches.select("id", "seal", "item", "first_word", "end_word", "windows", F.when(F.col("same"), "exact").otherwise("reparameterised").alias("kind"))
+
+
+def leaks(docs: DataFrame, items: DataFrame, doc: str = "doc_id", item: str = "item_id", text: str = "text") -> DataFrame:
+    """(doc, item, first_word, end_word, windows, kind): where an item stands in a document.
+
+    `kind` is `exact` where the slots hold the same, else `reparameterised`. Words are counted without
+    those that are punctuation only. Items with equal windows are one, known by the least id. An item or document
+    that is null or has no words matches nothing. All windows match equal real words, whatever their number and
+    case; those of 5 words or more that are not mostly placeholders match with other slots too. Within a run of windows that
+    touch, each value of the item must have one value in the document. Rows of one document id and equal text
+    count together, rows of other texts on their own, also without an id.
+    """
+    return places(docs, items, doc, item, text).drop("seal").withColumnsRenamed({"id": doc, "item": item})
 
 
 @query("op10_leaks")

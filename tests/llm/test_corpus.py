@@ -159,6 +159,24 @@ def test_leaks_of_names_in_other_case_or_place(spark):
     assert found_pairs(spark, docs, [(1, what), (2, long)]) == [(1, 1), (2, 1), (3, 1), (4, 2), (5, 2), (6, 2), (7, 1)]
 
 
+def test_leaks_with_slots_that_fall_together_and_runs_on_their_own(spark):
+    sold = "the farmer sold 3 cows and 5 goats at the market and then went home"
+    first = "one day the old farmer sold 3 cows at the market and then went home again to"
+    rest = "his wife who was glad that 3 goats were still there behind the house by the river"
+    gap = "where words stand that nobody else has ever put in this order until they came to"
+    item = f"{first} {gap} {rest}"
+    docs = [
+        (1, sold.replace("3", "4").replace("5", "4")),  # two values became one
+        (2, item.replace("3 goats", "4 goats").replace(gap, " ".join(f"new{'abcdefghijklmnop'[i]}" for i in range(len(gap.split()))))),
+        (3, sold), (3, sold.replace("3", "8")), (3, sold.replace("5", "9")),  # texts of one id
+        (None, sold.replace("3", "6")), (None, sold.replace("3", "7")),
+    ]
+    found = leaks.leaks(as_table(spark, docs), spark.createDataFrame([(1, sold), (2, item)], "item_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.item_id, r.kind) for r in found), key=repr) == sorted(
+        [(1, 1, "reparameterised"), (2, 2, "reparameterised"), (3, 1, "exact"), *[(3, 1, "reparameterised"), (None, 1, "reparameterised")] * 2], key=repr
+    )
+
+
 def test_pipeline_stages(spark, tables):
     docs = spark.read.parquet(f"{tables}/documents.parquet")
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{tables}/labels.parquet").collect()}
