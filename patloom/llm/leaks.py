@@ -12,6 +12,7 @@ value in the document.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -112,13 +113,18 @@ class Templates:
         spoken = np.concatenate([[0], np.cumsum(~self.slot)])
         return spoken[starts + size] - spoken[starts] >= LITERAL * size
 
+    def seals(self) -> np.ndarray:
+        """A hash of each text's real and template words."""
+        whole = [blake2b(self.exact[a:b].tobytes() + self.words[a:b].tobytes(), digest_size=8).digest() for a, b in zip(self.first[:-1], self.first[1:])]
+        return np.frombuffer(b"".join(whole), np.int64)
+
     def slots(self, start: int, size: int) -> np.ndarray:
         """What stands in the slots of a window."""
         return self.exact[start : start + size][self.slot[start : start + size]]
 
 
 def _windows(sizes: Sequence[int] | None, words, whole: int = WINDOW):
-    """(id, text, seal) to windows; without sizes each text has its own, of real words too: negative sizes.
+    """(id, text, seal) to windows; without sizes each text has its own, of real words too (negative sizes), and the seal is made here.
 
     With sizes, what stands in the slots of a window of real words is left out: it is that of the other side.
     """
@@ -130,6 +136,7 @@ def _windows(sizes: Sequence[int] | None, words, whole: int = WINDOW):
             for begin, end in slices(texts):
                 template = Templates(words_of(texts.slice(begin, end - begin), values, powers), values, powers)
                 own = np.minimum(np.diff(template.first), whole)
+                seals = batch.column(2).slice(begin, end - begin) if sizes is not None else pa.array(template.seals())
                 there = np.unique(own[own > 0]).tolist()
                 for size in sizes if sizes is not None else [*(n for n in there if n >= LEAST), *(-n for n in there)]:
                     hashes, starts, text = template.windows(size)
@@ -140,7 +147,7 @@ def _windows(sizes: Sequence[int] | None, words, whole: int = WINDOW):
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column(0).take(pa.array(text + begin)),
-                            batch.column(2).take(pa.array(text + begin)),
+                            seals.take(pa.array(text)),
                             pa.array(np.full(len(starts), size, np.int32)),
                             pa.array(hashes.view(np.int64)),
                             pa.array((starts - template.first[text]).astype(np.int32)),
@@ -160,14 +167,16 @@ def places(docs: DataFrame, items: DataFrame, doc: str = "doc_id", item: str = "
     """(id, seal, item, first_word, end_word, windows, kind): as `leaks`, with the hash of the document's text, `seal`."""
     given = items.select(F.col(item).alias("id"), F.col(text).cast("string"), F.lit(0).cast("long"))
     looked = given.mapInArrow(_windows(None, None), _schema(given))
+    # Items of one seal are one; those that only begin alike keep all their windows.
     looked = written(
-        looked.groupBy("size", "window", "at", "slots").agg(F.min("id").alias("item")).withColumnRenamed("slots", "told"), "item-windows"
+        looked.groupBy("seal", "size", "window", "at", "slots").agg(F.min("id").alias("item")).select("item", "size", "window", F.col("at").alias("item_at"), F.col("slots").alias("told")),
+        "item-windows",
     )
     sizes = [row["size"] for row in looked.select("size").distinct().collect()]  # at most 2 * WINDOW
     words = docs.sparkSession.sparkContext.broadcast(bitmap(looked.select("window")))
     read = docs.select(F.col(doc).alias("id"), F.col(text).cast("string").alias("text")).withColumn("seal", F.xxhash64("text"))
     found = read.mapInArrow(_windows(sizes, words), _schema(read))
-    met = found.join(looked.withColumnRenamed("at", "item_at"), ["size", "window"])
+    met = found.join(looked, ["size", "window"])
     met = met.withColumn("slots", F.when(F.col("size") < 0, F.col("told")).otherwise(F.col("slots"))).select(
         "id",
         "seal",
@@ -203,7 +212,7 @@ def leaks(docs: DataFrame, items: DataFrame, doc: str = "doc_id", item: str = "i
     """(doc, item, first_word, end_word, windows, kind): where an item stands in a document.
 
     `kind` is `exact` where the slots hold the same, else `reparameterised`. Words are counted without
-    those that are punctuation only. Items with equal windows are one, known by the least id. An item or document
+    those that are punctuation only. Items with the same words and placeholders throughout are one, known by the least id. An item or document
     that is null or has no words matches nothing. All windows match equal real words, whatever their number and
     case; those of 5 words or more that are not mostly placeholders match with other slots too. Within a run of windows that
     touch, each value of the item must have one value in the document. Rows of one document id and equal text

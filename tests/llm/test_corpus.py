@@ -177,6 +177,13 @@ def test_leaks_with_slots_that_fall_together_and_runs_on_their_own(spark):
     )
 
 
+def test_leaks_of_items_that_begin_alike(spark):
+    stem = "Which of the many rivers of this part of the world is the longest one of all?"
+    whole = stem + " (a) the first one (b) the second one (c) none of the two that were named"
+    items = [(1, whole), (2, stem), (3, stem.upper()), (4, stem), (5, "Which of the")]
+    assert found_pairs(spark, [(1, stem), (2, "He said: " + whole), (3, "none of it")], items) == [(d, i) for d in (1, 2) for i in (1, 2, 5)]
+
+
 def test_pipeline_stages(spark, tables):
     docs = spark.read.parquet(f"{tables}/documents.parquet")
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{tables}/labels.parquet").collect()}
