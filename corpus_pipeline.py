@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from patloom.llm.bpe import public_vocabulary, round_trip
 from patloom.llm.jaccard import one_per_component
-from patloom.llm.leaks import leaks
-from patloom.llm.prefilter import without
+from patloom.llm.leaks import places
+from patloom.llm.prefilter import parted
 from patloom.llm.quality import accepted
 from patloom.llm.registry import table, written
 from patloom.llm.repeats import repeated_spans, without_spans
@@ -37,9 +37,12 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without benchmark items, also re-parameterised ones."""
-    found = written(leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "leaking")
-    return without(docs, found, "doc_id")
+    """The documents without benchmark items, also re-parameterised ones. Rows go by id and text: others of their id stay, and no id is an id."""
+    found = written(places(docs, table(spark, sf_dir, "benchmark")).select(F.col("id").alias("leaking_id"), F.col("seal").alias("leaking_seal")).distinct(), "leaking")
+    sealed = docs.withColumn("leaking_seal", F.xxhash64(F.col("text").cast("string")))
+    maybe, rest = parted(sealed, found, "leaking_seal")
+    same = maybe["doc_id"].eqNullSafe(found["leaking_id"]) & (maybe["leaking_seal"] == found["leaking_seal"])
+    return maybe.join(found, same, "left_anti").unionByName(rest).drop("leaking_seal")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -222,6 +222,13 @@ def test_pipeline_stages(spark, tables):
         assert row.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
 
 
+def test_decontamination_by_id_and_text(spark, tmp_path):
+    spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(1, ITEM), (1, "A clean text of the same id."), (None, "It was " + ITEM), (None, "A clean text."), (None, None), (2, None), (3, "Clean.")]
+    left = corpus_pipeline.decontamination(spark, as_table(spark, rows), str(tmp_path)).collect()
+    assert sorted(map(tuple, left), key=repr) == sorted([rows[1], *rows[3:]], key=repr)
+
+
 def test_pipeline_of_odd_rows(spark, odd, nothing, tables):
     for docs in (odd, nothing):
         for _, stage in corpus_pipeline.STAGES[:-1]:
