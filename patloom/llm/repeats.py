@@ -1,9 +1,9 @@
-"""Repeated passages, found with a sparse suffix array.
+"""Repeated passages, found at a sparse set of suffixes that are grouped by hash, not sorted.
 
 Of all suffixes only those at minimisers are retained: in each run of `least` words (the shortest passage that
 counts) the word position whose `GRAM` words have the least hash. Equal runs retain the same position.
 
-1. Sorted by their first words, neighbours are compared: a retained suffix whose first words no other
+1. They are grouped by the hash of their first words: a retained suffix whose first words no other
    one has lies in no repeated passage, and is dropped. That leaves a small part of the corpus.
 2. The others are extended to the left and right: each run of `least` words that has the retained position as its
    minimiser is hashed whole, and equal runs meet. The first in order of document id and position
