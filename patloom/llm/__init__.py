@@ -11,6 +11,7 @@ from patloom.llm import (  # noqa: F401
     jaccard,
     leaks,
     licences,
+    manifest,
     quality,
     repeats,
     shards,
