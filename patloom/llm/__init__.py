@@ -15,6 +15,7 @@ from patloom.llm import (  # noqa: F401
     quality,
     repeats,
     shards,
+    tokens,
     warc,
 )
 from patloom.llm.registry import ORACLES, QUERIES

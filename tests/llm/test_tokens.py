@@ -1,0 +1,83 @@
+"""Token counts against the library."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from patloom.llm import QUERIES, tokens
+
+FILE = tokens.public_words()
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(FILE)
+
+
+@pytest.fixture(scope="module")
+def reader():
+    return tokens.Reader(open(FILE, encoding="utf-8").read())
+
+
+def counted(library, texts):
+    return [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def texts_of(rng):
+    chars = "ab 'sté\n\t\x1c\x85​中文🙂Ⅷ٣!?　é́'ll're \rΣSTDmdlrve''İſǅͅᲉ\U00010d50\U000105d2̇"
+    yield from ("".join(rng.choice(chars) for _ in range(rng.randrange(60))) for _ in range(2000))
+    yield from ("".join(rng.choice("abcdeinorst") for _ in range(rng.randrange(400))) for _ in range(500))
+    yield from ("".join(rng.choice("an") for _ in range(rng.randrange(300))) for _ in range(500))
+    yield from ("".join(rng.choice(["<|endoftext|>", "<|startoftext|>", "<|", "a", "'s", "'", " ", "é"]) for _ in range(8)) for _ in range(300))
+    yield from ["", " ", "a" * 5000, "ab" * 700, "the" * 400, "!" * 2000, "x<|endoftext|>y <|startoftext|><|endoftext|>", "<|endoftext", "<|ENDOFTEXT|>"]
+    yield from ["'s's'sample 'rera 're'r", "ΑΣ ΑΣΑ", "hello" * 300 + "!" * 100, "a" * 64 + "b" * 64 + " c", "a" * 63, "a" * 64, "a" * 65, "é" * 64, "'" * 64 + "s"]
+
+
+def test_counts_agree_with_the_library(reader, library):
+    texts = list(texts_of(random.Random(1)))
+    assert reader.counts(texts).tolist() == counted(library, texts)
+    assert reader.counts([]).tolist() == []
+
+
+def test_long_pieces_over_many_chunks(reader, library):
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("etaoinshrdlu") for _ in range(20_000)), "na" * 15_000, "".join(rng.choice("!?.") for _ in range(9_000))]
+    assert reader.counts(texts).tolist() == counted(library, texts)
+
+
+def test_a_machine_that_forgets_gives_the_same(library, monkeypatch):
+    small = tokens.Reader(open(FILE, encoding="utf-8").read())
+    monkeypatch.setattr(tokens, "STATES", 50)
+    texts = list(texts_of(random.Random(3)))[:600]
+    got = np.concatenate([small.counts(texts[i : i + 20]) for i in range(0, len(texts), 20)])
+    assert got.tolist() == counted(library, texts)
+
+
+def test_transitions_carry_the_change_of_the_count(reader, library):
+    machine, state, total = reader.machine, 0, 0
+    word = b"internationalisation"
+    for i, byte in enumerate(word):
+        last, change = machine.step(state, byte + 256)
+        assert last == 0 and total + change == counted(library, [word[: i + 1].decode()])[0]
+        state, change = machine.step(state, byte)
+        total += change
+
+
+def test_op12_against_the_library(spark, tables, library, odd, nothing):
+    texts = {d.doc_id: d.text for d in spark.read.parquet(f"{tables}/documents.parquet").collect()}
+    want = dict(zip(texts, counted(library, [t or "" for t in texts.values()])))
+    for r in QUERIES["op12_tokens"](spark, tables).collect():
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len((texts[r.doc_id] or "").encode()), want[r.doc_id], want[r.doc_id] > 2048)
+    rows = tokens.token_counts(odd, FILE).collect()
+    plain = odd.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).collect()
+    want = zip(((p.doc_id, len(p.text.encode())) for p in plain), counted(library, [p.text for p in plain]))
+    assert sorted(((r.doc_id, r.n_bytes, r.n_tokens) for r in rows), key=repr) == sorted(((*a, n) for a, n in want), key=repr)
+    assert tokens.token_counts(nothing, FILE).collect() == []
+
+
+def test_other_vocabularies_are_refused(reader):
+    with pytest.raises(ValueError, match="another kind"):
+        tokens.Reader(reader.file.replace('"NFC"', '"NFD"'))
