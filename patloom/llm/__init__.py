@@ -14,6 +14,7 @@ from patloom.llm import (  # noqa: F401
     manifest,
     quality,
     repeats,
+    search,
     shards,
     tokens,
     warc,

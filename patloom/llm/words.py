@@ -7,7 +7,7 @@ words of a batch from one running sum, then mixed. Hashes are 64 bits wide and a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -99,11 +99,11 @@ def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np
     return mixed((sums[ends] - sums[starts]) * powers.down[starts])
 
 
-def words_of(texts: pa.Array, values: np.ndarray, powers: Powers) -> Words:
-    """The words of some texts. Words end with their text."""
+def words_of(texts: pa.Array, values: np.ndarray, powers: Powers, between: Sequence[int] = SPACES) -> Words:
+    """The words of some texts: runs of bytes other than those `between` them. Words end with their text."""
     data, offsets = text_bytes(texts)
     blank = np.zeros(256, bool)
-    blank[list(SPACES)] = True
+    blank[list(between)] = True
     inside = ~blank[data]
     starting = inside.copy()
     starting[1:] &= blank[data[:-1]]
