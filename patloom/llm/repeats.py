@@ -1,16 +1,16 @@
-"""Repeated passages, found at a sparse set of suffixes that are grouped by hash, not sorted.
+"""Repeated passages, by a sparse suffix array.
 
 Of all suffixes only those at minimisers are retained: in each run of `least` words (the shortest passage that
 counts) the word position whose `GRAM` words have the least hash. Equal runs retain the same position.
 
-1. They are grouped by the hash of their first words: a retained suffix whose first words no other
-   one has lies in no repeated passage, and is dropped. That leaves a small part of the corpus.
+1. The retained suffixes are sorted by their first words (as hashes: any order of words will do) and each is compared with its neighbours.
+   One whose first words no neighbour has lies in no repeated passage, and is dropped. That leaves a small part of the corpus.
 2. The others are extended to the left and right: each run of `least` words that has the retained position as its
-   minimiser is hashed whole, and equal runs meet. The first in order of document id and position
+   minimiser. The runs are sorted and compared with their neighbours in turn. Of equal runs the first in order of document id and position
    stays, the others repeat it; overlapping and adjoining runs make one span.
 
 So a word is in a span if and only if a run of `least` words around it occurs earlier. Whole copies of
-a text are found before, by their digest, and are not compared word by word.
+a text are found before, as neighbours in the order of their digests, and are not compared word by word.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from patloom.llm.ordered import neighbours
 from patloom.llm.prefilter import maybe_among, parted
 from patloom.llm.registry import query, table, written
 from patloom.llm.words import Powers, Words, byte_values, filled, gram_hashes, lists, slices, words_of
@@ -50,6 +51,8 @@ def minimisers(words: Words, least: int, gram: int) -> tuple[np.ndarray, np.ndar
     Of equal grams in a run the leftmost counts.
     """
     grams = gram_hashes(words.hashes, gram)
+    if len(grams) >> PLACE_BITS:
+        raise ValueError(f"a text of more than {1 << PLACE_BITS} words")
     sizes = np.diff(words.first)
     starts = np.concatenate(
         [np.arange(a, a + n - least + 1) for a, n in zip(words.first[:-1], sizes) if n >= least] or [np.zeros(0, np.int64)]
@@ -144,18 +147,13 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", lea
         ),
         "retained",
     )
-    firsts = kept.groupBy("one", "two").agg(F.min("doc_id").alias("doc_id"))
-    copies = kept.select("doc_id", "one", "two", "n_words").join(
-        firsts.select("one", "two", F.col("doc_id").alias("first_doc_id")), ["one", "two"]
-    )
-    copies = copies.filter(F.col("doc_id") != F.col("first_doc_id")).distinct()
-
-    # The document id is part of the join keys, so that the copies of one text are not gathered.
-    own = kept.join(firsts, ["one", "two", "doc_id"]).select("doc_id", "one", F.explode(F.arrays_zip("places", "grams")).alias("at"))
-    suffixes = own.select("doc_id", "one", "at.places", "at.grams").distinct()
-    # Written, here and below, so that both sides of the join are shuffled for it: only then Spark splits a hot key.
-    neighbours = written(suffixes.groupBy("grams").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("grams"), "neighbours")
-    extended = written(suffixes.join(neighbours, "grams").groupBy("doc_id", "one").agg(F.collect_set("places").alias("places")), "extended")
+    # Whole copies: the document of least id stays, and its suffixes alone are looked at.
+    texts = neighbours(kept, ["one", "two"], ["doc_id"], "texts")
+    copies = texts.filter(F.col("doc_id") != F.col("first_doc_id")).select("doc_id", "one", "n_words", "first_doc_id").distinct()
+    own = texts.filter(F.col("doc_id") == F.col("first_doc_id"))
+    suffixes = own.select("doc_id", "one", F.explode(F.arrays_zip("places", "grams")).alias("at")).select("doc_id", "one", "at.places", "at.grams")
+    met = neighbours(suffixes, ["grams"], ["doc_id", "places"], "suffixes", single=False)
+    extended = written(met.groupBy("doc_id", "one").agg(F.collect_set("places").alias("places")), "extended")
     runs = written(
         maybe_among(sealed, extended, "doc_id")
         .join(extended, ["doc_id", "one"])
@@ -165,9 +163,9 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", lea
     )
     # A document that is there twice has each run twice at one place, which is no repeat.
     place = F.struct("doc_id", "start_word", "one")
-    origins = runs.groupBy("run").agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    origins = written(origins, "origins")
-    again = runs.join(origins, "run").filter(place != F.col("origin"))
+    origin = F.struct(*(F.col(f"first_{c}").alias(c) for c in ("doc_id", "start_word", "one")))
+    equal = neighbours(runs, ["run"], ["doc_id", "start_word", "one"], "equal-runs", single=False)
+    again = equal.filter(place != origin).select("doc_id", "one", "run", "start_word", origin.alias("origin"))
     spans = _islands(again, least)
     whole = copies.select(
         "doc_id",
@@ -236,7 +234,33 @@ def without_spans(docs: DataFrame, spans: DataFrame, key: str = "doc_id", text:
     return kept.select("row.*")
 
 
-@query("op1_repeats")
+# Every run of 50 words whole; texts that are there before are one span, and their runs count once.
+OP1 = r"""
+with texts as (
+  select distinct doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
+  from documents where doc_id is not null),
+long as (select *, min(doc_id) over (partition by text) as first_doc_id from texts where len(words) >= 50),
+runs as (
+  select doc_id, text, unnest(range(len(words) - 49)) as start, words from long where doc_id = first_doc_id),
+named as (select doc_id, text, start, array_to_string(words[start + 1:start + 50], ' ') as run from runs),
+met as (
+  select doc_id, text, start,
+    first(struct_pack(doc_id := doc_id, start := start)) over (partition by run order by doc_id, start, text) as origin
+  from named),
+again as (select * from met where struct_pack(doc_id := doc_id, start := start) <> origin),
+apart as (select *, case when start - lag(start) over (partition by doc_id, text order by start) > 50 then 1 else 0 end as gap from again),
+islands as (select *, sum(gap) over (partition by doc_id, text order by start) as island from apart),
+spans as (
+  select doc_id, min(start) as start_word, max(start) + 50 as end_word,
+    min_by(origin.doc_id, start) as first_doc_id, min_by(origin.start, start) as first_start_word
+  from islands group by doc_id, text, island)
+select doc_id, start_word::int as start_word, end_word::int as end_word, first_doc_id, first_start_word::int as first_start_word from spans
+union all
+select doc_id, 0::int, len(words)::int, first_doc_id, 0::int from long where doc_id <> first_doc_id
+"""
+
+
+@query("op1_repeats", OP1)
 def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All spans of 50 words or more of documents that occur earlier."""
     spans = repeated_spans(table(spark, sf_dir, "documents"))
