@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from patloom.functions.names import base_name
 from patloom.functions.us import DOCUMENT
+from patloom.sources import restart
 
 # ---- Fixed values: the published layout --------------------------------------------------
 DOC_FOLDER = "DOC"
@@ -42,6 +43,7 @@ BATCH_BYTES = 16 << 20  # size at which a batch of entries is handed to Spark
 
 MEMBERS = "path string, member string, offset bigint, size bigint, error string"
 ENTRIES = "path string, member string, entry string, content binary, error string"
+INDEX = "path string, entry string, encoding string, at bigint, size bigint, bit bigint, out bigint, window binary, begin bigint, end bigint, doc_pos int, error string"
 DOCUMENTS = "path string, entry string, doc_pos int, xml string, error string"
 
 
@@ -253,7 +255,7 @@ def explode_nested(archives: DataFrame, doc_rule: bool = True) -> DataFrame:
 
 
 def _flat_entries(batches: Iterator[pa.RecordBatch], read) -> Iterator[dict]:
-    """Rows that `read(outer, entry)` gives for each top-level XML entry, content errors as rows."""
+    """Rows that `read(opened, outer, entry)` gives for each top-level XML entry, content errors as rows."""
     for batch in batches:
         for path in batch.column(0).to_pylist():
             with _open(path) as opened:
@@ -265,55 +267,175 @@ def _flat_entries(batches: Iterator[pa.RecordBatch], read) -> Iterator[dict]:
                 for info in outer.infolist():
                     if info.filename.endswith(DOCUMENT_ENDING) and "/" not in info.filename:
                         try:
-                            for row in read(outer, info):
+                            for row in read(opened, outer, info):
                                 yield {"path": path, "entry": info.filename, **row}
                         except CONTENT_ERRORS as problem:
                             yield {"path": path, "entry": info.filename, "error": _reason(problem)}
 
 
-def _whole(outer: zipfile.ZipFile, entry: zipfile.ZipInfo) -> Iterator[dict]:
+def _whole(opened, outer: zipfile.ZipFile, entry: zipfile.ZipInfo) -> Iterator[dict]:
     yield {"content": outer.read(entry)}
 
 
 def _text_blocks(outer: zipfile.ZipFile, name: zipfile.ZipInfo, encoding: str) -> Iterator[str]:
-    decoder = codecs.getincrementaldecoder(encoding)()
     with outer.open(name) as entry:
-        while block := entry.read(4 << 20):
-            yield decoder.decode(block)
-        yield decoder.decode(b"", final=True)
+        yield from _decoded(iter(lambda: entry.read(4 << 20), b""), encoding)
 
 
 def _documents(outer: zipfile.ZipFile, name: zipfile.ZipInfo) -> Iterator[dict]:
-    """Single documents of an entry, read as a stream: memory holds the longest one.
-
-    A match of `DOCUMENT` ends at the first closing tag after its start, so the text can be cut
-    after every closing tag and each piece matched alone.
-    """
+    """Single documents of an entry, read as a stream from its begin to its end."""
     encoding = "utf-8"
     try:
         for _ in _text_blocks(outer, name, encoding):
             pass
     except UnicodeDecodeError:  # one bad byte anywhere decides for the whole entry
         encoding = "ISO-8859-1"
-    closing, document = re.compile(CLOSING_TAG), re.compile(DOCUMENT)
-    rest, pos = "", 0
-    for block in _text_blocks(outer, name, encoding):
+    yield from _numbered(_pieces(_text_blocks(outer, name, encoding)), 0)
+
+
+def _pieces(texts: Iterator[str]) -> Iterator[str]:
+    """The pieces of a text that comes in blocks, each up to the end of a closing tag.
+
+    A match of `DOCUMENT` ends at the first closing tag after its start, so each piece can be matched alone. Memory holds
+    the longest piece.
+    """
+    closing, rest = re.compile(CLOSING_TAG), ""
+    for block in texts:
         seen = max(rest.rfind("<"), 0)  # a closing tag cut by the block edge starts at the last "<"
         rest, done = rest + block, 0
         for end in closing.finditer(rest, seen):
-            for xml in document.findall(rest, done, end.end()):
-                yield {"doc_pos": pos, "xml": xml}
-                pos += 1
+            yield rest[done : end.end()]
             done = end.end()
         rest = rest[done:]
 
 
+def _decoded(blocks: Iterator[bytes], encoding: str) -> Iterator[str]:
+    decoder = codecs.getincrementaldecoder(encoding)()
+    for block in blocks:
+        yield decoder.decode(block)
+    yield decoder.decode(b"", final=True)
+
+
+def _packed_at(opened, entry: zipfile.ZipInfo) -> int:
+    """Where the packed bytes of an entry begin: behind its own header, whose lengths may differ from the directory's."""
+    opened.seek(entry.header_offset)
+    header = opened.read(30)
+    if header[:4] != b"PK\x03\x04":
+        raise zipfile.BadZipFile("Bad magic number for file header")
+    name, extra = struct.unpack("<HH", header[26:30])
+    return entry.header_offset + 30 + name + extra
+
+
+def _reader(opened, at: int) -> restart.Read:
+    def read(offset: int, size: int) -> bytes:
+        opened.seek(at + offset)
+        return opened.read(size)
+
+    return read
+
+
+def _slices(opened, outer: zipfile.ZipFile, entry: zipfile.ZipInfo, span: int) -> list[dict]:
+    """The slices of an entry: where each can be taken up, and which documents are its own.
+
+    A slice begins behind the first closing tag after a restart point, and ends where the next one begins.
+    An entry that is not deflated, or encrypted, is one slice, which is read from its begin.
+    """
+    if entry.compress_type != zipfile.ZIP_DEFLATED or entry.flag_bits & 1:
+        return [{}]
+    try:
+        return _sliced(opened, entry, span, "utf-8")
+    except UnicodeDecodeError:  # one bad byte anywhere decides for the whole entry
+        return _sliced(opened, entry, span, "ISO-8859-1")
+
+
+def _sliced(opened, entry: zipfile.ZipInfo, span: int, encoding: str) -> list[dict]:
+    at = _packed_at(opened, entry)
+    waiting, check, total = None, 0, 0
+
+    def blocks() -> Iterator[bytes]:
+        nonlocal waiting, check, total
+        for block, point in restart.unpacked(_reader(opened, at), entry.compress_size, span):
+            waiting = point or waiting
+            check, total = zlib.crc32(block, check), total + len(block)
+            yield block
+
+    first = {"encoding": encoding, "at": at, "size": entry.compress_size, "bit": 0, "out": 0, "window": b"", "begin": 0, "doc_pos": 0}
+    found, document = [first], re.compile(DOCUMENT)
+    begin, pos = 0, 0
+    for piece in _pieces(_decoded(blocks(), encoding)):
+        begin += len(piece.encode(encoding))
+        pos += len(document.findall(piece))
+        if waiting and waiting.out:
+            # The tag ends behind the point, else an earlier block would have shown it.
+            found.append({**first, "bit": waiting.bit, "out": waiting.out, "window": waiting.window, "begin": begin, "doc_pos": pos})
+        waiting = None
+    if check != entry.CRC or total != entry.file_size:
+        raise zipfile.BadZipFile(f"Bad CRC-32 for file {entry.filename!r}")
+    for one, following in zip(found, [*found[1:], {"begin": None}]):
+        one["end"] = following["begin"]
+    return found
+
+
+def _index(span: int):
+    def read(opened, outer: zipfile.ZipFile, entry: zipfile.ZipInfo) -> Iterator[dict]:
+        yield from _slices(opened, outer, entry, span)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _batches(_flat_entries(batches, read), _schema(INDEX), sized="window")
+
+    return run
+
+
+def _part(blocks: Iterator[bytes], begin: int, end: int | None) -> Iterator[bytes]:
+    """The bytes from `begin` to `end` of what comes in blocks."""
+    at = 0
+    for block in blocks:
+        piece = block[max(0, begin - at) : None if end is None else max(0, end - at)]
+        if piece:
+            yield piece
+        at += len(block)
+        if end is not None and at >= end:
+            return
+
+
+def _slice_documents(opened, row: dict) -> Iterator[dict]:
+    """The documents of a slice, with their places in the entry."""
+    if row["at"] is None:
+        outer = zipfile.ZipFile(opened)
+        yield from _documents(outer, outer.getinfo(row["entry"]))
+        return
+    point = restart.Point(row["bit"], row["out"], row["window"] or b"")
+    blocks = restart.resumed(_reader(opened, row["at"]), row["size"], point)
+    end = None if row["end"] is None else row["end"] - point.out
+    yield from _numbered(_pieces(_decoded(_part(blocks, row["begin"] - point.out, end), row["encoding"])), row["doc_pos"])
+
+
+def _numbered(pieces: Iterator[str], pos: int) -> Iterator[dict]:
+    """The documents of pieces, from place `pos` on."""
+    document = re.compile(DOCUMENT)
+    for piece in pieces:
+        for xml in document.findall(piece):
+            yield {"doc_pos": pos, "xml": xml}
+            pos += 1
+
+
 def _read_flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _batches(_flat_entries(batches, _whole), _schema(ENTRIES), sized="content")
 
 
-def _read_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    yield from _batches(_flat_entries(batches, _documents), _schema(DOCUMENTS), sized="xml")
+def _read_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows() -> Iterator[dict]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                named = {"path": row["path"], "entry": row["entry"]}
+                if row["error"]:
+                    yield {**named, "error": row["error"]}
+                    continue
+                with _open(row["path"]) as opened:
+                    for document in _slice_documents(opened, row):
+                        yield {**named, **document}
+
+    yield from _batches(rows(), _schema(DOCUMENTS), sized="xml")
 
 
 def read_flat(archives: DataFrame, tasks: int | None = None) -> DataFrame:
@@ -322,13 +444,22 @@ def read_flat(archives: DataFrame, tasks: int | None = None) -> DataFrame:
     return entries.select(base_name(F.col("path")).alias("archive"), "member", "entry", "content", "error")
 
 
-def read_flat_documents(archives: DataFrame, tasks: int | None = None) -> DataFrame:
+def index_flat(archives: DataFrame, tasks: int | None = None, span: int = restart.SPAN) -> DataFrame:
+    """The slices of the entries of flat zips, about `span` packed bytes each: where a task can take an entry up.
+
+    Every archive is unpacked once, by one task, which keeps some 32 KB per slice. What cannot be read is a row with its error.
+    """
+    return archives.select("path").repartition(_tasks(archives, tasks)).mapInArrow(_index(span), INDEX)
+
+
+def read_flat_documents(archives: DataFrame, tasks: int | None = None, span: int = restart.SPAN) -> DataFrame:
     """Single patent documents of flat zips: (archive, entry, doc_pos, xml, error).
 
     The same as `read_flat`, `decode_text` and `split_documents` in a row, for entries too large
-    for a row. One archive is read by one task; `spread_documents` evens that out.
+    for a row. The slices of an entry are spread, so one archive keeps many tasks busy.
     """
-    found = archives.select("path").repartition(_tasks(archives, tasks)).mapInArrow(_read_documents, DOCUMENTS)
+    slices = index_flat(archives, tasks, span).repartition(_tasks(archives, tasks))
+    found = slices.mapInArrow(_read_slices, DOCUMENTS)
     return found.select(base_name(F.col("path")).alias("archive"), "entry", "doc_pos", "xml", "error")
 
 
