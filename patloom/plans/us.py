@@ -10,7 +10,7 @@ from patloom.functions.us import parse_us
 from patloom.operators.dedup import first_by_key
 from patloom.operators.skip import not_done
 from patloom.plans.ep import BAD, GOOD
-from patloom.plans.ingest import DONE_BY, MANIFEST, record_done
+from patloom.plans.ingest import DONE_BY, MANIFEST, MOST_TRIES, record_done
 from patloom.sinks.tables import read_or_none, write_weekly
 from patloom.sources.archives import list_files, read_flat_documents, spread_documents
 from patloom.sources.files import read_partitioned
@@ -57,11 +57,14 @@ def read_us_records(spark: SparkSession, path: str) -> DataFrame:
     return read_partitioned(spark, path, US_FOLDERS)
 
 
-def write_new_archives(spark: SparkSession, source: str, path: str, manifest: str, tasks: int | None = None) -> None:
+def write_new_archives(
+    spark: SparkSession, source: str, path: str, manifest: str, tasks: int | None = None, most_tries: int = MOST_TRIES
+) -> None:
     """Write the archives of a folder that the manifest does not have yet; it is written last.
 
-    The manifest knows archives by full name, length and time of modification, and only if all of an
-    archive could be read; so a revised archive of the same day counts, and a broken one is read again.
+    The manifest knows archives by full name, length and time of modification; so a revised archive of the
+    same day counts. One of which an entry could not be read is read again, `most_tries` times in all (see `record_done`). A
+    document that is no good is a row of the quarantine and no reason to read again.
     """
     archives = us_archives(list_files(spark, source))
     done = read_or_none(spark, manifest, MANIFEST)
@@ -69,5 +72,7 @@ def write_new_archives(spark: SparkSession, source: str, path: str, manifest: st
     write_archives(pending, path, tasks=tasks)
     if read_or_none(spark, path) is None:
         return
-    failed = read_us_records(spark, path).filter("error IS NOT NULL AND doc_pos IS NULL").select("archive").distinct()
-    record_done(spark, pending, failed, manifest)
+    # The folders of pending archives alone are read: Spark prunes them by the join, as long as the list is small.
+    there = read_us_records(spark, path).filter("error IS NOT NULL AND doc_pos IS NULL")
+    there = there.join(pending.select(F.col("file_name").alias("archive")), "archive", "left_semi")
+    record_done(spark, pending, there.groupBy("archive").agg(F.min("error").alias("reason")), manifest, most_tries)

@@ -1,11 +1,14 @@
 """New archives as a file stream: the checkpoint remembers which were read.
 
 Each micro-batch may be run again after a failure. Both sinks bear that: the insert skips what is
-there, the quarantine of a batch replaces itself.
+there, the quarantine of a batch replaces itself. A batch is known by its stream, which is what the checkpoint
+names it, and its number; so streams may share a quarantine, and a new checkpoint leaves the rows of an
+earlier one in place.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +19,7 @@ from patloom.functions.ep import parse_ep
 from patloom.plans.ingest import named_archives, one_per_week
 from patloom.plans.us import us_archives, write_archives
 from patloom.schemas import EP_RECORD
-from patloom.sinks.tables import insert_if_absent, read_or_none, write_weekly
+from patloom.sinks.tables import insert_if_absent, write_weekly
 from patloom.sources.archives import read_nested
 
 EP_ORDER = ("archive", "member", "entry")
@@ -38,6 +41,11 @@ def _start(stream: DataFrame, each, checkpoint: str, available_now: bool) -> Str
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave to the stream of a checkpoint: the same after a restart, another for a new checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
 def insert_ep_stream(
     archives: DataFrame,
     table: str,
@@ -51,21 +59,21 @@ def insert_ep_stream(
     """Insert the records of new European archives by document id, if absent; keep bad ones aside.
 
     Archives are chosen as in the batch job, among those of a micro-batch. A batch is parsed once, into a
-    table beside the quarantine that both sinks read. An error other than that of bad content fails the stream.
+    table beside the quarantine that both sinks read, and that the stream's next batch replaces. An error other than that of
+    bad content fails the stream.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        chosen = one_per_week(named_archives(batch))
-        staged = f"{quarantine.rstrip('/')}-staged"
-        write_weekly(parse_ep(read_nested(chosen, doc_rule, tasks)).withColumn("batch_id", F.lit(batch_id)), staged, by=("batch_id",), balance=False)
-        parsed = read_or_none(batch.sparkSession, staged)
-        if parsed is None:  # no archive so far
-            return
-        parsed = parsed.filter(F.col("batch_id") == batch_id)
+        spark = batch.sparkSession
+        stream = stream_id(spark, checkpoint)
+        staged = f"{quarantine.rstrip('/')}-staged/{stream}"
+        rows = parse_ep(read_nested(one_per_week(named_archives(batch)), doc_rule, tasks))
+        rows.write.mode("overwrite").parquet(staged)  # whole, so that nothing of another batch is left
+        parsed = spark.read.schema(rows.schema).parquet(staged)
         columns = [*EP_ORDER, *EP_RECORD.names]
         insert(parsed.filter(F.col("error").isNull()), table, "doc_id", EP_ORDER, columns)
         bad = parsed.filter(F.col("error").isNotNull()).select(*EP_ORDER, "error", "bad_xml")
-        write_weekly(bad.withColumn("batch_id", F.lit(batch_id)), quarantine, by=("batch_id",))
+        write_weekly(bad.withColumns({"stream": F.lit(stream), "batch_id": F.lit(batch_id)}), quarantine, by=("stream", "batch_id"))
 
     return _start(archives, each, checkpoint, available_now)
 
