@@ -19,7 +19,8 @@ from patloom.functions.ep import parse_ep
 from patloom.plans.ingest import named_archives, one_per_week
 from patloom.plans.us import us_archives, write_archives
 from patloom.schemas import EP_RECORD
-from patloom.sinks.tables import insert_if_absent, write_weekly
+from patloom.sinks.keyed import insert_by_index
+from patloom.sinks.tables import write_weekly
 from patloom.sources.archives import read_nested
 
 EP_ORDER = ("archive", "member", "entry")
@@ -54,7 +55,7 @@ def insert_ep_stream(
     doc_rule: bool = True,
     tasks: int | None = None,
     available_now: bool = True,
-    insert: Callable = insert_if_absent,
+    insert: Callable = insert_by_index,
 ) -> StreamingQuery:
     """Insert the records of new European archives by document id, if absent; keep bad ones aside.
 
