@@ -14,16 +14,20 @@ from pyspark.sql import functions as F
 BITS = 26  # 8 MB
 
 
-def bitmap(hashes: DataFrame, bits: int = BITS) -> np.ndarray:
-    """The bitmap of a table's one column of 64-bit hashes. At most 2^(bits - 6) words reach the driver."""
+def _words(hashes: DataFrame, bits: int) -> DataFrame:
+    """(word, bits): the bitmap of a table's one column of 64-bit hashes, by words of 64 places."""
     name = hashes.columns[0]
-    words = (
+    return (
         hashes.selectExpr(f"shiftrightunsigned(`{name}`, {64 - bits}) AS place")
         .selectExpr("shiftright(place, 6) AS word", "shiftleft(1L, CAST(place & 63 AS INT)) AS bit")
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
-        .toArrow()
     )
+
+
+def bitmap(hashes: DataFrame, bits: int = BITS) -> np.ndarray:
+    """The bitmap of a table's one column of 64-bit hashes. At most 2^(bits - 6) words reach the driver."""
+    words = _words(hashes, bits).toArrow()
     out = np.zeros(1 << (bits - 6), np.int64)
     out[words["word"].to_numpy()] = words["bits"].to_numpy()
     return out.view(np.uint64)
@@ -36,15 +40,16 @@ def hits(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def parted(df: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """The rows whose key may be in the same column of `keys`, and those where it is not. Null is not."""
-    shared = df.sparkSession.sparkContext.broadcast(bitmap(keys.select(F.xxhash64(key).alias("h"))))
+    """The rows whose key may be in the same column of `keys`, and those where it is not. Null is not.
 
-    @F.arrow_udf("boolean")
-    def among(hashes: pa.Array) -> pa.Array:
-        return pa.array(hits(shared.value, hashes.to_numpy(zero_copy_only=False).view(np.uint64)))
-
-    there = F.col(key).isNotNull() & among(F.xxhash64(key))
-    return df.filter(there), df.filter(~there)
+    The bitmap is a table of at most 2^(BITS - 6) words here, sent to the executors, so that no Python worker is needed.
+    """
+    hashes = keys.select(F.xxhash64(key).alias("h"))
+    words = F.broadcast(_words(hashes, BITS).withColumnsRenamed({"word": "__word", "bits": "__bits"}))
+    place = F.shiftrightunsigned(F.xxhash64(key), 64 - BITS)
+    met = df.withColumns({"__place": F.when(F.col(key).isNotNull(), place), "__word": F.shiftright(place, 6)}).join(words, "__word", "left")
+    there = F.coalesce(F.call_function("getbit", F.col("__bits"), F.col("__place").bitwiseAND(63).cast("int")) == 1, F.lit(False))
+    return tuple(met.filter(side).select(*(F.col(f"`{name}`") for name in df.columns)) for side in (there, ~there))
 
 
 def maybe_among(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
