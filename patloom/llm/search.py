@@ -275,18 +275,17 @@ def ranked(
     rows = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
     numbered = F.pmod(F.xxhash64("item", "text"), F.lit(max(1, blocks)))
     kinds = dict(given.dtypes)["item"], dict(rows.dtypes)["id"]
-    out = docs.sparkSession.createDataFrame([], f"item {kinds[0]}, text bigint, id {kinds[1]}, score bigint")
+    out = docs.sparkSession.createDataFrame([], f"item {kinds[0]}, rank int, id {kinds[1]}, score bigint")
     for block in range(blocks):
         held = given.filter(numbered == block).collect()  # of bounded size
         queries = Queries([r["item"] for r in held], [r["text"] for r in held])
         if not len(queries.vocabulary):
             continue
+        order = W.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("id"))
+        placed = _searched(rows, queries, best).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= best)
         names = docs.sparkSession.createDataFrame([(i, r["item"]) for i, r in enumerate(held)], f"query int, item {kinds[0]}")
-        found = _searched(rows, queries, best).join(F.broadcast(names), "query")  # as many as the block has items
-        out = out.unionByName(found.select("item", F.col("query").cast("long").alias("text"), "id", "score").withColumn("text", F.col("text") + (block << 32)))
-    order = W.partitionBy("item", "text").orderBy(F.desc("score"), F.asc_nulls_last("id"))
-    placed = out.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= best)
-    return placed.select(F.col("item").alias(item_key), "rank", F.col("id").alias(key), "score")
+        out = out.unionByName(placed.join(F.broadcast(names), "query").drop("query"))  # as many names as the block has items
+    return out.select(F.col("item").alias(item_key), "rank", F.col("id").alias(key), "score")
 
 
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
