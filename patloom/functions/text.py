@@ -6,6 +6,7 @@ once take and give DataFrames, so that it is computed once per row.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 
 import pyarrow as pa
@@ -109,13 +110,27 @@ def blank_separated(text: Column) -> Column:
     return F.filter(F.split(text, " "), lambda token: token != "")
 
 
+@functools.cache
+def public_encoding(name: str = "byte_bpe_multi_50k.tiktoken"):
+    """The byte pair encoding of an installed public vocabulary, built once in each worker. A file of ranks: token in base64, rank."""
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    with open(public_tokenizers.path(name), "rb") as file:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in file if line.strip())}
+    return tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 def bpe_chunks(
     load_encoding: Callable[[], object], size: int = CHUNK_TOKENS, overlap: int = OVERLAP_TOKENS
 ) -> Callable[[Column], Column]:
     """Chunk texts counted in byte pair tokens: a function from a text column to array<string>.
 
     `load_encoding` gives, on the executor, an object with `encode` and `decode`, for example
-    `lambda: tiktoken.get_encoding("cl100k_base")`.
+    `public_encoding` or `lambda: tiktoken.get_encoding("cl100k_base")`. Strings of special tokens inside a text are
+    ordinary text, if the object has `encode_ordinary`. Where a border cuts a character, both sides show U+FFFD.
     """
     if not 0 <= overlap < size:
         raise ValueError("the overlap must be shorter than the chunk")
@@ -124,9 +139,10 @@ def bpe_chunks(
     @F.arrow_udf("array<string>")
     def chunks(texts: pa.Array) -> pa.Array:
         encoding = load_encoding()
+        encode = getattr(encoding, "encode_ordinary", encoding.encode)
         out = []
         for text in texts.to_pylist():
-            tokens = [] if text is None else encoding.encode(text)
+            tokens = [] if text is None else encode(text)
             out.append([encoding.decode(tokens[start : start + size]) for start in range(0, len(tokens), step)])
         return pa.array(out, pa.list_(pa.string()))
 

@@ -8,6 +8,7 @@ trimming, dates) is left to Spark expressions on that struct.
 
 from __future__ import annotations
 
+import functools
 import gc
 import xml.etree.ElementTree as ET
 from collections.abc import Callable, Sequence
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from patloom.functions.xmlpull import Puller
+
 
 @dataclass(frozen=True)
 class Pick:
@@ -114,35 +117,67 @@ def _reader(pick: Pick) -> Callable[[ET.Element, Index], object]:
     }[pick.take]
 
 
+def _tree_values(document: str | bytes, picks: Sequence[Pick]) -> list:
+    """The values of all picks by way of a tree; rows as lists in the order of their parts."""
+    root = ET.fromstring(document)
+    anchors, index = {pick.anchor for pick in picks if pick.anchor}, {}
+    for el in root.iter():  # one walk finds the anchors of all picks, in document order
+        if el.tag in anchors and el is not root:
+            index.setdefault(el.tag, []).append(el)
+    values = [_reader(pick)(root, index) for pick in picks]
+    return [[list(row.values()) for row in value] if pick.parts else value for pick, value in zip(picks, values)]
+
+
+@functools.cache
+def _puller(picks: tuple[Pick, ...]) -> Puller:
+    return Puller(picks)
+
+
+def _column(pick: Pick, values: list) -> pa.Array:
+    """One pick of all documents as an Arrow array; rows are built part by part."""
+    kind = to_arrow_type(pick.spark_type())
+    if not pick.parts:
+        return pa.array(values, kind)
+    offsets, rows = [], []
+    for value in values:
+        offsets.append(None if value is None else len(rows))
+        rows.extend(value or ())
+    inner = kind.value_type
+    parts = [pa.array([row[k] for row in rows], inner.field(k).type) for k in range(len(pick.parts))]
+    return pa.ListArray.from_arrays(pa.array([*offsets, len(rows)], pa.int32()), pa.StructArray.from_arrays(parts, fields=list(inner)))
+
+
 def xml_struct(picks: Sequence[Pick]) -> Callable[[Column], Column]:
     """A function from a column of XML (string, or binary in its declared encoding) to a struct.
 
     The struct has one field per pick, and `error`: null, or why the document could not be
-    parsed, in which case the other fields are null. A bad document never fails the job.
+    parsed, in which case the other fields are null. A bad document never fails the job. A document is read
+    in one pass (`xmlpull`); one that this does not decide is made a tree of.
     """
+    picks = tuple(picks)
     result = T.StructType([T.StructField(pick.name, pick.spark_type()) for pick in picks]).add("error", "string")
 
     @F.arrow_udf(result)
     def parse(documents: pa.Array) -> pa.Array:
-        readers = [(pick.name, _reader(pick)) for pick in picks]
-        anchors = {pick.anchor for pick in picks if pick.anchor}
-        records = []
+        puller, found, errors = _puller(picks), [], []
         collecting = gc.isenabled()
-        gc.disable()  # a tree has no cycles, and a batch of trees is many objects to walk
+        gc.disable()  # there are no cycles, and a batch of values is many objects to walk
         try:
             for document in documents:
+                raw, error = document.as_py(), None
                 try:
-                    root = ET.fromstring(document.as_py())
-                    index: Index = {}
-                    for el in root.iter():  # one walk finds the anchors of all picks, in document order
-                        if el.tag in anchors and el is not root:
-                            index.setdefault(el.tag, []).append(el)
-                    records.append({name: read(root, index) for name, read in readers})
-                except Exception as problem:  # any bad document is set aside, with the reason
-                    records.append({"error": f"{type(problem).__name__}: {problem}"})
+                    values = puller.read(raw)
+                except Exception:
+                    try:
+                        values = _tree_values(raw, picks)
+                    except Exception as problem:  # any bad document is set aside, with the reason
+                        values, error = [None] * len(picks), f"{type(problem).__name__}: {problem}"
+                found.append(values)
+                errors.append(error)
         finally:
             if collecting:
                 gc.enable()
-        return pa.array(records, to_arrow_type(result))
+        columns = [_column(pick, [values[i] for values in found]) for i, pick in enumerate(picks)]
+        return pa.StructArray.from_arrays([*columns, pa.array(errors, pa.string())], fields=list(to_arrow_type(result)))
 
     return parse

@@ -8,11 +8,12 @@ from patloom.functions.ep import parse_ep
 from patloom.functions.us import decode_text, parse_us, split_documents
 from patloom.plans import us
 from patloom.plans.ep import GOOD, insert_records, write_records
-from patloom.plans.ingest import ingest_archives
-from patloom.queries.build import copy_archives, ep_archive_blobs, write_archives
+from patloom.plans.ingest import GIVEN_UP, MOST_TRIES, ingest_archives
+from patloom.queries.build import US_HEAD, copy_archives, ep_archive_blobs, write_archives
 from patloom.queries.records import EP_TEXTS, TEXT_COLUMNS, TEXTS, US_TEXTS, ep_document_xml, us_document_xml
 from patloom.queries.registry import heavy, query, table
 from patloom.session import shared_folder
+from patloom.sources.archive_format import register
 from patloom.sources.archives import explode_nested, list_files, read_flat, read_flat_documents, read_nested
 from patloom.sources.files import read_documents, read_weekly
 from patloom.streaming.weekly import archive_stream, insert_ep_stream, write_us_stream
@@ -50,6 +51,31 @@ def nested_archives_as_rows(spark, sf_dir):
     return parse_ep(explode_nested(blobs), keep_bad_xml=False).select("doc_id", *TEXTS)
 
 
+@query("S2_S3_archive_format", EP_TEXTS)
+def archive_format(spark, sf_dir):
+    """The archives by the data source, some weeks of them and the others."""
+    register(spark)
+    source = _archives(spark, sf_dir, "ep")
+    early = spark.read.format("patent_archive").option("toWeek", "190004").load(source)
+    late = spark.read.format("patent_archive").option("fromWeek", "190005").load(source)
+    return parse_ep(early.unionByName(late), keep_bad_xml=False).select("doc_id", *TEXTS)
+
+
+@query("S2_S3_archive_format_stream", EP_TEXTS)
+def archive_format_stream(spark, sf_dir):
+    """The same as a stream, which goes on where it stopped."""
+    register(spark)
+    source, out, checkpoint = _archives(spark, sf_dir, "ep"), shared_folder(spark, "ep-rows"), shared_folder(spark, "checkpoint")
+    for _ in range(2):
+        rows = parse_ep(spark.readStream.format("patent_archive").load(source), keep_bad_xml=False).select("doc_id", *TEXTS)
+        stream = rows.writeStream.format("parquet").option("checkpointLocation", checkpoint).start(out)
+        try:
+            stream.processAllAvailable()
+        finally:
+            stream.stop()
+    return spark.read.parquet(out)
+
+
 @query("S4_flat_archives", US_TEXTS)
 def flat_archives(spark, sf_dir):
     entries = read_flat(list_files(spark, _archives(spark, sf_dir, "us")))
@@ -131,6 +157,44 @@ def ep_stream(spark, sf_dir):
     return spark.read.parquet(out).select("doc_id", *TEXTS)
 
 
+@query("K4_two_streams", "SELECT 'd' || doc_id || '.xml' AS entry, status FROM documents, (VALUES ('good'), ('bad')) AS s(status)")
+def two_streams(spark, sf_dir):
+    """Two streams into one table and one quarantine; in each, half of the documents are cut off. Nothing of either is lost."""
+    out, bad = shared_folder(spark, "ep-inserted"), shared_folder(spark, "ep-bad")
+    splits = max(table(spark, sf_dir, "documents").rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
+    for half in (0, 1):
+        xml = F.when(F.col("doc_id") % 2 == half, F.substring(ep_document_xml(), 1, 30)).otherwise(ep_document_xml())
+        source = write_archives(_documents(spark, sf_dir, xml), shared_folder(spark, "ep-archives"), "ep", splits)
+        insert_ep_stream(archive_stream(spark, source), out, bad, shared_folder(spark, "checkpoint")).awaitTermination()
+    good = spark.read.parquet(out).select("entry", F.lit("good").alias("status"))
+    return good.unionByName(spark.read.parquet(bad).select("entry", F.lit("bad").alias("status")))
+
+
+@query("K5_given_up", f"SELECT *, '{GIVEN_UP}' AS state, {MOST_TRIES} AS tries FROM ({EP_TEXTS})")
+def given_up(spark, sf_dir):
+    """Archives that stay broken are read so many times and no more; a whole file in their place is read."""
+    whole, source, out, manifest = _archives(spark, sf_dir, "ep"), *(shared_folder(spark, name) for name in ("ep", "raw", "manifest"))
+    copy_archives(list_files(spark, whole), source, keep=0.5)
+    for _ in range(MOST_TRIES + 1):
+        ingest_archives(spark, source, out, manifest)
+    states = spark.read.parquet(manifest).select("state", "tries").distinct()
+    copy_archives(list_files(spark, whole), source)
+    ingest_archives(spark, source, out, manifest)
+    states = states.agg(F.array_join(F.collect_set("state"), ",").alias("state"), F.max("tries").alias("tries"))  # one row
+    return parse_ep(read_weekly(spark, out), keep_bad_xml=False).select("doc_id", *TEXTS).join(F.broadcast(states))
+
+
+@query("K1_A1_us_repeated", US_TEXTS)
+def us_repeated(spark, sf_dir):
+    """Archives that hold every document three times, the second and third with other texts: the first one stays."""
+    again = F.concat(F.lit("\n" + US_HEAD), F.replace(us_document_xml(), F.lit("<b>"), F.lit("<b>again ")))
+    source = shared_folder(spark, "us-archives")
+    splits = max(table(spark, sf_dir, "documents").rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
+    out = shared_folder(spark, "us-records")
+    us.write_archives(list_files(spark, write_archives(_documents(spark, sf_dir, F.concat(us_document_xml(), again, again)), source, "us", splits)), out)
+    return spark.read.parquet(out).filter(F.col("status") == GOOD).select(*US_FIELDS)
+
+
 @query("K5_us_stream", US_TEXTS)
 def us_stream(spark, sf_dir):
     source, out, checkpoint = _archives(spark, sf_dir, "us"), shared_folder(spark, "us-stream"), shared_folder(spark, "checkpoint")

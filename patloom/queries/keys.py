@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from patloom.functions.names import PUBLISHED_AT
 from patloom.operators.dedup import first_by_key, latest_by_key
-from patloom.operators.pooling import mean_by_position, mean_vectors
+from patloom.operators.pooling import mean_by_position, merged_means
 from patloom.operators.skip import existing, not_done
 from patloom.queries.registry import query, table
 from patloom.sources.listing import candidate_names, first_existing, latest_entry
@@ -109,7 +109,7 @@ def pooled_by_position(spark, sf_dir):
     """,
 )
 def pooled_vectors(spark, sf_dir):
-    vectors = mean_vectors(table(spark, sf_dir, "embeddings"), ["label"], "embedding")
+    vectors = merged_means(table(spark, sf_dir, "embeddings"), ["label"], "embedding")
     numbered = F.transform("vector", lambda value, at: value * (at + 1))
     weighted = F.aggregate(numbered, F.lit(0.0), lambda sum_, value: sum_ + value)
     width = F.size("vector").cast("bigint").alias("width")

@@ -9,7 +9,7 @@ from patloom.plans.extract import run_extract
 from patloom.queries.build import day
 from patloom.queries.registry import query, table
 from patloom.session import shared_folder
-from patloom.sinks.tables import insert_if_absent, insert_into_bucketed, write_weekly
+from patloom.sinks.tables import insert_if_absent, insert_into_bucketed, write_clustered, write_weekly
 from patloom.sources.files import read_weekly
 
 
@@ -50,6 +50,22 @@ def date_extract(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@query(
+    "K2_clustered_extract",
+    """
+    SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS date_publication, o_totalprice FROM orders
+    WHERE strftime(o_orderdate, '%Y%m%d') BETWEEN '19990310' AND '19990402'
+    """,
+)
+def clustered_extract(spark, sf_dir):
+    """A few weeks of a table that is kept in order of days."""
+    merged, out = shared_folder(spark, "clustered"), shared_folder(spark, "extract")
+    dated = table(spark, sf_dir, "orders").select("o_orderkey", day("o_orderdate").alias("date_publication"), "o_totalprice")
+    write_clustered(dated, merged, ["date_publication", "o_orderkey"], group_bytes=64 << 10)
+    run_extract(spark, merged, out, "19990310", "19990402")
+    return spark.read.parquet(out)
+
+
 INSERTED = """
     SELECT doc_id, source, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'first' ELSE 'second' END AS run
     FROM documents"""

@@ -12,11 +12,13 @@ from patloom.functions.lemmas import NOUN_ENDINGS, lemmatise, noun_lemmas
 from patloom.functions.text import (
     ENGLISH_STOPWORDS,
     NO_TEXT,
+    blank_separated,
+    bpe_chunks,
     compose,
     drop_stopwords,
-    blank_separated,
     explode_chunks,
     normalise,
+    public_encoding,
     strip,
     token_list,
     with_chunks,
@@ -180,6 +182,14 @@ def normalised_chunks(spark, sf_dir):
     return explode_chunks(with_chunks(documents, normal_words(F.col("text"))).drop("text"))
 
 
+@query("T5_token_chunks", "SELECT doc_id, text FROM documents")
+def token_chunks(spark, sf_dir):
+    """Chunks of 2,000 byte pair tokens, one behind the other: put together they are the text again."""
+    documents = heavy(spark, sf_dir, "documents", "doc_id", "text")
+    chunks = bpe_chunks(public_encoding, overlap=0)(F.col("text"))
+    return documents.select("doc_id", F.array_join(chunks, "").alias("text"))
+
+
 def letter_model():
     """A stand-in for a sentence model: how often each letter occurs in a text."""
     return lambda texts: np.array([[text.count(letter) for letter in LETTERS] for text in texts], dtype="float64")

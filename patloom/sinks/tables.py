@@ -11,6 +11,8 @@ from patloom.operators.dedup import first_by_key
 from patloom.operators.skip import not_done
 from patloom.schemas import ORIGIN
 
+GROUP_BYTES = 16 << 20  # of a row group, where ranges are to be read
+
 
 def read_or_none(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
     """The table at a path; None only where the path does not exist. Any other problem is raised."""
@@ -34,6 +36,16 @@ def write_weekly(df: DataFrame, path: str, by: Sequence[str] = ("year", "week"),
     balanced.write.partitionBy(*by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+def write_clustered(df: DataFrame, path: str, by: Sequence[str], group_bytes: int = GROUP_BYTES) -> None:
+    """Write a table whose files hold ranges of `by` and are sorted by it, in small row groups.
+
+    A read of a range then opens few files, and of these few row groups. A value with very many rows may fill
+    several files only if a further column of `by` tells its rows apart.
+    """
+    ranged = df.repartitionByRange(*by).sortWithinPartitions(*by)
+    ranged.write.mode("overwrite").option("parquet.block.size", group_bytes).parquet(path)
+
+
 def write_extract(df: DataFrame, path: str, skip_empty: bool = False, source: DataFrame | None = None) -> bool:
     """Write a table, all of it or nothing; whether it was written.
 

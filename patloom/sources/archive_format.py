@@ -2,10 +2,13 @@
 
 Gives the rows of `read_nested` with the year and week of the archive's name. The driver lists names, sizes and
 times only. A task reads those members of an archive that begin in its slice of the file, so one huge archive keeps many
-tasks busy and nothing is shuffled. Filters on archive, year and week choose the files before any is opened.
+tasks busy and nothing is shuffled. Files are chosen before any is opened.
 
-Options: `docRule` (true: only the DOC folder, where an archive has one), `sliceBytes`, `settleSeconds` (a stream leaves files
-alone that were modified less than so many seconds ago).
+Options: `fromWeek` and `toWeek` (year and week as in 202405, both included), `docRule` (true: only the DOC folder, where an archive
+has one), `sliceBytes`, `settleSeconds` (a stream leaves files alone that were modified less than so many seconds ago), and
+`pushFilters` (false). With the last one, filters on archive, year and week choose files too. Spark 4.1 keeps what was
+pushed with the loaded table, not with its scan: a query that filters one load in two ways would mix them up, so give
+each use a `load` of its own.
 """
 
 from __future__ import annotations
@@ -63,6 +66,14 @@ def _listed(folder: str) -> list[tuple[int, str, int]]:
     return sorted(f for f in found if re.search(ARCHIVE_EXTENSION, f[1]))
 
 
+def _within(named: dict, first: str, last: str) -> bool:
+    """Whether a file is of a span of weeks; one whose name gives no week is only where no span is asked for."""
+    if not first and not last:
+        return True
+    week = (named["year"] or "") + (named["week"] or "")
+    return bool(week) and first <= week and (not last or week <= last)
+
+
 def _slices(path: str, size: int, slice_bytes: int) -> Iterator[Slice]:
     begins = range(0, max(1, size), slice_bytes)
     for begin in begins:  # offsets of a compressed tar go beyond the file's size, into the last slice
@@ -95,6 +106,12 @@ class _Options:
         self.doc_rule = options.get("docRule", "true").lower() == "true"
         self.slice_bytes = int(options.get("sliceBytes", SLICE_BYTES))
         self.settle = float(options.get("settleSeconds", 0))
+        self.weeks = options.get("fromWeek", ""), options.get("toWeek", "")
+
+    def listed(self) -> list[tuple[int, str, int]]:
+        """The files of the weeks asked for."""
+        first, last = self.weeks
+        return [f for f in _listed(self.folder) if _within(_named(f[1]), first, last)]
 
     def batches(self, part: Slice) -> Iterator[pa.RecordBatch]:
         yield from _batches(_rows(part, self.doc_rule), _schema(ROWS), sized="content")
@@ -142,18 +159,10 @@ class ArchiveReader(ds.DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.options, self.filters = _Options(options), []
 
-    def pushFilters(self, filters: list[ds.Filter]) -> Iterator[ds.Filter]:
-        """Takes the filters on columns of the file's name; the others are left to Spark."""
-        for one in filters:
-            if _column(one) and _test("", one) is not None:
-                self.filters.append(one)
-            else:
-                yield one
-
     def partitions(self) -> Sequence[Slice]:
         chosen = (
             (path, size)
-            for _, path, size in _listed(self.options.folder)
+            for _, path, size in self.options.listed()
             if all(_test(_named(path)[_column(one)], one) for one in self.filters)
         )
         return [part for path, size in chosen for part in _slices(path, size, self.options.slice_bytes)]
@@ -163,6 +172,13 @@ class ArchiveReader(ds.DataSourceReader):
             yield from self.options.batches(partition)
 
 
+class FilteringReader(ArchiveReader):
+    def pushFilters(self, filters: list[ds.Filter]) -> list[ds.Filter]:
+        """Takes note of the filters on columns of the file's name; Spark tests all of them again."""
+        self.filters = [one for one in filters if _column(one) and _test("", one) is not None]
+        return filters
+
+
 class ArchiveStreamReader(ds.DataSourceStreamReader):
     """Archives in order of time of modification and path; the offset is the last one given.
 
@@ -178,12 +194,12 @@ class ArchiveStreamReader(ds.DataSourceStreamReader):
 
     def latestOffset(self) -> dict:
         until = time.time_ns() - int(self.options.settle * 1e9)
-        found = [f for f in _listed(self.options.folder) if f[0] <= until] if self.options.settle else _listed(self.options.folder)
+        found = [f for f in self.options.listed() if not self.options.settle or f[0] <= until]
         return {"time": str(found[-1][0]), "path": found[-1][1]} if found else self.initialOffset()
 
     def partitions(self, start: dict, end: dict) -> Sequence[Slice]:
         low, high = ((int(o["time"]), o["path"]) for o in (start, end))
-        new = ((path, size) for at, path, size in _listed(self.options.folder) if low < (at, path) <= high)
+        new = ((path, size) for at, path, size in self.options.listed() if low < (at, path) <= high)
         return [part for path, size in new for part in _slices(path, size, self.options.slice_bytes)]
 
     def read(self, partition: Slice | None) -> Iterator[pa.RecordBatch]:
@@ -200,13 +216,14 @@ class ArchiveSource(ds.DataSource):
         return ROWS
 
     def reader(self, schema) -> ArchiveReader:
-        return ArchiveReader(self.options)
+        pushing = self.options.get("pushFilters", "false").lower() == "true"
+        return FilteringReader(self.options) if pushing else ArchiveReader(self.options)
 
     def streamReader(self, schema) -> ArchiveStreamReader:
         return ArchiveStreamReader(self.options)
 
 
 def register(spark: SparkSession) -> None:
-    """Make the format known to the session, and let Spark hand it filters."""
+    """Make the format known to the session, and let Spark hand filters to those loads that ask for them."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(ArchiveSource)

@@ -58,10 +58,48 @@ def located(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(f"{scheme}://{quote(rest)}")
 
 
-def _open(path: str):
+class _File:
+    """An input file that takes offsets as files in memory do: what bad bytes ask for is no fault of the file system."""
+
+    def __init__(self, file: pa.NativeFile) -> None:
+        self.file, self.end, self.at = file, file.size(), 0
+
+    def seek(self, offset: int, whence: int = 0) -> int:
+        if whence == 0 and offset < 0:
+            raise ValueError(f"negative seek value {offset}")
+        self.at = max(0, offset + (0, self.at, self.end)[whence])
+        return self.at
+
+    def tell(self) -> int:
+        return self.at
+
+    def read(self, size: int | None = -1) -> bytes:
+        left = max(0, self.end - self.at)
+        size = left if size is None or size < 0 else min(size, left)
+        if not size:
+            return b""
+        self.file.seek(self.at)
+        data = self.file.read(size)
+        self.at += len(data)
+        return data
+
+    def seekable(self) -> bool:
+        return True
+
+    def close(self) -> None:
+        self.file.close()
+
+    def __enter__(self) -> _File:
+        return self
+
+    def __exit__(self, *problem) -> None:
+        self.close()
+
+
+def _open(path: str) -> _File:
     """A seekable file on whatever file system the path names."""
     filesystem, inside = located(path)
-    return filesystem.open_input_file(inside)
+    return _File(filesystem.open_input_file(inside))
 
 
 # What bad bytes give. Everything else, a file system that fails above all, is raised: Spark tries again.
@@ -72,6 +110,9 @@ CONTENT_ERRORS = (
 
 
 def _reason(problem: Exception) -> str:
+    """The reason for a row with an error. Errors of Arrow's file systems are raised, though they may also be of a kind named above."""
+    if isinstance(problem, pa.ArrowException):
+        raise problem
     return f"{type(problem).__name__}: {problem}"
 
 

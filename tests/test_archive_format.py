@@ -42,16 +42,28 @@ def test_same_rows_as_the_reader(spark, folder, size):
         assert read.rdd.getNumPartitions() > 10
 
 
-def test_filters_choose_the_files(spark, folder, monkeypatch):
-    read = spark.read.format("patent_archive").load(str(folder))
+def test_filters_choose_the_files(spark, folder):
+    load = lambda: spark.read.format("patent_archive").option("pushFilters", "true").load(str(folder))
+    read = load()
     weeks = {r.archive: r.week for r in read.select("archive", "week").distinct().collect()}
     assert sorted(weeks.values(), key=repr) == sorted(["01", "02", "03", None], key=repr)
     for condition in ("week = '02'", "week > '01' AND week < '03'", "week IN ('02')", "archive LIKE '%01001.tar'", "week <=> '02'", "NOT (week = '01') AND week <> '03'", "week IS NULL"):
-        some = read.filter(condition)
+        some = load().filter(condition)
         assert some.rdd.getNumPartitions() == 1  # one file, one slice
-        assert rows(some) == rows(read.filter(F.expr(condition.replace("week", "concat(week, '')").replace("archive", "concat(archive, '')"))))
-    assert read.filter("week = '02' AND entry = 'EP201.xml'").count() == 1
-    assert read.filter("year = '1999'").count() == 0
+        assert rows(some) == rows(load().filter(F.expr(condition.replace("week", "concat(week, '')").replace("archive", "concat(archive, '')"))))
+    assert load().filter("week = '02' AND entry = 'EP201.xml'").count() == 1
+    assert load().filter("year = '1999'").count() == 0
+
+
+def test_weeks_asked_for_and_two_filters_of_one_load(spark, folder):
+    reader = lambda: spark.read.format("patent_archive")
+    some = reader().option("fromWeek", "202402").option("toWeek", "202402").load(str(folder))
+    assert some.rdd.getNumPartitions() == 1 and {r.week for r in some.collect()} == {"02"}
+    assert {r.week for r in reader().option("toWeek", "202401").load(str(folder)).collect()} == {"01"}
+    assert {r.week for r in reader().option("fromWeek", "202402").load(str(folder)).collect()} == {"02", "03"}
+    whole = reader().load(str(folder))
+    both = whole.filter("week = '02'").unionByName(whole.filter("week = '01'"))
+    assert {r.week for r in both.collect()} == {"01", "02"}
 
 
 def test_stream_gives_each_archive_once(spark, folder, tmp_path_factory):
