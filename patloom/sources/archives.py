@@ -83,6 +83,9 @@ class _File:
         self.at += len(data)
         return data
 
+    def read_at(self, size: int, offset: int) -> bytes:
+        return self.file.read_at(size, offset)
+
     def seekable(self) -> bool:
         return True
 
