@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patloom.llm.registry import query, table
+from patloom.llm.registry import query, table, written
 from patloom.session import shared_folder
 from patloom.sources.archives import _open, located
 
@@ -171,14 +171,15 @@ def revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
     revisit it. A null payload is empty. Rows that repeat the response's id and payload are responses
     as well; where all ids of equal payloads are null, so are all of these. Equal payloads are counted in
     each task before they move; one that a third of all pages have is a skewed join key of narrow
-    rows, which Spark splits.
+    rows, which Spark splits: the responses are written first, so that both sides are shuffled for the join.
     """
     payload = F.coalesce(F.col("html"), F.lit(""))
     narrow = pages.select(
         F.col("page_id").cast("long").alias("page_id"), "url", F.sha2(payload, 256).alias("digest"), F.octet_length(payload).alias("n")
     ).filter(F.col("n") >= min_bytes)
     firsts = narrow.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("often"))
-    met = narrow.join(firsts.filter("often > 1"), "digest")
+    firsts = written(firsts.filter("often > 1").select("digest", "refers_to"), "responses")
+    met = narrow.join(firsts, "digest")
     later = F.col("refers_to").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("refers_to"))
     return met.filter(later).select(*KEY, "refers_to")
 
@@ -206,7 +207,7 @@ def write_archives(
         *KEY, F.lit(None).cast("long").alias("bytes"), F.lit(None).cast("binary").alias("record"), "refers_to"
     )
     met = bodies.unionByName(told).withColumn("shard", F.pmod(F.xxhash64(*KEY), F.lit(shards)).cast("long"))
-    ordered = met.repartition(shards, "shard").sortWithinPartitions("shard", *KEY, F.col("record").isNotNull())
+    ordered = met.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", *KEY, F.col("record").isNotNull())
     columns = ordered.select("shard", *KEY, "bytes", "refers_to", "record")
     columns.mapInArrow(_write(path, date), INDEX).write.parquet(index_path)
 
