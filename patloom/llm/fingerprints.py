@@ -259,7 +259,7 @@ def compared_with_edits(docs: DataFrame, key: str = "doc_id", text: str = "text"
     homeless = rows.filter("id IS NULL").select(
         (F.lit(count) + F.pmod(seal, F.lit(count))).cast("int").alias("bucket"), F.lit(0).alias("guest"), "id", "text"
     )
-    spread = dealt.unionByName(homeless).repartition(max(tasks, count), "bucket")
+    spread = dealt.unionByName(homeless).repartitionById(2 * count, "bucket")
     ordered = spread.sortWithinPartitions("bucket", F.desc("guest"), F.desc("id"), seal)
     return ordered.mapInArrow(_compare, f"doc_id {kind}, {RESULT}").withColumnRenamed("doc_id", key)
 
