@@ -13,8 +13,8 @@ n-gram sets form a class, and classes are joined:
    others have as well, act as pivots and are paired with all members that the bounds allow; what has been linked is
    one component, and further pivots are taken from the smallest components until no bucket
    holds two components with a pair that was not counted.
-4. Each pair is counted: the n-grams of either document that lie in one fragment are intersected, every
-   fragment on its own, and the partial overlaps are summed per pair.
+4. Each pair is counted once: the n-grams of either document that lie in one fragment are intersected, every
+   fragment on its own, and the partial overlaps are summed per pair. A pair that half of the fragments rule out reads no others.
 """
 
 from __future__ import annotations
@@ -134,19 +134,28 @@ def buckets(fragments: DataFrame) -> DataFrame:
 
 
 def overlaps(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
-    """(a, b, shared): n-grams that the sets of a pair share, counted by fragment and summed."""
+    """The pairs (a, b, na, nb, ...) with `more`, the n-grams that their sets share, and `seen_a`, `seen_b`, those that each has: counted by fragment and summed."""
     left = fragments.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("left"))
     right = fragments.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("right"))
     parts = pairs.join(left, "a").join(right, ["b", "fragment"])
     count = F.size(F.array_intersect("left", "right"))
-    return parts.select("a", "b", count.alias("shared")).groupBy("a", "b").agg(F.sum("shared").alias("shared"))
+    sums = (F.sum(value).alias(name) for value, name in ((count, "more"), (F.size("left"), "seen_a"), (F.size("right"), "seen_b")))
+    return parts.groupBy(*pairs.columns).agg(*sums)
 
 
 def linked(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
-    """The pairs (a, b, na, nb) of Jaccard 0.8 or more."""
-    union = F.col("na") + F.col("nb") - F.col("shared")
-    found = overlaps(pairs.select("a", "b"), fragments).join(pairs, ["a", "b"])
-    return found.filter(F.col("shared") * 100 >= union * 80).select("a", "b")
+    """The pairs (a, b, na, nb) of Jaccard 0.8 or more.
+
+    One half of the fragments is counted first. A pair that could not link even if all n-grams of the smaller rest were shared goes
+    no further.
+    """
+    half = F.col("fragment") < (1 << FRAGMENT_BITS - 1)
+    most = F.col("more") + F.least(F.col("na") - F.col("seen_a"), F.col("nb") - F.col("seen_b"))
+    first = overlaps(pairs, fragments.filter(half)).filter(close(F.col("na"), F.col("nb"), most))
+    rest = first.select("a", "b", "na", "nb", F.col("more").alias("shared"))
+    found = overlaps(written(rest, "halves"), fragments.filter(~half))
+    shared = F.col("shared") + F.col("more")
+    return found.filter(shared * 100 >= (F.col("na") + F.col("nb") - shared) * 80).select("a", "b")
 
 
 def fitting(rows: DataFrame) -> DataFrame:
@@ -176,7 +185,7 @@ def class_links(met: DataFrame, fragments: DataFrame, pivots: int = PIVOTS) -> D
     A bucket in which k members link with none of the others takes k rounds of pivots at most, four times
     as many in each round; every pair of unlinked members of a bucket is counted in the end.
     """
-    rows, labels = fitting(met).withColumn("label", F.col("node")), None
+    rows, labels, counted = fitting(met).withColumn("label", F.col("node")), None, None
     columns = ["token", "node", "n", "common"]
     while True:
         ranked, order = rows, [F.col("common") / F.col("n") * -1, F.col("node")]
@@ -185,7 +194,12 @@ def class_links(met: DataFrame, fragments: DataFrame, pivots: int = PIVOTS) -> D
             ranked, order = rows.join(sizes, ["token", "label"]), [F.col("size"), *order]
         first = F.row_number().over(W.partitionBy("token").orderBy(*order))
         chosen = written(ranked.withColumn("rank", first).filter(F.col("rank") <= pivots).select(*columns, "label"), "pivots")
-        links = linked(written(_pairs(rows, chosen), "pairs"), fragments)
+        pairs = _pairs(rows, chosen)
+        if counted is not None:
+            pairs = pairs.join(counted, ["a", "b"], "left_anti")  # no pair is counted twice
+        pairs = written(pairs, "pairs")
+        counted = pairs.select("a", "b") if counted is None else counted.unionByName(pairs.select("a", "b"))
+        links = linked(pairs, fragments)
         if labels is not None:
             links = links.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
         labels = components(links)

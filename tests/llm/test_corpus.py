@@ -235,3 +235,21 @@ def test_pipeline_of_odd_rows(spark, odd, nothing, tables):
             docs = corpus_pipeline.written(stage(spark, docs, tables), "odd")
             assert docs.columns == odd.columns
         assert corpus_pipeline.STAGES[-1][1](spark, docs, tables).count() == docs.count()
+
+
+def test_pairs_are_counted_once_and_half_of_the_fragments_rule_most_out(spark, monkeypatch):
+    rng = random.Random(9)
+    pool = [brute.sentence(rng, 12, 5000) for _ in range(40)]
+    rows = [(i, " ".join(rng.sample(pool, 30))) for i in range(60)]  # alike, but none links
+    sizes, plain = {"pairs": 0, "halves": 0}, jaccard.written
+
+    def watched(df, name):
+        table = plain(df, name)
+        if name in sizes:
+            sizes[name] += table.count()
+        return table
+
+    monkeypatch.setattr(jaccard, "written", watched)
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(as_table(spark, rows)).collect()}
+    assert got == {key: top for key, (_, top) in brute.components(rows).items()}
+    assert 0 < sizes["pairs"] <= 60 * 59 // 2 and sizes["halves"] < sizes["pairs"] / 4
