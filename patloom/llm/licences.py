@@ -6,7 +6,8 @@ has enough of its runs is out. In the others, a place is a window of at most `RE
 A softmax regression over word n-grams (one to three words) that licence notices have names its family, or
 unknown. It is trained here: on the notices below, with words left out and among words of the corpus, against
 paragraphs of a bounded sample of documents; a part that was held back sets its temperature, so that probabilities,
-that of unknown too, mean what they say. The place must hold enough of a notice of that family.
+that of unknown too, mean what they say. The place must hold enough of a notice of that family, and of those of its runs that tell it from
+other families.
 
 A paragraph is a line, cut into runs of at most `WORDS` words; it only says where in its text a notice stands.
 """
@@ -30,16 +31,21 @@ REACH = 2 * WORDS  # words of the widest place of a notice; the longest notice h
 GRAMS = (1, 2, 3)
 SAMPLE_DOCS = 200  # documents for the unknown class
 SAMPLE_BYTES = 20_000  # longest document of the sample
+SAMPLE_PARAGRAPHS = 4000  # of these documents, for the unknown class
+FILLER = (500, 40)  # lines of the sample, and words of each, that stand around notices in training
 VARIANTS = 12  # training paragraphs made of each notice
 STEPS = 150
 PROBABLE = 0.5
 CONFIRMED = 0.6  # share of a notice's three-word runs
+OWN = 0.5  # share of those of its runs that no other family's notice has
 
 # ---- Fixed values: notices of public licences ---------------------------------------------
 NOTICES = {
     "MIT": (
         "Released under the MIT License.",
         "This project is licensed under the terms of the MIT license.",
+        "Licensed under MIT.",
+        "available under the MIT license",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files, to deal in the Software without restriction, including without limitation the rights to "
         "use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software.",
@@ -53,6 +59,9 @@ NOTICES = {
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation, either version 3 of the License, or any later version.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+        "Distributed under the GNU General Public License v2.0 or later.",
     ),
     "LGPL": (
         "Licensed under the GNU Lesser General Public License, version 2.1.",
@@ -73,6 +82,12 @@ NOTICES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, version 2.0.",
     ),
+    "EPL": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+    ),
     "CC-BY-NC": (
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
@@ -159,11 +174,11 @@ class Model:
         pairs = np.unique(np.concatenate(parts))
         return pairs // len(self.grams), pairs % len(self.grams)
 
-    def probabilities(self, hashes: np.ndarray) -> np.ndarray:
-        """By family, of a place with these word hashes."""
+    def logits(self, hashes: np.ndarray) -> np.ndarray:
+        """By family, for a place with these word hashes."""
         grams = np.unique(np.concatenate([gram_hashes(hashes, k) ^ np.uint64(k) for k in GRAMS]))
         there = self.weights[:-1][np.isin(self.grams, grams)]
-        return _softmax((there.sum(axis=0) / np.sqrt(len(hashes)) + self.weights[-1])[None])[0]
+        return there.sum(axis=0) / np.sqrt(len(hashes)) + self.weights[-1]
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
@@ -185,7 +200,7 @@ def train(samples: list[str], seed: int = 0) -> Model:
     lines = [line for text in samples for line in text.split("\n") if line.strip()]
     other = paragraphs(pa.array(lines, pa.string()), values, powers)
     licensed = np.unique(other.at[3][0][np.isin(other.at[3][1], runs)])
-    filler = [word for line in lines[:500] for word in line.split()[:40]] or ["text"]
+    filler = [word for line in lines[: FILLER[0]] for word in line.split()[: FILLER[1]]] or ["text"]
     texts, labels = [], []
     for family, text in notices:
         for variant in range(VARIANTS):
@@ -209,7 +224,7 @@ def train(samples: list[str], seed: int = 0) -> Model:
             if found is made and (owner == p).sum() < 4:  # the rest of a cut notice
                 continue
             rows.append((gram[owner == p], found.words[p], of[p]))
-            if found is other and len(rows) > 4000:
+            if found is other and len(rows) > SAMPLE_PARAGRAPHS:
                 break
     rows.append((np.zeros(0, np.int64), 1, len(FAMILIES) - 1))
     x = np.zeros((len(rows), len(grams) + 1), np.float32)
@@ -251,6 +266,9 @@ class Scanner:
         self.has = np.array([np.isin(self.runs, own) for _, _, own in model.notices]).T  # (runs, notices)
         self.size = self.has.sum(axis=0)
         self.least = np.ceil(CONFIRMED * self.size - 1e-9).astype(int)
+        family = np.array([of for of, _, _ in model.notices])
+        others = np.array([self.has[:, family != of].any(axis=1) for of in family]).T
+        self.own = self.has & ~others  # what tells a notice from those of other families
         self.slots = np.zeros(1 << 16, bool)
         self.slots[(self.runs >> np.uint64(48)).astype(np.int64)] = True
 
@@ -279,6 +297,26 @@ class Scanner:
                 stop = at[j] + 3
         return len(seen), stop
 
+    def named(self, hashes: np.ndarray, there: np.ndarray) -> tuple[int, int, float, float] | None:
+        """(family, notice, probability, share) of a place with these words and known runs; None for no licence.
+
+        The classifier names a family and a notice of it has to be there. Where the runs that tell this notice from those of other
+        families are missing, the family is out, and the classifier chooses among the rest.
+        """
+        logits, shares = self.model.logits(hashes), self.has[there].sum(axis=0) / self.size
+        while True:
+            chances = _softmax(logits[None])[0]
+            family = int(chances.argmax())
+            if family == len(NOTICES) or chances[family] < PROBABLE:
+                return None
+            share, best = max((shares[k], -k) for k, (of, _, _) in enumerate(self.model.notices) if of == family)
+            if share < CONFIRMED:
+                return None
+            own = self.own[:, -best]
+            if own[there].sum() >= OWN * own.sum():
+                return family, -best, float(chances[family]), float(share)
+            logits[family] = -np.inf
+
     def places(self, hashes: np.ndarray, at: np.ndarray, place: np.ndarray) -> Iterator[tuple[int, int, int, int, float, float]]:
         """(first word, end, family, notice, probability, share) of one text: apart from each other, those of most runs first."""
         own = {}
@@ -305,23 +343,19 @@ class Scanner:
                 if not taken[begin - base]:
                     offer(notice, i)
                 continue
-            chances = self.model.probabilities(hashes[begin : begin + length])
-            family = int(chances.argmax())
-            if family == len(NOTICES) or chances[family] < PROBABLE:
-                continue
             a, b = np.searchsorted(at, [begin, begin + length - 2])
-            there = self.has[np.unique(place[a:b])].sum(axis=0)
-            share, best = max((there[k] / self.size[k], -k) for k, (of, _, _) in enumerate(self.model.notices) if of == family)
-            if share < CONFIRMED:
+            there = np.unique(place[a:b])
+            named = self.named(hashes[begin : begin + length], there)
+            if named is None:
                 continue
-            best = -best
+            family, best, chance, share = named
             of = np.flatnonzero(self.has[place[a:b], best]) + a
             starts, runs = at[of].tolist(), place[of].tolist()
             # Of all windows with these runs, the shortest.
             found = [(-n, stop - starts[k], starts[k]) for k in range(len(of)) for n, stop in [self.window(starts, runs, k, begin + length)]]
             _, length, begin = min(found)
             taken[begin - base : begin - base + length] = True
-            yield begin, begin + length, family, best, float(chances[family]), float(share)
+            yield begin, begin + length, family, best, chance, share
 
 
 PUNCTUATION = bytes(x for x in range(33, 127) if not chr(x).isalnum())

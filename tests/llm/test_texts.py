@@ -168,3 +168,19 @@ def test_warc_of_odd_pages(spark, tmp_path):
     assert sorted(r.page_id for r in one) == [4, 8]
     warc.write_archives(df.limit(0), str(tmp_path / "e"), str(tmp_path / "ei"))
     assert warc.read_records(warc.read_index(spark, str(tmp_path / "ei"))).collect() == []
+
+
+def test_licences_that_look_like_others_and_short_ones(spark):
+    rng = random.Random(6)
+    filler = lambda: " ".join(f"word{rng.randrange(900)}" for _ in range(40))
+    header = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."
+    library = "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License."
+    older = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; version 1 of it, no other."
+    told = [(header, {"GPL"}), (library, {"LGPL"}), (older, {"GPL"}), ("This code is available under the MIT license, see the LICENSE file.", {"MIT"}), ("Licensed under MIT.", {"MIT"}), ("Distributed under the GNU General Public License v2.0 or later.", {"GPL"}), ("This is free and unencumbered software released into the public domain.", {"Unlicense"}), ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at their site.", {"EPL"})]
+    told += [("He was granted a license to marry, free of charge, to any person.", set()), ("The terms of the public, as published by the foundation.", set())]
+    rows = [(i, f"{filler()}\n{textwrap.fill(text, 60)}\n{filler()}") for i, (text, _) in enumerate(told)]
+    found = {}
+    for r in licences.licence_notices(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found.setdefault(r.doc_id, set()).add(r.family)
+    assert found.pop(2, {"GPL"}) == {"GPL"}  # a header of no known version may stay unknown, but is none of LGPL
+    assert [found.get(i, set()) for i in range(len(told)) if i != 2] == [families for i, (_, families) in enumerate(told) if i != 2]
