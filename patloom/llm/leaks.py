@@ -182,40 +182,52 @@ def places(docs: DataFrame, items: DataFrame, doc: str = "doc_id", item: str = "
         "seal",
         "item",
         (F.col("at") - F.col("item_at")).alias("shift"),
+        (F.col("size") < 0).alias("real"),
+        (F.abs("size") < LEAST).alias("short"),
         "at",
         (F.col("at") + F.abs("size")).alias("end"),
         F.arrays_zip("told", "slots").alias("pairs"),
     )
-    # A match holds no more windows than its item has; sets, so that repeated rows do not add up.
+    # A match holds no more windows than its item has; sets, so that repeated rows do not add up. Windows of real words are
+    # judged on their own: they stand there word for word, whatever the slots beside them hold.
     match = ("id", "seal", "item", "shift")
-    windows = met.groupBy(*match, "at").agg(F.max("end").alias("end"), F.flatten(F.collect_set("pairs")).alias("pairs"))
+    own = (*match, "real")
+    windows = met.groupBy(*own, "at").agg(F.max("end").alias("end"), F.bool_and("short").alias("short"), F.flatten(F.collect_set("pairs")).alias("pairs"))
     # Windows that touch are a run.
-    order = Window.partitionBy(*match).orderBy("at")
+    order = Window.partitionBy(*own).orderBy("at")
     before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     begins = windows.withColumn("begins", (F.col("at") > before).cast("int"))
-    runs = begins.withColumn("run", F.sum(F.coalesce("begins", F.lit(1))).over(order)).groupBy(*match, "run")
+    runs = begins.withColumn("run", F.sum(F.coalesce("begins", F.lit(1))).over(order)).groupBy(*own, "run")
     gathered = runs.agg(
         F.min("at").alias("first_word"),
         F.max("end").alias("end_word"),
         F.count("*").cast("int").alias("windows"),
+        F.bool_and("short").alias("short"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
     )
     consistent = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda pair: pair["told"])))
     same = F.forall("pairs", lambda pair: pair["told"] == pair["slots"])
+    count = lambda side: F.coalesce(F.sum(F.when(side, F.col("windows"))), F.lit(0))
     matches = gathered.filter(consistent).groupBy(*match).agg(
-        F.min("first_word").alias("first_word"), F.max("end_word").alias("end_word"), F.sum("windows").cast("int").alias("windows"), F.bool_and(same).alias("same")
+        F.min("first_word").alias("first_word"),
+        F.max("end_word").alias("end_word"),
+        F.greatest(count(F.col("real")), count(~F.col("real"))).cast("int").alias("windows"),
+        F.bool_and("short").alias("short"),
+        F.bool_and(same).alias("same"),
     )
-    return matches.select("id", "seal", "item", "first_word", "end_word", "windows", F.when(F.col("same"), "exact").otherwise("reparameterised").alias("kind"))
+    kind = F.when(F.col("short"), "short").when(F.col("same"), "exact").otherwise("reparameterised")
+    return matches.select("id", "seal", "item", "first_word", "end_word", "windows", kind.alias("kind"))
 
 
 def leaks(docs: DataFrame, items: DataFrame, doc: str = "doc_id", item: str = "item_id", text: str = "text") -> DataFrame:
     """(doc, item, first_word, end_word, windows, kind): where an item stands in a document.
 
-    `kind` is `exact` where the slots hold the same, else `reparameterised`. Words are counted without
+    `kind` is `short` for an item of fewer than 5 words, which may stand anywhere by chance; `exact` where the windows found
+    hold the same in their slots, else `reparameterised`. Words are counted without
     those that are punctuation only. Items with the same words and placeholders throughout are one, known by the least id. An item or document
     that is null or has no words matches nothing. All windows match equal real words, whatever their number and
-    case; those of 5 words or more that are not mostly placeholders match with other slots too. Within a run of windows that
-    touch, each value of the item must have one value in the document. Rows of one document id and equal text
+    case; those of 5 words or more that are not mostly placeholders match with other slots too. Within a run of such windows that
+    touch, each value of the item must have one value in the document; windows of equal real words count whatever stands beside them. Rows of one document id and equal text
     count together, rows of other texts on their own, also without an id.
     """
     return places(docs, items, doc, item, text).drop("seal").withColumnsRenamed({"id": doc, "item": item})

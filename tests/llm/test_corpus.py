@@ -134,12 +134,23 @@ def test_leaks_with_other_slots(spark, odd, nothing):
     ]
     found = leaks.leaks(as_table(spark, rows), items).collect()
     assert sorted(((r.doc_id, r.item_id, r.kind) for r in found), key=repr) == sorted(
-        [(1, 1, "exact"), (3, 1, "reparameterised"), (6, 6, "exact"), (None, 1, "exact"), (2, 1, "reparameterised")], key=repr
+        [(1, 1, "exact"), (3, 1, "reparameterised"), (4, 1, "exact"), (6, 6, "exact"), (None, 1, "exact"), (2, 1, "reparameterised")], key=repr
     )
     assert leaks.leaks(odd, items).collect() == [] and leaks.leaks(nothing, items).collect() == []
     assert leaks.leaks(odd, items.limit(0)).collect() == []
 
 
+def test_leaks_word_for_word_beside_another_slot_and_short_items(spark, tmp_path):
+    item = "one day a farmer bought 3 cows and 3 goats from the old man who lived behind the hill with his three sons"
+    docs = [(1, "It began so: " + item.replace("3 goats", "4 goats")), (2, "a zugzwang in chess"), (3, "who was napoleon? nobody knows")]
+    items = [(1, item), (2, "Zugzwang"), (3, "Who was Napoleon?")]
+    found = leaks.leaks(as_table(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id, r.kind) for r in found) == [(1, 1, "exact"), (2, 2, "short"), (3, 3, "short")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    left = corpus_pipeline.decontamination(spark, as_table(spark, docs), str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in left) == [2, 3]
+
+
 def found_pairs(spark, docs, items):
     found = leaks.leaks(as_table(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
     return sorted((r.doc_id, r.item_id) for r in found)
