@@ -20,7 +20,9 @@ from patloom.llm.repeats import repeated_spans, without_spans
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the classifier accepts. It learns from the labels of those that are not held out."""
+    """The documents that the classifier accepts. It learns from the labels of those that are not held out.
+
+    A null text is judged as an empty one, every row on its own; rows without an id are judged as well and never learned from."""
     return accepted(docs, table(spark, sf_dir, "labels"))
 
 
@@ -37,8 +39,10 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without benchmark items, also re-parameterised ones. Rows go by id and text: others of their id stay, and no id is an id."""
-    found = written(places(docs, table(spark, sf_dir, "benchmark")).select(F.col("id").alias("leaking_id"), F.col("seal").alias("leaking_seal")).distinct(), "leaking")
+    """The documents without benchmark items, also re-parameterised ones. Rows go by id and text: others of their id stay, and no id is an id.
+
+    Items of fewer than 5 words stand anywhere by chance: a document that has nothing else of the benchmark stays."""
+    found = written(places(docs, table(spark, sf_dir, "benchmark")).filter("kind <> 'short'").select(F.col("id").alias("leaking_id"), F.col("seal").alias("leaking_seal")).distinct(), "leaking")
     sealed = docs.withColumn("leaking_seal", F.xxhash64(F.col("text").cast("string")))
     maybe, rest = parted(sealed, found, "leaking_seal")
     same = maybe["doc_id"].eqNullSafe(found["leaking_id"]) & (maybe["leaking_seal"] == found["leaking_seal"])
@@ -46,7 +50,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of every text, with their number and digests of ids and decoded text."""
+    """The ids of every text, with their number and digests of ids and decoded text. A null text has no ids; every row has a row."""
     return round_trip(docs, *public_vocabulary(), with_ids=True)
 
 
