@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from patloom.operators.dedup import first_by_key
@@ -14,15 +13,21 @@ from patloom.schemas import ORIGIN
 GROUP_BYTES = 16 << 20  # of a row group, where ranges are to be read
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at a path, as the file system says."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(at)
+
+
 def read_or_none(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
-    """The table at a path; None only where the path does not exist. Any other problem is raised."""
+    """The table at a path; None only where the path does not exist. Any other problem is raised.
+
+    The file system is asked first: a read that fails is also told to Spark's listeners, which log it as an error.
+    """
+    if not exists(spark, path):
+        return None
     reader = spark.read if schema is None else spark.read.schema(schema)
-    try:
-        return reader.parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return reader.parquet(path)
 
 
 def write_weekly(df: DataFrame, path: str, by: Sequence[str] = ("year", "week"), balance: bool = True) -> None:

@@ -39,6 +39,7 @@ CLOSING_TAG = r"</us-patent-[a-z-]+>"
 
 SLICE_BYTES = 32 << 20  # members of an archive that start in the same slice are read together
 TASKS_PER_CORE = 100  # at most; slices are dealt to tasks, so a task may have several
+AHEAD_BYTES = 128 << 10  # of a file, read at once
 BATCH_BYTES = 16 << 20  # size at which a batch of entries is handed to Spark
 
 MEMBERS = "path string, member string, offset bigint, size bigint, error string"
@@ -58,12 +59,18 @@ def located(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(f"{scheme}://{quote(rest)}")
 
 
-class _File:
+class _Raw(io.RawIOBase):
     """An input file that takes offsets as files in memory do: what bad bytes ask for is no fault of the file system."""
 
     def __init__(self, file: pa.NativeFile) -> None:
         self.file, self.end, self.at = file, file.size(), 0
 
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
     def seek(self, offset: int, whence: int = 0) -> int:
         if whence == 0 and offset < 0:
             raise ValueError(f"negative seek value {offset}")
@@ -73,36 +80,29 @@ class _File:
     def tell(self) -> int:
         return self.at
 
-    def read(self, size: int | None = -1) -> bytes:
-        left = max(0, self.end - self.at)
-        size = left if size is None or size < 0 else min(size, left)
-        if not size:
-            return b""
-        self.file.seek(self.at)
-        data = self.file.read(size)
+    def readinto(self, into) -> int:
+        data = self.file.read_at(min(len(into), self.end - self.at), self.at) if self.at < self.end else b""
+        into[: len(data)] = data
         self.at += len(data)
-        return data
-
-    def read_at(self, size: int, offset: int) -> bytes:
-        return self.file.read_at(size, offset)
-
-    def seekable(self) -> bool:
-        return True
+        return len(data)
 
     def close(self) -> None:
-        self.file.close()
+        if not self.closed:
+            self.file.close()
+        super().close()
+
 
-    def __enter__(self) -> _File:
-        return self
+class _File(io.BufferedReader):
+    """Reads ahead, since archives are read in small pieces."""
 
-    def __exit__(self, *problem) -> None:
-        self.close()
+    def read_at(self, size: int, offset: int) -> bytes:
+        return self.raw.file.read_at(size, offset)
 
 
 def _open(path: str) -> _File:
     """A seekable file on whatever file system the path names."""
     filesystem, inside = located(path)
-    return _File(filesystem.open_input_file(inside))
+    return _File(_Raw(filesystem.open_input_file(inside)), AHEAD_BYTES)
 
 
 # What bad bytes give. Everything else, a file system that fails above all, is raised: Spark tries again.
