@@ -382,10 +382,10 @@ def _slices(opened, outer: zipfile.ZipFile, entry: zipfile.ZipInfo, span: int) -
     """The slices of an entry: where each can be taken up, and which documents are its own.
 
     A slice begins behind the first closing tag after a restart point, and ends where the next one begins.
-    An entry that is not deflated, or encrypted, is one slice, which is read from its begin.
+    An entry that is short, not deflated, or encrypted, is one slice: it is not read here, and known by its place in the file.
     """
-    if entry.compress_type != zipfile.ZIP_DEFLATED or entry.flag_bits & 1:
-        return [{}]
+    if entry.compress_size <= span or entry.compress_type != zipfile.ZIP_DEFLATED or entry.flag_bits & 1:
+        return [{"begin": entry.header_offset}]
     try:
         return _sliced(opened, entry, span, "utf-8")
     except UnicodeDecodeError:  # one bad byte anywhere decides for the whole entry
@@ -446,7 +446,8 @@ def _slice_documents(opened, row: dict) -> Iterator[dict]:
     """The documents of a slice, with their places in the entry."""
     if row["at"] is None:
         outer = zipfile.ZipFile(opened)
-        yield from _documents(outer, outer.getinfo(row["entry"]))
+        entry = next(info for info in outer.infolist() if info.header_offset == row["begin"])  # names may repeat
+        yield from _documents(outer, entry)
         return
     point = restart.Point(row["bit"], row["out"], row["window"] or b"")
     blocks = restart.resumed(_reader(opened, row["at"]), row["size"], point)
@@ -476,8 +477,11 @@ def _read_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield {**named, "error": row["error"]}
                     continue
                 with _open(row["path"]) as opened:
-                    for document in _slice_documents(opened, row):
-                        yield {**named, **document}
+                    try:
+                        for document in _slice_documents(opened, row):
+                            yield {**named, **document}
+                    except CONTENT_ERRORS as problem:  # of an entry that was not read before
+                        yield {**named, "error": _reason(problem)}
 
     yield from _batches(rows(), _schema(DOCUMENTS), sized="xml")
 
@@ -491,7 +495,7 @@ def read_flat(archives: DataFrame, tasks: int | None = None) -> DataFrame:
 def index_flat(archives: DataFrame, tasks: int | None = None, span: int = restart.SPAN) -> DataFrame:
     """The slices of the entries of flat zips, about `span` packed bytes each: where a task can take an entry up.
 
-    Every archive is unpacked once, by one task, which keeps some 32 KB per slice. What cannot be read is a row with its error.
+    Every archive with longer entries is unpacked once, by one task, which keeps some 32 KB per slice. What cannot be read is a row with its error.
     """
     return archives.select("path").repartition(_tasks(archives, tasks)).mapInArrow(_index(span), INDEX)
 

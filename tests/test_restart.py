@@ -64,6 +64,17 @@ def test_slices_give_the_same_documents(spark, tmp_path, encoding):
     assert got == rows(whole) and len(got) == 2830
 
 
+@pytest.mark.filterwarnings("ignore:Duplicate name")
+def test_short_entries_are_read_once_and_names_may_repeat(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "ipg240102.zip", "w", zipfile.ZIP_DEFLATED) as out:
+        for seed in (1, 2):
+            out.writestr("same.xml", entry(seed, 4))
+    files = list_files(spark, str(tmp_path))
+    assert index_flat(files).filter("at IS NULL AND window IS NULL").count() == 2
+    got = [r.xml for r in read_flat_documents(files).collect()]
+    assert len(got) == 8 and len(set(got)) == 8
+
+
 def test_one_archive_is_read_by_many_tasks(spark, tmp_path):
     archive(tmp_path / "ipg240102.zip", {"one.xml": entry(1, 3000).encode()})
     documents = read_flat_documents(list_files(spark, str(tmp_path)), span=60_000)
