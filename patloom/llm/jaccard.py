@@ -280,7 +280,26 @@ def one_per_component(docs: DataFrame, key: str = "doc_id", text: str = "text")
     return rest.unionByName(alone).unionByName(repeated.filter("at = 1").select("row.*"))
 
 
-@query("op6_jaccard")
+# All pairs that share a run, counted whole, and what links reach.
+OP6 = r"""
+with recursive told as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as words
+  from documents),
+runs as (
+  select distinct doc_id, case when len(words) >= 5 then array_to_string(words[i + 1:i + 5], ' ') else array_to_string(words, ' ') end as run
+  from (select doc_id, words, unnest(range(greatest(1, len(words) - 4))) as i from told where len(words) > 0)),
+sizes as (select doc_id, count(*) as n from runs group by doc_id),
+pairs as (select a.doc_id as a, b.doc_id as b, count(*) as shared from runs a join runs b on a.run = b.run and a.doc_id < b.doc_id group by a.doc_id, b.doc_id),
+links as (
+  select a, b from pairs join sizes na on na.doc_id = a join sizes nb on nb.doc_id = b where 100 * shared >= 80 * (na.n + nb.n - shared)),
+edges as (select a, b from links union all select b, a from links),
+reached as (select a as doc_id, b as other from edges union select r.doc_id, e.b from reached r join edges e on e.a = r.other)
+select t.doc_id, coalesce(any_value(s.n), 0) as n_shingles, least(t.doc_id, coalesce(min(r.other), t.doc_id)) as component_id
+from told t left join sizes s using (doc_id) left join reached r using (doc_id) group by t.doc_id
+"""
+
+
+@query("op6_jaccard", OP6)
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents by their distinct five-word runs."""
     return jaccard_components(table(spark, sf_dir, "documents"))
