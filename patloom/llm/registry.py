@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from patloom.session import shared_folder
+from patloom.session import shared_folder, small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,21 +29,14 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 BATCH_ROWS = 1000  # whole texts are wide rows: few of them make a full Arrow batch
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound what a Python worker holds at once, unless the session has its own bound."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    small_batches(spark)
+    small_batches(spark, BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the shared folder: computed once, safe from lost executors."""
-    small_batches(df.sparkSession)
+    small_batches(df.sparkSession, BATCH_ROWS)
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
