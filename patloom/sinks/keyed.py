@@ -17,12 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patloom.operators.dedup import first_by_key
-from patloom.operators.skip import not_done
+from patloom.operators.skip import existing, not_done
 from patloom.schemas import ORIGIN
 from patloom.sinks.tables import read_or_none
 
 BITS_PER_KEY = 16
 MOST_BITS = 1 << 26  # of a file's filter, 8 MB
+MOST_ROWS = 1000  # of one key, that may go to a task before the first is picked
 MOST_KEYS = 1 << 20  # incoming keys that are sent to the tasks; with more of them only the ranges choose
 PROBES = (1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -127,14 +128,30 @@ def insert_by_index(
 ) -> None:
     """As `insert_if_absent`: append the first row of each key that the table does not hold, in one atomic write.
 
-    Of the table only the files that may hold an incoming key are opened, and of these the key column. `incoming` is
-    read twice, so give a table. A null key is never there. There must be one writer at a time.
+    Of the table only the files that may hold an incoming key are opened, and of these the key column. What is there already is
+    found by keys alone, so no row moves where nothing is new. Rows move once, to their range of the key, where the first is
+    picked and sorted in; a key of very many rows is reduced in each task before. `incoming` is read several times, so give a
+    table. A null key is never there. There must be one writer at a time.
     """
     spark = incoming.sparkSession
     kept = incoming.select(*columns) if columns else incoming
     files = candidate_files(incoming, path, key)
-    fresh = first_by_key(incoming, [key], order)
-    rows = not_done(fresh, spark.read.schema(kept.schema).parquet(*files), [key], unique=True) if files else fresh
+    counted = incoming.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("often"))
+    sizes = counted.agg(F.count("key").alias("keys"), F.max("often").alias("most")).first()
+    rows = _absent(incoming, spark.read.schema(kept.schema).parquet(*files), key, sizes["keys"]) if files else incoming
+    if (sizes["most"] or 0) > MOST_ROWS:
+        rows = first_by_key(rows, [key], order).repartitionByRange(key)
+    else:  # a range holds all rows of a key, so neither the choice nor the sort needs another shuffle
+        rows = first_by_key(rows.repartitionByRange(key), [key], order)
     rows = rows.select(*columns) if columns else rows
-    rows.repartitionByRange(key).sortWithinPartitions(key).write.mode("append").parquet(path)
+    rows.sortWithinPartitions(key).write.mode("append").parquet(path)
     update_index(spark, path, key)
+
+
+def _absent(incoming: DataFrame, target: DataFrame, key: str, keys: int) -> DataFrame:
+    """The rows whose key the target does not hold; `keys` is how many there are. Only where some are held and some not, rows move."""
+    held = existing(target, incoming, [key]).select(key).distinct()
+    known = held.count()
+    if not known:
+        return incoming
+    return incoming.filter(F.col(key).isNull()) if known == keys else not_done(incoming, held, [key], unique=True)

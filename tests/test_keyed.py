@@ -79,3 +79,28 @@ def test_number_keys_and_a_choice_of_columns(spark, tmp_path):
         df = spark.range(50).select((F.col("id") % 30).alias("doc_id"), F.col("id").alias("at"), F.lit("n").alias("note"))
         insert_by_index(df, path, order=ORDER, columns=["doc_id", "note"])
     assert spark.read.parquet(path).columns == ["doc_id", "note"] and spark.read.parquet(path).count() == 30
+
+
+def test_rows_move_once_and_not_at_all_where_nothing_is_new(spark, tmp_path, monkeypatch):
+    staged, path, joined, ranged = str(tmp_path / "staged"), str(tmp_path / "table"), [], []
+    batch(spark, [f"EP{i:06d}" for i in range(2000)]).write.parquet(staged)
+    rows = spark.read.parquet(staged)
+    plain = keyed.first_by_key
+    monkeypatch.setattr(keyed, "first_by_key", lambda df, *more: ranged.append((df, plain(df, *more))) or ranged[-1][1])
+    monkeypatch.setattr(keyed, "not_done", lambda df, *more, **options: joined.append(df))
+    for _ in range(2):
+        insert_by_index(rows, path, order=ORDER)
+    exchanges = [picked._jdf.queryExecution().executedPlan().toString().count("Exchange ") for _, picked in ranged]
+    assert exchanges == [1, 1] and not joined
+    assert [df.count() for df, _ in ranged] == [2000, 0]
+    assert spark.read.parquet(path).count() == 2000
+
+
+@pytest.mark.parametrize("most", [0, 1000])
+def test_repeated_keys_and_a_table_that_holds_some(spark, tmp_path, most, monkeypatch):
+    monkeypatch.setattr(keyed, "MOST_ROWS", most)
+    path = str(tmp_path / "table")
+    insert_by_index(batch(spark, ["a", "b"], 0), path, order=ORDER)
+    insert_by_index(batch(spark, [None, "c", "b", "c", None, "d", "a"], 10), path, order=ORDER)
+    got = sorted(((r.doc_id, r.at) for r in spark.read.parquet(path).collect()), key=repr)
+    assert got == sorted([("a", 0), ("b", 1), (None, 10), ("c", 11), ("d", 15)], key=repr)
