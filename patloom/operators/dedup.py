@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from patloom.schemas import ORIGIN
 
-MOST_SEEN = 1_000_000  # keys that a task remembers
+MOST_SEEN = 100_000  # keys that a task remembers, some 50 MB
 
 def _one_by_key(df: DataFrame, partition: Sequence[str | Column], order: Sequence[Column]) -> DataFrame:
     # Spark keeps one row per key and task before the shuffle (WindowGroupLimit, Partial), so a key
