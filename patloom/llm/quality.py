@@ -259,7 +259,8 @@ def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, t
     """
     marks = labels.filter("quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("label"))
     marks = written(marks.filter(~held_out(F.col("doc_id"))), "marks")
-    stats = document_statistics(docs, text=text, among=marks)
+    # Written, so that no task has the workers of two Python steps, which stay alive beside those of later stages.
+    stats = written(document_statistics(docs, text=text, among=marks), "statistics")
     model = fit(stats.join(marks, "doc_id").select("label", "stats"))
     odds, classes = model.odds, model.classes
 
