@@ -14,12 +14,14 @@ import xml.etree.ElementTree as ET
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from patloom.functions.xmlbatch import read_plain
 from patloom.functions.xmlpull import Puller
 
 
@@ -151,14 +153,16 @@ def xml_struct(picks: Sequence[Pick]) -> Callable[[Column], Column]:
     """A function from a column of XML (string, or binary in its declared encoding) to a struct.
 
     The struct has one field per pick, and `error`: null, or why the document could not be
-    parsed, in which case the other fields are null. A bad document never fails the job. A document is read
-    in one pass (`xmlpull`); one that this does not decide is made a tree of.
+    parsed, in which case the other fields are null. A bad document never fails the job. The plain documents of a batch
+    are read together (`xmlbatch`), others in one pass each (`xmlpull`); one that neither decides is made a tree of.
     """
     picks = tuple(picks)
     result = T.StructType([T.StructField(pick.name, pick.spark_type()) for pick in picks]).add("error", "string")
 
-    @F.arrow_udf(result)
-    def parse(documents: pa.Array) -> pa.Array:
+    kinds = [to_arrow_type(pick.spark_type()) for pick in picks]
+
+    def singly(documents: pa.Array) -> list[pa.Array]:
+        """The columns of documents that are read one by one, the errors last."""
         puller, found, errors = _puller(picks), [], []
         collecting = gc.isenabled()
         gc.disable()  # there are no cycles, and a batch of values is many objects to walk
@@ -178,6 +182,21 @@ def xml_struct(picks: Sequence[Pick]) -> Callable[[Column], Column]:
             if collecting:
                 gc.enable()
         columns = [_column(pick, [values[i] for values in found]) for i, pick in enumerate(picks)]
-        return pa.StructArray.from_arrays([*columns, pa.array(errors, pa.string())], fields=list(to_arrow_type(result)))
+        return [*columns, pa.array(errors, pa.string())]
+
+    @F.arrow_udf(result)
+    def parse(documents: pa.Array) -> pa.Array:
+        read = read_plain(_puller(picks), documents, kinds)
+        if read is None:
+            columns = singly(documents)
+        else:
+            columns, plain = [*read[0], pa.nulls(len(documents), pa.string())], read[1]
+            if not plain.all():
+                # Each row from the one reading or the other.
+                other = np.cumsum(~plain) - 1 + len(documents)
+                place = pa.array(np.where(plain, np.arange(len(documents)), other))
+                rest = singly(documents.filter(pa.array(~plain)))
+                columns = [pa.concat_arrays([one, two]).take(place) for one, two in zip(columns, rest)]
+        return pa.StructArray.from_arrays(columns, fields=list(to_arrow_type(result)))
 
     return parse
