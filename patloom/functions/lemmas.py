@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patloom.operators.rows import explode_once
+from patloom.session import shared_folder
 
 # ---- Fixed values: noun endings and what replaces them -----------------------------------
 NOUN_ENDINGS = (
@@ -32,28 +33,30 @@ BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
 
 
+def _replaced(lists: pa.Array, words: pa.Array, lemma_of: pa.Array) -> pa.Array:
+    """Lists of tokens with the lemma in place of each token that is among the words."""
+    flat = lists.flatten()
+    swapped = pc.coalesce(lemma_of.take(pc.index_in(flat, value_set=words)), flat)
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
+    return pa.ListArray.from_arrays(offsets, swapped, mask=lists.is_null())
+
+
 def _lookup(df: DataFrame, tokens: str, out: str, table: pa.Table) -> DataFrame:
     known = df.sparkSession.sparkContext.broadcast((table["word"].combine_chunks(), table["lemma"].combine_chunks()))
 
     @F.arrow_udf("array<string>")
     def replaced(lists: pa.Array) -> pa.Array:
-        words, lemma_of = known.value
-        flat = lists.flatten()
-        swapped = pc.coalesce(lemma_of.take(pc.index_in(flat, value_set=words)), flat)
-        lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-        offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
-        return pa.ListArray.from_arrays(offsets, swapped, mask=lists.is_null())
+        return _replaced(lists, *known.value)
 
     return df.withColumn(out, replaced(F.col(tokens)))
 
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
 def _swapped(lists: pa.Array, changes: pa.Array) -> pa.Array:
-    rows = []
-    for tokens, pairs in zip(lists.to_pylist(), changes.to_pylist()):
-        lemma_of = {pair["word"]: pair["lemma"] for pair in pairs or ()}
-        rows.append([lemma_of.get(token, token) for token in tokens] if lemma_of else tokens)
-    return pa.array(rows, pa.list_(pa.string()))
+    # A word has one lemma everywhere, so the changes of all rows of a batch may be looked up as one table.
+    pairs = changes.flatten()
+    return _replaced(lists, pairs.field("word"), pairs.field("lemma"))
 
 
 def _join(df: DataFrame, tokens: str, out: str, lemmas: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -77,13 +80,15 @@ def lemmatise(
 ) -> DataFrame:
     """Replace each token by its lemma, if the table (word, lemma) has one; of several the least.
 
-    The table is measured first. One within the bounds goes to every executor and is looked up
+    The table is written to the shared folder once and measured. One within the bounds goes to every executor and is looked up
     per Arrow batch, with no shuffle. A larger one is joined on the distinct words of each row, and
     the words to change go back to their row by `keys`; Spark splits hot words (AQE skew join). Both
     ways give the same rows, also where keys repeat or are null.
     """
     changing = lemmas.filter("word IS NOT NULL AND lemma IS NOT NULL").groupBy("word").agg(F.min("lemma").alias("lemma"))
-    changing = changing.filter(F.col("word") != F.col("lemma"))
+    path = shared_folder(df.sparkSession, "lemmas")
+    changing.filter(F.col("word") != F.col("lemma")).write.parquet(path)
+    changing = df.sparkSession.read.schema("word string, lemma string").parquet(path)
     size = changing.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(F.octet_length("word") + F.octet_length("lemma")), F.lit(0)).alias("bytes"),
