@@ -28,8 +28,8 @@ def _changes(batch: pa.RecordBatch, keys: Sequence[str]) -> np.ndarray:
     return out
 
 
-def _compare(keys: list[str], order: list[str], single: bool):
-    """Rows in order to rows with the `order` values of the first one of their key, and whether they are alone.
+def _compare(keys: list[str], firsts: list[str], single: bool):
+    """Rows in order to rows with the `firsts` values of the first one of their key, and whether they are alone.
 
     Without `single`, rows that are alone, and not at a border of the task, are left out.
     """
@@ -40,9 +40,9 @@ def _compare(keys: list[str], order: list[str], single: bool):
         # `held` is the last row so far: whether it is alone, the next one tells. `opened`: it begins its key.
 
         def out(rows: pa.RecordBatch, first: np.ndarray, alone: np.ndarray, begins: pa.RecordBatch, border: np.ndarray) -> pa.RecordBatch:
-            heads = [begins.column(c).take(pa.array(first)) for c in order]
+            heads = [begins.column(c).take(pa.array(first)) for c in firsts]
             columns = [*rows.columns, *heads, pa.array(alone), pa.array(np.full(len(rows), task, np.int32))]
-            whole = pa.RecordBatch.from_arrays(columns, [*rows.schema.names, *(f"first_{c}" for c in order), "alone", "task"])
+            whole = pa.RecordBatch.from_arrays(columns, [*rows.schema.names, *(f"first_{c}" for c in firsts), "alone", "task"])
             return whole if single else whole.filter(pa.array(~alone | border))
 
         for batch in batches:
@@ -70,21 +70,17 @@ def _compare(keys: list[str], order: list[str], single: bool):
     return run
 
 
-def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, single: bool = True) -> DataFrame:
-    """Add to each row `first_<column>` for the columns in `order`, of the first row of equal `keys`, and `alone`.
+def _compared(df: DataFrame, keys: list[str], order: list[str], firsts: list[str], name: str, single: bool) -> tuple[DataFrame, DataFrame]:
+    """The rows as a written table, each compared within its task, and what is true of keys with rows in several tasks.
 
-    First is meant in ascending `order`; `alone` says that no other row has the key. Keys are not null. Without `single`, rows
-    that are alone are left out. The result is a written table; the input is read twice, so give a written one or a cheap view
-    of it.
+    The second table is (task, keys, true_<column> for the columns in `firsts`), sent to the executors.
     """
-    keys, order = list(keys), list(order)
-    by = [*keys, *order]
     kinds = dict(df.dtypes)
-    shape = ", ".join([*(f"`{c}` {k}" for c, k in df.dtypes), *(f"`first_{c}` {kinds[c]}" for c in order), "alone boolean", "task int"])
-    dealt = df.repartitionByRange(*by).sortWithinPartitions(*by)
-    found = written(dealt.mapInArrow(_compare(keys, order, single), shape), name)
-    firsts = [f"first_{c}" for c in order]
-    ends = found.groupBy("task").agg(F.min(F.struct(*keys, *firsts)).alias("low"), F.max(F.struct(*keys, *firsts)).alias("high"))
+    shape = ", ".join([*(f"`{c}` {k}" for c, k in df.dtypes), *(f"`first_{c}` {kinds[c]}" for c in firsts), "alone boolean", "task int"])
+    dealt = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    found = written(dealt.mapInArrow(_compare(keys, firsts, single), shape), name)
+    place = F.struct(*keys, *(f"first_{c}" for c in firsts))
+    ends = found.groupBy("task").agg(F.min(place).alias("low"), F.max(place).alias("high"))
     fixes, last, last_task = [], None, None
     for row in sorted(ends.collect(), key=lambda r: r["task"]):  # one row per task
         low, high = tuple(row["low"]), tuple(row["high"])
@@ -93,13 +89,36 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: s
             fixes += [(last_task, *last), (row["task"], *last)]
             high = last if high[:n] == low[:n] else high
         last, last_task = high, row["task"]
-    fields = ", ".join(["task int", *(f"`{c}` {kinds[c]}" for c in keys), *(f"`true_{c}` {kinds[c]}" for c in order)])
+    fields = ", ".join(["task int", *(f"`{c}` {kinds[c]}" for c in keys), *(f"`true_{c}` {kinds[c]}" for c in firsts)])
     # At most two keys per task have rows in another one.
-    known = F.broadcast(df.sparkSession.createDataFrame(sorted(set(fixes), key=repr), fields).withColumn("met", F.lit(True)))
-    both = found.join(known, ["task", *keys], "left")
+    return found, F.broadcast(df.sparkSession.createDataFrame(sorted(set(fixes), key=repr), fields))
+
+
+def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, single: bool = True) -> DataFrame:
+    """Add to each row `first_<column>` for the columns in `order`, of the first row of equal `keys`, and `alone`.
+
+    First is meant in ascending `order`; `alone` says that no other row has the key. Keys are not null. Without `single`, rows
+    that are alone are left out. The result is a written table; the input is read twice, so give a written one or a cheap view
+    of it.
+    """
+    keys, order = list(keys), list(order)
+    found, known = _compared(df, keys, order, order, name, single)
+    both = found.join(known.withColumn("met", F.lit(True)), ["task", *keys], "left")
     out = both.select(
         *df.columns,
         *(F.coalesce(f"true_{c}", f"first_{c}").alias(f"first_{c}") for c in order),
         (F.col("alone") & F.col("met").isNull()).alias("alone"),
     )
     return out if single else out.filter(~F.col("alone")).drop("alone")
+
+
+def repeated(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """The rows whose `keys` another row has as well. Keys are not null; `order` only tells the rows of a key apart, so that they fill several tasks.
+
+    As `neighbours` without `single`, for where the first row is not asked for. A row that has a partner in its own task needs nothing else: what
+    other tasks hold is looked up for the others at the task's borders, two rows of it at most.
+    """
+    keys = list(keys)
+    found, known = _compared(df, keys, list(order), [], name, single=False)
+    border = found.filter("alone").join(known, ["task", *keys], "left_semi")
+    return found.filter(~F.col("alone")).unionByName(border).select(*df.columns)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from patloom.llm.ordered import neighbours
+from patloom.llm.ordered import neighbours, repeated
 from patloom.llm.prefilter import maybe_among, parted
 from patloom.llm.registry import query, table, written
 from patloom.llm.words import Powers, Words, byte_values, filled, gram_hashes, lists, slices, words_of
@@ -152,7 +152,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", lea
     copies = texts.filter(F.col("doc_id") != F.col("first_doc_id")).select("doc_id", "one", "n_words", "first_doc_id").distinct()
     own = texts.filter(F.col("doc_id") == F.col("first_doc_id"))
     suffixes = own.select("doc_id", "one", F.explode(F.arrays_zip("places", "grams")).alias("at")).select("doc_id", "one", "at.places", "at.grams")
-    met = neighbours(suffixes, ["grams"], ["doc_id", "places"], "suffixes", single=False)
+    met = repeated(suffixes, ["grams"], ["doc_id", "places"], "suffixes")
     extended = written(met.groupBy("doc_id", "one").agg(F.collect_set("places").alias("places")), "extended")
     runs = written(
         maybe_among(sealed, extended, "doc_id")
