@@ -1,11 +1,14 @@
 """Tables: by week, extracts, inserts, reruns."""
 
+import random
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from patloom.plans.extract import date_extract, run_extract
 from patloom.session import shared_folder
+from patloom.sinks import tables
 from patloom.sinks.tables import insert_if_absent, insert_into_bucketed, read_or_none, write_extract, write_weekly
 from patloom.sources.files import read_weekly
 
@@ -81,6 +84,56 @@ def test_insert_if_absent(spark, tmp_path, kind):
     assert table.count() == 3
 
 
+@pytest.mark.parametrize("most", [0, 3, 100_000])
+def test_inserts_one_row_per_absent_key(spark, tmp_path, monkeypatch, most):
+    """Batches with keys that are new, there already, repeated and null, by each of the ways that an insert may go."""
+    monkeypatch.setattr(tables, "MOST_CONTESTED", most)
+    rng, out, want, held = random.Random(most), str(tmp_path / "t"), [], set()
+    for at in range(5):
+        keys = [f"k{rng.randrange(6)}" for _ in range(3 * at)] + [f"n{at}-{i}" for i in range(20)] + [None] * (at % 3)
+        rows = [(key, "a", "m", f"e{i:03d}", 0, 1000 * at + i) for i, key in enumerate(rng.sample(keys, len(keys)))]
+        insert_if_absent(incoming(spark, *rows).repartition(3), out, columns=["doc_id", "v"])
+        first = {}
+        for key, _, _, _, _, v in rows:
+            first.setdefault(key, v)
+        want += [(key, v) for key, v in first.items() if key is None or key not in held]
+        held |= {key for key in first if key is not None}
+    assert sorted(map(str, map(tuple, spark.read.parquet(out).collect()))) == sorted(map(str, want))
+
+
+def test_a_rerun_reads_no_more_than_keys(spark, tmp_path):
+    """What is there already is not read whole, and where only one key comes twice only its rows are picked from."""
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def watched(v):
+        read.add(1)
+        return v
+
+    rows = [(f"d{i}", "a", "m", "e", 0, i) for i in range(50)]
+    batch = incoming(spark, *rows).withColumn("v", watched(F.col("v")))
+    insert_if_absent(batch, str(tmp_path / "t"), columns=["doc_id", "v"])
+    assert read.value == 50
+    insert_if_absent(batch, str(tmp_path / "t"), columns=["doc_id", "v"])
+    assert read.value == 50 and spark.read.parquet(str(tmp_path / "t")).count() == 50
+
+
+def test_unrepeated_new_rows_do_not_move(spark, tmp_path):
+    """They stay in the tasks that read them, each of which writes a file; a repeated key adds the files of its own rows alone."""
+    rows = [(f"d{i:02d}", "a", "m", "e", i, i) for i in range(40)]
+    batch = incoming(spark, *rows).repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id")
+    batch.write.parquet(str(tmp_path / "in"))
+    source = spark.read.parquet(str(tmp_path / "in"))
+    repeats = incoming(spark, ("d07", "b", "m", "e", 0, 99), ("d07", "c", "m", "e", 0, 98))
+    for name, df in (("t", source), ("u", source.unionByName(repeats))):
+        insert_if_absent(df, str(tmp_path / name), columns=["doc_id", "v"])
+        files = [sorted(r.doc_id for r in spark.read.parquet(str(f)).collect()) for f in (tmp_path / name).glob("*.parquet")]
+        whole = sorted(key for keys in files for key in keys)
+        assert whole == [f"d{i:02d}" for i in range(40)]
+        # In ranges, as they were read.
+        assert all(keys == [f"d{i:02d}" for i in range(int(keys[0][1:]), int(keys[-1][1:]) + 1) if f"d{i:02d}" != "d07" or keys == ["d07"] or name == "t"] for keys in files if keys)
+
+
 def test_bucketed_target_is_not_shuffled(spark):
     from patloom.sinks.tables import absent_rows
 
