@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from patloom.operators.dedup import first_by_key
 from patloom.operators.skip import existing, not_done
 from patloom.schemas import ORIGIN
-from patloom.sinks.tables import read_or_none
+from patloom.sinks.tables import CODEC, read_or_none
 
 BITS_PER_KEY = 16
 MOST_BITS = 1 << 26  # of a file's filter, 8 MB
@@ -68,10 +68,11 @@ def files_of(spark: SparkSession, path: str) -> dict[str, str]:
 
 
 def _described(table: pa.Table) -> pa.Table:
+    file, table = table.column("file")[0], table.filter(table.column("key").is_valid())
     keys = table.column("key")
     kept = bloom(np.unique(table.column("hash").to_numpy().view(np.uint64)))
     ends = pa.compute.min_max(keys)
-    row = {"file": table.column("file")[0], "rows": len(table), "least": ends["min"], "greatest": ends["max"], "bits": kept}
+    row = {"file": file, "rows": len(table), "least": ends["min"], "greatest": ends["max"], "bits": kept}
     kinds = {"file": pa.string(), "rows": pa.int64(), "least": keys.type, "greatest": keys.type, "bits": pa.binary()}
     return pa.table({name: pa.array([getattr(row[name], "as_py", lambda v=row[name]: v)()], kind) for name, kind in kinds.items()})
 
@@ -88,8 +89,10 @@ def update_index(spark: SparkSession, path: str, key: str) -> DataFrame | None:
     if new:
         rows = spark.read.schema(f"`{key}` {kind}").parquet(*new)
         keyed = rows.select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file"), F.col(key).alias("key")).filter("key IS NOT NULL")
+        # A file without keys is described as well, else every insert would read it again.
+        every = spark.createDataFrame([(_name(file),) for file in new], "file string").withColumn("key", F.lit(None).cast(kind))
         # The keys of one file meet in one task, as they do when it is read.
-        described = keyed.withColumn("hash", F.xxhash64("key")).groupBy("file").applyInArrow(_described, _shape(kind))
+        described = keyed.unionByName(every).withColumn("hash", F.xxhash64("key")).groupBy("file").applyInArrow(_described, _shape(kind))
         described.write.mode("append").parquet(index_path(path))
         known = spark.read.schema(_shape(kind)).parquet(index_path(path))
     return known
@@ -144,7 +147,7 @@ def insert_by_index(
     else:  # a range holds all rows of a key, so neither the choice nor the sort needs another shuffle
         rows = first_by_key(rows.repartitionByRange(key), [key], order)
     rows = rows.select(*columns) if columns else rows
-    rows.sortWithinPartitions(key).write.mode("append").parquet(path)
+    rows.sortWithinPartitions(key).write.mode("append").option("compression", CODEC).parquet(path)
     update_index(spark, path, key)
 
 

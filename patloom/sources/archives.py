@@ -38,6 +38,8 @@ CLOSING_TAG = r"</us-patent-[a-z-]+>"
 # -------------------------------------------------------------------------------------------
 
 SLICE_BYTES = 32 << 20  # members of an archive that start in the same slice are read together
+PORTION_BYTES = SLICE_BYTES // 2  # for each core: what is staged or replaced at once, at least, where the disk is to hold little twice
+MOST_PORTIONS = 12  # about so many, of larger inputs; each has jobs of its own
 TASKS_PER_CORE = 100  # at most; slices are dealt to tasks, so a task may have several
 AHEAD_BYTES = 128 << 10  # of a file, read at once
 BATCH_BYTES = 4 << 20  # size at which a batch of entries is handed to Spark

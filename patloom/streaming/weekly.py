@@ -20,11 +20,13 @@ from patloom.plans.ingest import named_archives, one_per_week
 from patloom.plans.us import us_archives, write_archives
 from patloom.schemas import EP_RECORD
 from patloom.sinks.keyed import insert_by_index
-from patloom.sinks.tables import write_weekly
-from patloom.sources.archives import read_nested
+from patloom.sinks.tables import CODEC, remove, write_weekly
+from patloom.sources.archives import MOST_PORTIONS, PORTION_BYTES, read_nested
 
 EP_ORDER = ("archive", "member", "entry")
 FILES = "path string, modificationTime timestamp, length bigint, content binary"
+# Spark keeps what an execution shuffled until the driver happens to collect its garbage; so it goes with the execution.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def archive_stream(spark: SparkSession, folder: str, glob: str | None = None, per_batch: int | None = None) -> DataFrame:
@@ -47,6 +49,20 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
 
 
+def _portions(archives: DataFrame) -> list[DataFrame]:
+    """Archives (path, length) in the order of their names, some bytes or one archive at a time; one portion where there are none."""
+    spark = archives.sparkSession
+    rows, portions, held = archives.select("file_name", "path", "length").collect(), [[]], 0  # names, as the stream's source holds them
+    most = max(PORTION_BYTES * spark.sparkContext.defaultParallelism, sum(row["length"] for row in rows) // MOST_PORTIONS)
+    for row in sorted(rows, key=lambda row: row["file_name"]):
+        if portions[-1] and held + row["length"] > most:
+            portions.append([])
+            held = 0
+        portions[-1].append((row["path"], row["length"]))
+        held += row["length"]
+    return [spark.createDataFrame(portion, "path string, length bigint") for portion in portions]
+
+
 def insert_ep_stream(
     archives: DataFrame,
     table: str,
@@ -59,22 +75,29 @@ def insert_ep_stream(
 ) -> StreamingQuery:
     """Insert the records of new European archives by document id, if absent; keep bad ones aside.
 
-    Archives are chosen as in the batch job, among those of a micro-batch. A batch is parsed once, into a
-    table beside the quarantine that both sinks read, and that the stream's next batch replaces. An error other than that of
-    bad content fails the stream.
+    Archives are chosen as in the batch job, among those of a micro-batch, and are read in portions of some bytes for each core, by name:
+    of documents with one id the first is kept, as if all came at once. A portion is parsed once, into a table beside the quarantine that both
+    sinks read, and that the next portion replaces; after the batch only its bad rows stay there, until the stream's next batch. An error
+    other than that of bad content fails the stream.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        spark.conf.set(CLEANUP, "true")  # the session is the stream's own
         stream = stream_id(spark, checkpoint)
         staged = f"{quarantine.rstrip('/')}-staged/{stream}"
-        rows = parse_ep(read_nested(one_per_week(named_archives(batch)), doc_rule, tasks))
-        rows.write.mode("overwrite").parquet(staged)  # whole, so that nothing of another batch is left
-        parsed = spark.read.schema(rows.schema).parquet(staged)
-        columns = [*EP_ORDER, *EP_RECORD.names]
-        insert(parsed.filter(F.col("error").isNull()), table, "doc_id", EP_ORDER, columns)
-        bad = parsed.filter(F.col("error").isNotNull()).select(*EP_ORDER, "error", "bad_xml")
+        remove(spark, staged)  # whole, so that nothing of another batch is left
+        columns, aside = [*EP_ORDER, *EP_RECORD.names], [*EP_ORDER, "error", "bad_xml"]
+        for portion in _portions(one_per_week(named_archives(batch))):
+            rows = parse_ep(read_nested(portion, doc_rule, tasks))
+            rows.write.mode("overwrite").option("compression", CODEC).parquet(f"{staged}/rows")
+            parsed = spark.read.schema(rows.schema).parquet(f"{staged}/rows")
+            insert(parsed.filter(F.col("error").isNull()), table, "doc_id", EP_ORDER, columns)
+            bad = parsed.filter(F.col("error").isNotNull()).select(*aside)
+            bad.write.mode("append").option("compression", CODEC).parquet(f"{staged}/bad")
+        bad = spark.read.schema(bad.schema).parquet(f"{staged}/bad")
         write_weekly(bad.withColumns({"stream": F.lit(stream), "batch_id": F.lit(batch_id)}), quarantine, by=("stream", "batch_id"))
+        remove(spark, f"{staged}/rows")
 
     return _start(archives, each, checkpoint, available_now)
 
