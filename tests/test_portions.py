@@ -1,11 +1,17 @@
 """Large inputs in portions: the disk holds little twice, and the rows are those of one run."""
 
+import glob
+
+import pyarrow.parquet as pq
 import pytest
 from archives import ep_xml, zipped
 from pyspark.sql import functions as F
 from test_jobs import name
 
+from patloom.plans import ep
+from patloom.plans.ep import BAD, GOOD, write_records
 from patloom.sinks.keyed import files_of, insert_by_index, update_index
+from patloom.sources.files import read_weekly
 from patloom.streaming import weekly
 from patloom.streaming.weekly import archive_stream, insert_ep_stream
 
@@ -61,6 +67,27 @@ def test_a_batch_that_broke_off_is_run_again(spark, tmp_path, monkeypatch):
     assert sorted(r.entry for r in spark.read.parquet(bad).collect()) == ["b1.xml", "b2.xml"]
 
 
+@pytest.mark.parametrize("most, portions", [(0, 4), (1 << 30, 1)])
+def test_weeks_are_replaced_in_turn(spark, tmp_path, monkeypatch, most, portions):
+    monkeypatch.setattr(ep, "PORTION_BYTES", most)
+    raw, out, written = str(tmp_path / "raw"), str(tmp_path / "out"), []
+    rows = [(f"a{n}", "DOC/a.zip", f"EP{n}.xml", ep_xml(n), None, y, w) for n, (y, w) in enumerate([("2020", "52"), ("2021", "01"), ("2021", "01"), ("2021", "02"), ("2020", "07")], 1)]
+    spark.createDataFrame(rows, "archive string, member string, entry string, content binary, error string, year string, week string").write.partitionBy("year", "week").parquet(raw)
+    documents = read_weekly(spark, raw)
+    broken = F.when(F.col("entry") < "EP4", F.substring("content", 1, 20)).otherwise(F.col("content"))
+    write_records(documents.withColumn("content", broken), out, balance=False)
+    first = read_weekly(spark, out)
+    assert sorted((r.entry, r.status) for r in first.collect()) == [(f"EP{n}.xml", BAD if n < 4 else GOOD) for n in range(1, 6)]
+    plain = ep.write_weekly
+    monkeypatch.setattr(ep, "write_weekly", lambda df, *more, **options: written.append({(r.year, r.week) for r in df.select("year", "week").collect()}) or plain(df, *more, **options))
+    write_records(documents, out, balance=False, in_turn=True)
+    assert len(written) == portions and sum(len(weeks) for weeks in written) == 4
+    got = sorted((r.year, r.week, r.doc_id, r.status) for r in read_weekly(spark, out).collect())
+    assert got == [("2020", "07", "EP5", GOOD), ("2020", "52", "EP1", GOOD), ("2021", "01", "EP2", GOOD), ("2021", "01", "EP3", GOOD), ("2021", "02", "EP4", GOOD)]
+    codecs = {pq.ParquetFile(file).metadata.row_group(0).column(0).compression for file in glob.glob(f"{out}/*/*/*.parquet")}
+    assert codecs == {"ZSTD"}
+
+
 def test_a_file_without_keys_is_known_to_the_index(spark, tmp_path):
     path = str(tmp_path / "table")
     insert_by_index(spark.createDataFrame([("EP1", 1), ("EP2", 2)], "doc_id string, at int"), path, order=["at"])
